@@ -25,16 +25,31 @@ def known(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def clip(value: Column, low: float, high: float) -> Column:
+def clip(value: Column, low: float | int, high: float | int) -> Column:
     """Clamp to [low, high]; least/greatest skip NULLs, so a NULL is guarded."""
     return F.when(
         value.isNotNull(), F.least(F.greatest(value, F.lit(low)), F.lit(high))
     )
 
 
+def micros_between(start: Column | str, end: Column | str) -> Column:
+    """Whole microseconds from start to end.
+
+    Subtracting zone-less timestamps never looks at the session's time zone, unlike
+    timestamp_diff, which is off by the clock change when a time falls into one.
+    """
+    start, end = (F.col(c) if isinstance(c, str) else c for c in (start, end))
+    seconds = (end - start).cast("interval second").cast("decimal(18,6)")
+    return (seconds * 1_000_000).cast("long")
+
+
 def minutes_between(start: Column | str, end: Column | str) -> Column:
-    """Elapsed minutes with microsecond resolution; exact on zone-less times."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(float(MICROS_PER_MINUTE))
+    """Elapsed minutes with microsecond resolution."""
+    return as_minutes(micros_between(start, end))
+
+
+def as_minutes(micros: Column) -> Column:
+    return micros / F.lit(float(MICROS_PER_MINUTE))
 
 
 def round_even(value: Column, digits: int | None) -> Column:

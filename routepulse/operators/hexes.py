@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from routepulse.functions.columns import congestion, congestion_color
+from routepulse.functions.columns import as_minutes, congestion, congestion_color
 from routepulse.functions.grid import H3Grid, PlanarGrid
 from routepulse.operators.facts import filter_rows
 from routepulse.operators.intervals import HOT_SPAN_PINGS, activity_intervals
@@ -29,9 +29,9 @@ _SUMS = (
     "moving_pings",
     "moving_speeds",
     "moving_speed_sum",
-    "waiting_min",
-    "servicing_min",
-    "moving_min",
+    "waiting_us",
+    "servicing_us",
+    "moving_us",
 )
 
 
@@ -52,9 +52,9 @@ def route_cell_activity(
         activity_intervals(pings, routes, max_gap_min, hot_span_pings, spans)
     ).withColumn("hour", F.hour("ts"))
     # Merged copies contain zero-length intervals even if the last one has no end.
-    minutes = F.when(
-        F.col("n_pings") > 1, F.coalesce("duration_min", F.lit(0.0))
-    ).otherwise(F.col("duration_min"))
+    spent = F.when(F.col("n_pings") > 1, F.coalesce("duration_us", F.lit(0))).otherwise(
+        F.col("duration_us")
+    )
 
     def when_status(status: int, value: Column) -> Column:
         return F.sum(F.when(F.col("status") == status, value))
@@ -64,9 +64,9 @@ def route_cell_activity(
         F.coalesce(when_status(MOVING, F.col("n_pings")), F.lit(0)).alias("moving_pings"),
         when_status(MOVING, F.col("n_speeds")).alias("moving_speeds"),
         when_status(MOVING, F.col("speed_sum")).alias("moving_speed_sum"),
-        when_status(WAITING, minutes).alias("waiting_min"),
-        when_status(SERVICING, minutes).alias("servicing_min"),
-        when_status(MOVING, minutes).alias("moving_min"),
+        when_status(WAITING, spent).alias("waiting_us"),
+        when_status(SERVICING, spent).alias("servicing_us"),
+        when_status(MOVING, spent).alias("moving_us"),
     )
 
 
@@ -83,6 +83,10 @@ def _mean_moving_speed() -> Column:
     return F.try_divide("moving_speed_sum", "moving_speeds")
 
 
+def _minutes() -> dict[str, Column]:
+    return {f"{s}_min": as_minutes(F.col(f"{s}_us")) for s in ("waiting", "servicing", "moving")}
+
+
 def hex_hourly(
     activity: DataFrame,
     free_flow: DataFrame,
@@ -108,6 +112,7 @@ def hex_hourly(
     )
     rated = join_small(groups, moving_types, ["vehicle_type"]).withColumns(
         {
+            **_minutes(),
             "avg_moving_speed_kmh": _mean_moving_speed(),
             "speed_ratio": F.try_divide(_mean_moving_speed(), F.col("free_flow_kmh")),
         }
@@ -123,7 +128,9 @@ def hex_summary(activity: DataFrame, grid: Grid) -> DataFrame:
     groups = per_route.groupBy(*keys).agg(
         F.count("*").alias("n_routes"), *[F.sum(c).alias(c) for c in _SUMS]
     )
-    rated = groups.withColumn("avg_moving_speed_kmh", _mean_moving_speed())
+    rated = groups.withColumns(
+        {**_minutes(), "avg_moving_speed_kmh": _mean_moving_speed()}
+    )
     return grid.name_cells(rated).select(*HEX_SUMMARY.names)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from routepulse.functions.columns import clip, minutes_between
+from routepulse.functions.columns import MICROS_PER_MINUTE, as_minutes, clip, micros_between
 from routepulse.schemas import MAX_PING_GAP_MIN
 from routepulse.session import settle, stage
 
@@ -28,8 +28,8 @@ _NO_TIME = 2**62
 
 def with_span(pings: DataFrame, max_gap_min: float = MAX_PING_GAP_MIN) -> DataFrame:
     """Add ``span``, the number of the time slot (a few gap caps long) of the ping."""
-    slot = int(max_gap_min * SPAN_GAPS * 60_000_000)
-    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), F.col("ts"))
+    slot = int(max_gap_min * SPAN_GAPS * MICROS_PER_MINUTE)
+    micros = micros_between(F.expr(_EPOCH), "ts")
     return pings.withColumn(
         "span", F.coalesce(F.floor(micros / F.lit(slot)), F.lit(_NO_TIME))
     )
@@ -99,10 +99,11 @@ def activity_intervals(
     hot_span_pings: int = HOT_SPAN_PINGS,
     spans: DataFrame | None = None,
 ) -> DataFrame:
-    """Fixes with ``next_ts``, ``duration_min`` and the route's attributes.
+    """Fixes with ``next_ts``, ``duration_us`` / ``duration_min`` and route attributes.
 
-    ``duration_min`` is the time to the route's next fix, clamped to
-    [0, max_gap_min], and missing for the route's last one. Fixes of equal time are
+    The duration is the time to the route's next fix, clamped to [0, max_gap_min],
+    and missing for the route's last one. Whole microseconds add up to the same total
+    in any order. Fixes of equal time are
     ordered by status and position. Of ``n_pings`` merged copies all but the last
     have an interval of zero length.
     """
@@ -113,8 +114,11 @@ def activity_intervals(
     sequenced = fixes.withColumn("_next", F.lead("ts").over(within)).join(
         span_links(spans, routes), ["route_id", "span"], "left"
     )
-    following = F.coalesce("_next", "next_span_ts")
-    return sequenced.withColumn("next_ts", following).select(
+    gap = micros_between("ts", "next_ts")
+    timed = sequenced.withColumn("next_ts", F.coalesce("_next", "next_span_ts")).withColumn(
+        "duration_us", clip(gap, 0, int(max_gap_min * MICROS_PER_MINUTE))
+    )
+    return timed.select(
         "route_id",
         "vehicle_type",
         "region",
@@ -126,5 +130,6 @@ def activity_intervals(
         "n_speeds",
         "speed_sum",
         "next_ts",
-        clip(minutes_between("ts", "next_ts"), 0.0, float(max_gap_min)).alias("duration_min"),
+        "duration_us",
+        as_minutes(F.col("duration_us")).alias("duration_min"),
     )

@@ -55,9 +55,13 @@ def run_spatial_job(
     out_dir: str,
     res: int = schemas.HEX_RESOLUTION,
     grid: Grid | None = None,
+    ping_bytes: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Read ``pings`` and ``routes``, write both hexagon tables and return them."""
-    tune(spark)
+    """Read ``pings`` and ``routes``, write both hexagon tables and return them.
+
+    ``ping_bytes``, the uncompressed size of the pings, sizes the shuffle.
+    """
+    tune(spark, ping_bytes)
     columns = ["route_id", "vehicle_type", "region"]
     routes = read_table(spark, raw_dir, "routes", schemas.ROUTES, columns)
     pings = read_pings(spark, raw_dir)

@@ -16,14 +16,28 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the adaptive settings the operators count on; never static ones."""
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the adaptive settings the operators count on; never static ones.
+
+    ``shuffle_bytes`` is the size of the largest table that will be shuffled: there
+    are then enough shuffle partitions for each to fit into memory. Adaptive execution
+    merges those that turn out small.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_bytes:
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        needed = -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES)
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(current, needed)))
     return spark
 
 
