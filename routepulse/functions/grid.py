@@ -44,28 +44,35 @@ class PlanarGrid:
         return KM_PER_DEGREE * math.cos(math.radians(self.center[0]))
 
     def locate(self, df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
-        """Add the cell's two integer coordinates; unusable input gives NULL."""
-        x = (F.col(lon) - self.center[1]) * self.km_per_degree_lon
-        y = (F.col(lat) - self.center[0]) * KM_PER_DEGREE
+        """Add the cell's two integer coordinates; unusable input gives NULL.
+
+        Each step is a column of its own that later ones refer to, so it is computed
+        once per row instead of being copied into one huge expression.
+        """
         usable = (F.abs(F.col(lat)) <= 90) & (F.abs(F.col(lon)) <= 360)
-        q = (math.sqrt(3) / 3 * x - y / 3) / self.edge_km
-        r = (2 / 3 * y) / self.edge_km
-        # Round all three cube coordinates, then rebuild the one that moved most.
-        s = -q - r
-        rq, rr, rs = _nearest(q), _nearest(r), _nearest(s)
-        dq, dr, ds = F.abs(rq - q), F.abs(rr - r), F.abs(rs - s)
-        q_worst = (dq > dr) & (dq > ds)
-        r_worst = ~q_worst & (dr > ds)
-        return df.withColumns(
+        steps = df.withColumns(
+            {
+                "_x": (F.when(usable, F.col(lon)) - self.center[1]) * self.km_per_degree_lon,
+                "_y": (F.when(usable, F.col(lat)) - self.center[0]) * KM_PER_DEGREE,
+            }
+        ).withColumns(
             {
-                "cell_q": F.when(
-                    usable, F.when(q_worst, -rr - rs).otherwise(rq)
-                ).cast("int"),
-                "cell_r": F.when(
-                    usable, F.when(r_worst, -rq - rs).otherwise(rr)
-                ).cast("int"),
+                "_q": (math.sqrt(3) / 3 * F.col("_x") - F.col("_y") / 3) / self.edge_km,
+                "_r": (2 / 3 * F.col("_y")) / self.edge_km,
             }
         )
+        steps = steps.withColumn("_s", -F.col("_q") - F.col("_r"))
+        # Round all three cube coordinates, then rebuild the one that moved most.
+        steps = steps.withColumns({f"_r{c}": _nearest(F.col(f"_{c}")) for c in "qrs"})
+        steps = steps.withColumns({f"_d{c}": F.abs(F.col(f"_r{c}") - F.col(f"_{c}")) for c in "qrs"})
+        rq, rr, rs = (F.col(f"_r{c}") for c in "qrs")
+        q_worst = (F.col("_dq") > F.col("_dr")) & (F.col("_dq") > F.col("_ds"))
+        r_worst = ~q_worst & (F.col("_dr") > F.col("_ds"))
+        return steps.select(
+            *df.columns,
+            F.when(q_worst, -rr - rs).otherwise(rq).cast("int").alias("cell_q"),
+            F.when(r_worst, -rq - rs).otherwise(rr).cast("int").alias("cell_r"),
+        )
 
     def _center_of(self, q: Column, r: Column) -> tuple[Column, Column]:
         x = self.edge_km * math.sqrt(3) * (q + r / 2)

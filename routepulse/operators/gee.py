@@ -13,7 +13,7 @@ The modelled event is a late stop: positive log-odds mean more lateness.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -45,15 +45,25 @@ class Design:
         coded = [f"C({c})[T.{level}]" for c in CATEGORIES for level in self.levels[c][1:]]
         return ["Intercept", *coded, *MEASURES]
 
-    def matrix(self, batch: pd.DataFrame) -> np.ndarray:
-        columns = [np.ones(len(batch))]
-        for c in CATEGORIES:
-            code = batch[f"{c}_code"].to_numpy()
-            columns += [(code == i).astype(float) for i in range(1, len(self.levels[c]))]
-        columns += [
-            (batch[m].to_numpy() - self.centers[m]) / self.scales[m] for m in MEASURES
-        ]
-        return np.column_stack(columns)
+    def coder(self) -> Callable[[pd.DataFrame], np.ndarray]:
+        """Function from coded rows to the design matrix.
+
+        It runs inside tasks and holds plain values only, so that workers need
+        numpy and pandas but not this package.
+        """
+        codes = [(f"{c}_code", len(self.levels[c])) for c in CATEGORIES]
+        measures = [(m, self.centers[m], self.scales[m]) for m in MEASURES]
+
+        def matrix(batch: pd.DataFrame) -> np.ndarray:
+            columns = [np.ones(len(batch))]
+            for name, levels in codes:
+                code = batch[name].to_numpy()
+                columns += [(code == i).astype(float) for i in range(1, levels)]
+            for name, center, scale in measures:
+                columns.append((batch[name].to_numpy() - center) / scale)
+            return np.column_stack(columns)
+
+        return matrix
 
     def unscaling(self) -> np.ndarray:
         """Matrix from coefficients of scaled measures to those of raw ones."""
@@ -151,12 +161,16 @@ def _names(prefix: str, p: int) -> list[str]:
 def _driver_sums(coded: DataFrame, design: Design, beta: np.ndarray) -> DataFrame:
     """Per driver (row -1) sums, and the rows 0..p-1 of the information matrix."""
     p = len(beta)
-    columns = ["driver_id", "part", "n", "e", "ee", *_names("z", p), *_names("ze", p)]
+    z_names = _names("z", p)
+    columns = ["n", "e", "ee", *z_names, *_names("ze", p)]
+    design_matrix = design.coder()
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         information = np.zeros((p, p))
         for batch in batches:
-            x = design.matrix(batch)
+            if batch.empty:
+                continue
+            x = design_matrix(batch)
             n = batch["stops"].to_numpy(dtype=float)
             late = batch["late_stops"].to_numpy(dtype=float)
             mu = 1 / (1 + np.exp(-(x @ beta)))
@@ -166,27 +180,24 @@ def _driver_sums(coded: DataFrame, design: Design, beta: np.ndarray) -> DataFram
             ee = (late * (1 - mu) ** 2 + (n - late) * mu**2) / root**2
             information += z.T @ (z * n[:, None])
             code, drivers = pd.factorize(batch["driver_id"])
-            table = np.zeros((len(drivers), 3 + 2 * p))
-            np.add.at(
-                table,
-                code,
-                np.column_stack([n, e, ee, z * n[:, None], z * e[:, None]]),
-            )
-            out = pd.DataFrame(table, columns=columns[2:])
+            order = np.argsort(code, kind="stable")
+            values = np.column_stack([n, e, ee, z * n[:, None], z * e[:, None]])[order]
+            starts = np.searchsorted(code[order], np.arange(len(drivers)))
+            out = pd.DataFrame(np.add.reduceat(values, starts), columns=columns)
             out.insert(0, "part", -1)
             out.insert(0, "driver_id", drivers)
             yield out
-        matrix = pd.DataFrame(0.0, index=range(p), columns=columns[2:])
-        matrix[_names("z", p)] = information
+        matrix = pd.DataFrame(0.0, index=range(p), columns=columns)
+        matrix[z_names] = information
         matrix.insert(0, "part", np.arange(p))
         matrix.insert(0, "driver_id", "")
         yield matrix
 
-    schema = "driver_id string, part int, " + ", ".join(f"{c} double" for c in columns[2:])
+    schema = "driver_id string, part int, " + ", ".join(f"{c} double" for c in columns)
     return (
         coded.mapInPandas(sums, schema)
         .groupBy("driver_id", "part")
-        .agg(*[F.sum(c).alias(c) for c in columns[2:]])
+        .agg(*[F.sum(c).alias(c) for c in columns])
     )
 
 

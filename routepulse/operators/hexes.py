@@ -98,19 +98,12 @@ def hex_hourly(
     Types without a moving ping are left out. The speed ratio relates the mean
     moving speed to the type's free-flow speed.
     """
-    # A row per vehicle type that moves; its speed may still be unknown.
-    moving_types = (
-        activity.where("moving_pings > 0 AND vehicle_type IS NOT NULL")
-        .select("vehicle_type")
-        .distinct()
-        .join(free_flow, "vehicle_type", "left")
-    )
     groups = (
         activity.groupBy(*grid.keys, "region", "vehicle_type", "hour")
         .agg(F.count("*").alias("n_routes"), *[F.sum(c).alias(c) for c in _SUMS])
         .where((F.col("n_pings") >= min_pings) & (F.col("moving_pings") >= min_pings))
     )
-    rated = join_small(groups, moving_types, ["vehicle_type"]).withColumns(
+    rated = join_small(groups, free_flow, ["vehicle_type"]).withColumns(
         {
             **_minutes(),
             "avg_moving_speed_kmh": _mean_moving_speed(),

@@ -114,9 +114,10 @@ def activity_intervals(
     sequenced = fixes.withColumn("_next", F.lead("ts").over(within)).join(
         span_links(spans, routes), ["route_id", "span"], "left"
     )
-    gap = micros_between("ts", "next_ts")
-    timed = sequenced.withColumn("next_ts", F.coalesce("_next", "next_span_ts")).withColumn(
-        "duration_us", clip(gap, 0, int(max_gap_min * MICROS_PER_MINUTE))
+    timed = (
+        sequenced.withColumn("next_ts", F.coalesce("_next", "next_span_ts"))
+        .withColumn("_gap", micros_between("ts", "next_ts"))
+        .withColumn("duration_us", clip(F.col("_gap"), 0, int(max_gap_min * MICROS_PER_MINUTE)))
     )
     return timed.select(
         "route_id",

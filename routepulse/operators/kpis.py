@@ -53,8 +53,7 @@ def in_category_order(
     ranks = spark.createDataFrame(
         [(name, i) for i, name in enumerate(order)], f"`{column}` string, position int"
     )
-    how = "left" if keep_absent else "inner"
-    return F.broadcast(ranks).join(df, column, how).orderBy("position")
+    return ranks.join(df, column, "left" if keep_absent else "inner").orderBy("position")
 
 
 def eta_accuracy(facts: DataFrame, by: str | None = None, digits: int | None = 3) -> DataFrame:
@@ -63,22 +62,21 @@ def eta_accuracy(facts: DataFrame, by: str | None = None, digits: int | None = 3
     Needs ``delay_min`` and ``is_late`` only: for the overall figures pass the
     flagged stops, which saves the join with routes.
     """
-    keys = [by] if by else []
-    rows = facts.where(F.col(by).isNotNull()) if by else facts
     error = F.abs(F.col("delay_min"))
-    base = rows.groupBy(*keys).agg(
-        F.count("*").alias("stops"),
-        F.avg("delay_min").alias("bias_min"),
-        F.avg(error).alias("mae_min"),
-        (1 - share(F.col("is_late"))).alias("on_time_rate"),
-    )
-    p90 = exact_quantiles(rows, error, {"p90_abs_error_min": 0.9}, keys)
-    if by:
-        out = base.join(p90, by, "left")
-    else:
-        out = base.withColumn("p90_abs_error_min", p90.scalar())
-    columns = ["stops", "bias_min", "mae_min", "p90_abs_error_min", "on_time_rate"]
-    return rounded(out.select(*keys, *columns), columns[1:], digits)
+    table = exact_quantiles(
+        facts,
+        error,
+        {"p90_abs_error_min": 0.9},
+        [by] if by else [],
+        {
+            "stops": F.count("*"),
+            "bias_min": F.avg("delay_min"),
+            "mae_min": F.avg(error),
+            "on_time_rate": 1 - share(F.col("is_late")),
+        },
+    )
+    rates = ["bias_min", "mae_min", "p90_abs_error_min", "on_time_rate"]
+    return rounded(table, rates, digits)
 
 
 def route_kpis(facts: DataFrame) -> DataFrame:
@@ -215,28 +213,25 @@ def window_late_rates(kpis: DataFrame) -> DataFrame:
 
 def late_rate_summary(kpis: DataFrame, by: str, digits: int | None = 3) -> DataFrame:
     """Routes, mean and median of the routes' late rates per group."""
-    rows = kpis.where(F.col(by).isNotNull())
-    base = rows.groupBy(by).agg(
-        F.count("*").alias("routes"), F.avg("late_rate").alias("mean_late_rate")
-    )
-    median = exact_quantiles(rows, "late_rate", {"median_late_rate": 0.5}, [by])
-    return rounded(
-        base.join(median, by, "left"), ["mean_late_rate", "median_late_rate"], digits
+    table = exact_quantiles(
+        kpis,
+        "late_rate",
+        {"median_late_rate": 0.5},
+        [by],
+        {"routes": F.count("*"), "mean_late_rate": F.avg("late_rate")},
     )
+    return rounded(table, ["mean_late_rate", "median_late_rate"], digits)
 
 
 def depot_wait(routes: DataFrame, digits: int | None = 2) -> DataFrame:
     """Distinct routes, mean, median and p90 of the dispatch wait per depot."""
-    rows = routes.where(F.col("depot").isNotNull())
-    base = rows.groupBy("depot").agg(
-        F.countDistinct("route_id").alias("routes"), F.avg("wait_min").alias("mean_wait_min")
-    )
-    spread = exact_quantiles(
-        rows, "wait_min", {"median_wait_min": 0.5, "p90_wait_min": 0.9}, ["depot"]
-    )
-    out = base.join(spread, "depot", "left").withColumn(
-        "p90_above_mean_min", F.col("p90_wait_min") - F.col("mean_wait_min")
-    )
+    out = exact_quantiles(
+        routes,
+        "wait_min",
+        {"median_wait_min": 0.5, "p90_wait_min": 0.9},
+        ["depot"],
+        {"routes": F.countDistinct("route_id"), "mean_wait_min": F.avg("wait_min")},
+    ).withColumn("p90_above_mean_min", F.col("p90_wait_min") - F.col("mean_wait_min"))
     shown = {c: round_even(F.col(c), digits) for c in out.columns[2:]}
     return out.orderBy(F.desc_nulls_last("mean_wait_min"), "depot").withColumns(shown)
 

@@ -11,27 +11,29 @@ from routepulse.operators.quantiles import exact_quantiles
 from routepulse.session import join_small, stage
 
 QUARTILES = {"_q1": 0.25, "_q3": 0.75}
+MOMENTS = ("_mean", "_std")
 
 
-def iqr_bounds(df: DataFrame, value: str, k: float = 1.5, by: list[str] | None = None) -> DataFrame:
-    """(low, high) fences q1 - k*iqr and q3 + k*iqr; one row, or one per group."""
-    keys = by or []
+def _moments(value: str) -> dict[str, Column]:
+    return {"_mean": F.avg(value), "_std": F.stddev_pop(value)}
+
+
+def _fences(k: float) -> tuple[Column, Column]:
     spread = F.col("_q3") - F.col("_q1")
-    return exact_quantiles(df, value, QUARTILES, keys).select(
-        *keys,
-        (F.col("_q1") - k * spread).alias("low"),
-        (F.col("_q3") + k * spread).alias("high"),
-    )
+    return F.col("_q1") - k * spread, F.col("_q3") + k * spread
 
 
-def _moments(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    return df.groupBy(*by).agg(
-        F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_std")
-    )
+def iqr_bounds(df: DataFrame, value: str, k: float = 1.5, by: list[str] | None = None) -> DataFrame:
+    """(low, high) fences q1 - k*iqr and q3 + k*iqr; one row, or one per group."""
+    keys = by or []
+    low, high = _fences(k)
+    quartiles = exact_quantiles(df, value, QUARTILES, keys)
+    return quartiles.select(*keys, low.alias("low"), high.alias("high"))
 
 
-def _outside(value: Column) -> Column:
-    return flag((value < F.col("low")) | (value > F.col("high")))
+def _outside(value: Column, k: float) -> Column:
+    low, high = _fences(k)
+    return flag((value < low) | (value > high))
 
 
 def _far(value: Column, threshold: float) -> Column:
@@ -50,16 +52,17 @@ def flag_outliers_iqr(
     df: DataFrame, value: str, k: float = 1.5, out: str = "is_outlier"
 ) -> DataFrame:
     """Flag values outside the global fences; a missing value is not flagged."""
-    fenced = _with_scalars(df, iqr_bounds(df, value, k))
-    return fenced.withColumn(out, _outside(F.col(value))).drop("low", "high")
+    fenced = _with_scalars(df, exact_quantiles(df, value, QUARTILES))
+    return fenced.withColumn(out, _outside(F.col(value), k)).drop(*QUARTILES)
 
 
 def flag_outliers_zscore(
     df: DataFrame, value: str, threshold: float = 3.0, out: str = "is_outlier"
 ) -> DataFrame:
     """Flag values more than ``threshold`` population deviations from the mean."""
-    scaled = _with_scalars(df, _moments(df, value, []))
-    return scaled.withColumn(out, _far(F.col(value), threshold)).drop("_mean", "_std")
+    moments = df.agg(*[c.alias(name) for name, c in _moments(value).items()])
+    scaled = _with_scalars(df, moments)
+    return scaled.withColumn(out, _far(F.col(value), threshold)).drop(*MOMENTS)
 
 
 def flag_outliers_by_group(
@@ -73,9 +76,11 @@ def flag_outliers_by_group(
 ) -> DataFrame:
     """Flag a value against its own group; a row without a group gets no flag."""
     if method == "iqr":
-        statistics, test = iqr_bounds(df, value, k, [group]), _outside(F.col(value))
+        statistics = exact_quantiles(df, value, QUARTILES, [group])
+        test = _outside(F.col(value), k)
     elif method == "zscore":
-        statistics = _moments(df.where(F.col(group).isNotNull()), value, [group])
+        grouped = df.where(F.col(group).isNotNull()).groupBy(group)
+        statistics = grouped.agg(*[c.alias(name) for name, c in _moments(value).items()])
         test = _far(F.col(value), threshold)
     else:
         raise ValueError(f"method must be 'iqr' or 'zscore', not {method!r}")
@@ -105,8 +110,14 @@ def route_waits(routes: DataFrame) -> DataFrame:
     columns = ["route_id", "depot", "dispatch_window", "algorithm", "wait_min"]
     waits = stage(first_per_key(routes.select(*columns), "route_id", columns[1:]), "waits")
     check_no_missing(waits, "wait_min")
-    flagged = flag_outliers_iqr(waits, "wait_min", out="iqr_outlier_global")
-    flagged = flag_outliers_zscore(flagged, "wait_min", out="zscore_outlier_global")
+    # Both global flags need two passes, not four: moments come with the sketch.
+    overall = exact_quantiles(waits, "wait_min", QUARTILES, aggregates=_moments("wait_min"))
+    wait = F.col("wait_min")
+    flagged = _with_scalars(waits, overall).select(
+        *columns,
+        _outside(wait, 1.5).alias("iqr_outlier_global"),
+        _far(wait, 3.0).alias("zscore_outlier_global"),
+    )
     return flag_outliers_by_group(
         flagged, "wait_min", "depot", out="iqr_outlier_within_depot"
     )
@@ -114,30 +125,25 @@ def route_waits(routes: DataFrame) -> DataFrame:
 
 def wait_outlier_summary(waits: DataFrame, digits: int | None = 2) -> DataFrame:
     """Waits and flag counts per depot, longest mean wait first."""
-    rows = waits.where(F.col("depot").isNotNull())
     flags = {
         "global_iqr_outliers": "iqr_outlier_global",
         "global_zscore_outliers": "zscore_outlier_global",
         "within_depot_iqr_outliers": "iqr_outlier_within_depot",
     }
-    base = rows.groupBy("depot").agg(
-        F.count("*").alias("routes"),
-        F.avg("wait_min").alias("mean_wait_min"),
-        *[F.sum(F.col(c).cast("long")).alias(name) for name, c in flags.items()],
-    )
-    spread = exact_quantiles(
-        rows, "wait_min", {"median_wait_min": 0.5, "p90_wait_min": 0.9}, ["depot"]
-    )
     minutes = ["mean_wait_min", "median_wait_min", "p90_wait_min"]
-    return (
-        base.join(spread, "depot", "left")
-        .orderBy(F.desc_nulls_last("mean_wait_min"), "depot")
-        .select(
-            "depot",
-            "routes",
-            *[round_even(F.col(c), digits).alias(c) for c in minutes],
-            *flags,
-        )
+    table = exact_quantiles(
+        waits,
+        "wait_min",
+        {"median_wait_min": 0.5, "p90_wait_min": 0.9},
+        ["depot"],
+        {
+            "routes": F.count("*"),
+            "mean_wait_min": F.avg("wait_min"),
+            **{name: F.sum(F.col(c).cast("long")) for name, c in flags.items()},
+        },
+    )
+    return table.orderBy(F.desc_nulls_last("mean_wait_min"), "depot").select(
+        "depot", "routes", *[round_even(F.col(c), digits).alias(c) for c in minutes], *flags
     )
 
 

@@ -15,7 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from routepulse.session import settle
+from routepulse.functions.columns import known
+from routepulse.session import settle, stage
 
 ACCURACY = 10_000
 
@@ -29,21 +30,23 @@ def exact_quantiles(
     value: str | Column,
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
+    aggregates: Mapping[str, Column] | None = None,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
     """One row per group with ``{name: probability}`` quantiles.
 
     Linear interpolation between order statistics; missing values are skipped and
-    rows with a missing group key are left out. Without ``by``: one row, or none if
-    there is no value.
+    rows with a missing group key are left out. A group without any value has missing
+    quantiles; without ``by`` there is exactly one row.
+
+    ``aggregates`` are computed over all rows of a group in the sketch's pass and put
+    in front of the quantiles, which saves reading ``df`` a third time.
     """
-    by = list(by)
+    by, aggregates = list(by), dict(aggregates or {})
     column = F.col(value) if isinstance(value, str) else value
-    data = df.select(*by, column.cast("double").alias("_v")).where(
-        "_v IS NOT NULL AND NOT isnan(_v)"
-    )
+    rows = df
     for key in by:
-        data = data.where(F.col(key).isNotNull())
+        rows = rows.where(F.col(key).isNotNull())
 
     # Rank error of the sketch is at most n/accuracy; five times that is a safe bracket
     # as long as it spans a few ranks. Groups of up to ``accuracy`` values are kept whole.
@@ -53,48 +56,68 @@ def exact_quantiles(
         for p in probabilities.values()
         for edge in (max(p - margin, 0.0), min(p + margin, 1.0))
     ]
-    sketch = data.groupBy(*by).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", points, accuracy).alias("_cut"),
-    )
-    edges = sketch.where("_n > 0").select(
-        *by,
-        "_n",
-        *[
-            F.when(F.col("_n") <= accuracy, F.lit(float("inf") if i % 2 else float("-inf")))
-            .otherwise(F.get("_cut", F.lit(i)))
-            .alias(f"_cut{i}")
-            for i in range(len(points))
-        ],
+    cuts = [f"_cut{i}" for i in range(len(points))]
+    numeric = known(column.cast("double"))
+    first = (
+        rows.groupBy(*by)
+        .agg(
+            *[c.alias(name) for name, c in aggregates.items()],
+            F.count(numeric).alias("_n"),
+            F.percentile_approx(numeric, points, accuracy).alias("_cut"),
+        )
+        .select(
+            *by,
+            *aggregates,
+            "_n",
+            *[
+                F.when(F.col("_n") <= accuracy, F.lit(float("inf") if i % 2 else float("-inf")))
+                .otherwise(F.get("_cut", F.lit(i)))
+                .alias(c)
+                for i, c in enumerate(cuts)
+            ],
+        )
     )
-    table, is_small = settle(edges)
+    first, is_small = settle(first)
+    if not is_small:
+        first = stage(first, "quantile-groups")
+
+    data = rows.select(*by, numeric.alias("_v")).where("_v IS NOT NULL")
+    edges = first.select(*by, "_n", *cuts)
     if by:
-        data = data.join(F.broadcast(table) if is_small else table, by)
+        data = data.join(F.broadcast(edges) if is_small else edges, by)
     else:
-        row = table.first()
-        cells = row.asDict() if row else {c: None for c in table.columns}
-        kinds = dict(table.dtypes)
-        data = data.withColumns({c: F.lit(v).cast(kinds[c]) for c, v in cells.items()})
+        kinds, row = dict(edges.dtypes), edges.first()
+        data = data.withColumns({c: F.lit(row[c]).cast(kinds[c]) for c in edges.columns})
+    results = _pick(_histogram(data, by, len(probabilities)), by, probabilities)
+    shown = first.select(*by, *aggregates)
+    if by:
+        return shown.join(results, by, "left")
+    return shown.withColumns({name: results.select(name).scalar() for name in probabilities})
 
-    brackets = [
-        (F.col(f"_cut{2 * i}"), F.col(f"_cut{2 * i + 1}")) for i in range(len(probabilities))
-    ]
-    inside = reduce(
-        lambda a, b: a | b, [F.col("_v").between(low, high) for low, high in brackets]
-    )
+
+def _histogram(data: DataFrame, by: list[str], brackets: int) -> DataFrame:
+    """Counts of the values inside brackets and of the gaps between them."""
+    ends = [(F.col(f"_cut{2 * i}"), F.col(f"_cut{2 * i + 1}")) for i in range(brackets)]
+    inside = reduce(lambda a, b: a | b, [F.col("_v").between(low, high) for low, high in ends])
     # A value between brackets stands behind the nearest bracket end below it.
-    behind = _greatest([F.when(high < F.col("_v"), high) for _, high in brackets])
-    histogram = (
+    behind = _greatest([F.when(high < F.col("_v"), high) for _, high in ends])
+    return (
         data.withColumn("_inside", inside)
         .withColumn("_at", F.when(F.col("_inside"), F.col("_v")).otherwise(behind))
         .groupBy(*by, "_n", "_at", "_inside")
         .agg(F.count("*").alias("_rows"))
     )
 
-    partition = by or [F.lit(0)]
-    running = Window.partitionBy(*partition).orderBy(
-        F.col("_at").asc_nulls_first(), F.col("_inside").desc()
-    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+def _pick(
+    histogram: DataFrame, by: list[str], probabilities: Mapping[str, float]
+) -> DataFrame:
+    """Interpolate between the two order statistics around each probability."""
+    running = (
+        Window.partitionBy(*(by or [F.lit(0)]))
+        .orderBy(F.col("_at").asc_nulls_first(), F.col("_inside").desc())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     ranked = histogram.withColumn("_upto", F.sum("_rows").over(running)).withColumn(
         "_before", F.col("_upto") - F.col("_rows")
     )

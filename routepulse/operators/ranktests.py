@@ -252,6 +252,7 @@ def holm_adjust(
 def primary_tests(kpis: DataFrame) -> DataFrame:
     """Algorithm and window test on the routes' late rates, Holm family of two."""
     columns = ["comparison", "test", "statistic", "p_value", "method"]
+    kpis = stage(kpis.select("algorithm", "dispatch_window", "late_rate"), "late-rates")
     both = (
         mann_whitney(kpis)
         .select(*columns)

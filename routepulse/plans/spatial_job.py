@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from routepulse import schemas
@@ -15,7 +17,7 @@ from routepulse.operators.hexes import (
     route_cell_activity,
 )
 from routepulse.operators.intervals import HOT_SPAN_PINGS, span_starts
-from routepulse.session import stage, tune
+from routepulse.session import settle, stage, tune
 from routepulse.sources import load_hex_tables, read_pings, read_table, write_hex_tables
 
 
@@ -37,15 +39,18 @@ def build_hex_tables(
     spans = stage(span_starts(pings, max_gap_min), "spans")
     checks.check_not_empty(spans, "GPS pings")
     checks.check_references(spans, routes)
-    activity = stage(
-        route_cell_activity(pings, routes, grid, max_gap_min, hot_span_pings, spans),
-        "activity",
-    )
+    # The free-flow quantile needs nothing from the activity: let them share the cluster.
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        free_flow = pool.submit(lambda: settle(free_flow_speed(pings, routes))[0])
+        activity = stage(
+            route_cell_activity(pings, routes, grid, max_gap_min, hot_span_pings, spans),
+            "activity",
+        )
+    speeds = free_flow.result()
     homeless = activity.where(f"{grid.keys[0]} IS NULL").select("route_id").limit(checks.EXAMPLES)
     found = [row[0] for row in homeless.collect()]
     if found:
         raise ValueError(f"GPS pings have unusable coordinates on routes {found}")
-    speeds = free_flow_speed(pings, routes)
     return hex_hourly(activity, speeds, grid, min_pings), hex_summary(activity, grid)
 
 

@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -9,6 +10,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    # Workers start elsewhere: like on a cluster, they cannot import the package.
+    home = os.getcwd()
+    os.chdir(tmp_path_factory.mktemp("elsewhere"))
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
@@ -20,5 +24,6 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    os.chdir(home)
     yield session
     session.stop()

@@ -263,9 +263,11 @@ def test_exact_quantiles_equal_brute_force(spark, accuracy):
     random.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     wanted = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q505": 0.505, "q90": 0.9, "q1": 1.0}
-    got = exact_quantiles(df, "v", wanted, ["g"], accuracy).collect()
+    sizes = {"n": F.count("*")}
+    got = exact_quantiles(df, "v", wanted, ["g"], sizes, accuracy).collect()
     assert {r["g"] for r in got} == set(values)
     for row in got:
+        assert row["n"] == len(values[row["g"]]) + 2 * (row["g"] == "one")
         for name, p in wanted.items():
             assert row[name] == pytest.approx(np.quantile(values[row["g"]], p), abs=1e-12)
     every = np.concatenate([*values.values(), [1.0]])
@@ -275,9 +277,20 @@ def test_exact_quantiles_equal_brute_force(spark, accuracy):
 
 
 def test_quantiles_of_nothing(spark):
-    df = spark.createDataFrame([("a", None)], "g string, v double")
-    assert exact_quantiles(df, "v", {"m": 0.5}, ["g"]).count() == 0
-    assert exact_quantiles(df, "v", {"m": 0.5}).count() == 0
+    df = spark.createDataFrame([("a", None), (None, 1.0)], "g string, v double")
+    n = {"n": F.count("*")}
+    assert [tuple(r) for r in exact_quantiles(df, "v", {"m": 0.5}, ["g"], n).collect()] == [("a", 1, None)]
+    none = df.where("g = 'a'")
+    assert [tuple(r) for r in exact_quantiles(none, "v", {"m": 0.5}, (), n).collect()] == [(1, None)]
+
+
+def test_quantiles_of_more_groups_than_are_broadcast(spark, monkeypatch):
+    from routepulse.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "settle", lambda table: (table, False))
+    df = spark.range(1000).selectExpr("id % 20 AS g", "double(id) AS v")
+    got = {r["g"]: r["m"] for r in exact_quantiles(df, "v", {"m": 0.5}, ["g"]).collect()}
+    assert got == {g: 490.0 + g for g in range(20)}
 
 
 @pytest.mark.parametrize("by", [[], ["g"]])
