@@ -70,12 +70,16 @@ def route_cell_activity(
     )
 
 
-def free_flow_speed(pings: DataFrame, routes: DataFrame) -> DataFrame:
+def free_flow_speed(pings: DataFrame, routes: DataFrame, stripes: int = 1) -> DataFrame:
     """0.9 quantile of the moving speed per vehicle type, over all pings."""
     moving = pings.where(F.col("status") == MOVING).select("route_id", "speed_kmh")
     typed = moving.join(routes.select("route_id", "vehicle_type"), "route_id")
     return exact_quantiles(
-        typed, "speed_kmh", {"free_flow_kmh": FREE_FLOW_QUANTILE}, ["vehicle_type"]
+        typed,
+        "speed_kmh",
+        {"free_flow_kmh": FREE_FLOW_QUANTILE},
+        ["vehicle_type"],
+        stripes=stripes,
     )
 
 

@@ -9,6 +9,8 @@ in that same shuffle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,11 +30,14 @@ _NO_TIME = 2**62
 
 def with_span(pings: DataFrame, max_gap_min: float = MAX_PING_GAP_MIN) -> DataFrame:
     """Add ``span``, the number of the time slot (a few gap caps long) of the ping."""
-    slot = int(max_gap_min * SPAN_GAPS * MICROS_PER_MINUTE)
-    micros = micros_between(F.expr(_EPOCH), "ts")
-    return pings.withColumn(
-        "span", F.coalesce(F.floor(micros / F.lit(slot)), F.lit(_NO_TIME))
+    slot = math.ceil(max_gap_min * SPAN_GAPS)
+    since = F.col("ts") - F.expr(_EPOCH)
+    minutes = (
+        F.extract(F.lit("DAY"), since) * 1440
+        + F.extract(F.lit("HOUR"), since) * 60
+        + F.extract(F.lit("MINUTE"), since)
     )
+    return pings.withColumn("span", F.coalesce(F.floor(minutes / slot), F.lit(_NO_TIME)))
 
 
 def span_starts(pings: DataFrame, max_gap_min: float = MAX_PING_GAP_MIN) -> DataFrame:

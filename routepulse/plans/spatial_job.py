@@ -17,9 +17,12 @@ from routepulse.operators.hexes import (
     route_cell_activity,
 )
 from routepulse.operators.intervals import HOT_SPAN_PINGS, span_starts
-from routepulse.session import settle, stage, tune
+from routepulse.session import SHUFFLE_PARTITION_BYTES, settle, stage, tune
 from routepulse.sources import load_hex_tables, read_pings, read_table, write_hex_tables
 
+# Sketches one task merges per vehicle type.
+TASKS_PER_STRIPE = 4096
+
 
 def build_hex_tables(
     pings: DataFrame,
@@ -28,6 +31,7 @@ def build_hex_tables(
     max_gap_min: float = schemas.MAX_PING_GAP_MIN,
     min_pings: int = schemas.MIN_PINGS_PER_HEX_HOUR,
     hot_span_pings: int = HOT_SPAN_PINGS,
+    stripes: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """Check the inputs and return (hex_hourly, hex_summary).
 
@@ -41,7 +45,7 @@ def build_hex_tables(
     checks.check_references(spans, routes)
     # The free-flow quantile needs nothing from the activity: let them share the cluster.
     with ThreadPoolExecutor(max_workers=1) as pool:
-        free_flow = pool.submit(lambda: settle(free_flow_speed(pings, routes))[0])
+        free_flow = pool.submit(lambda: settle(free_flow_speed(pings, routes, stripes))[0])
         activity = stage(
             route_cell_activity(pings, routes, grid, max_gap_min, hot_span_pings, spans),
             "activity",
@@ -64,12 +68,16 @@ def run_spatial_job(
 ) -> tuple[DataFrame, DataFrame]:
     """Read ``pings`` and ``routes``, write both hexagon tables and return them.
 
-    ``ping_bytes``, the uncompressed size of the pings, sizes the shuffle.
+    ``ping_bytes``, the uncompressed size of the pings, sizes the shuffles and the
+    merging of the speed sketches.
     """
     tune(spark, ping_bytes)
+    tasks = -(-(ping_bytes or 0) // SHUFFLE_PARTITION_BYTES)
     columns = ["route_id", "vehicle_type", "region"]
     routes = read_table(spark, raw_dir, "routes", schemas.ROUTES, columns)
     pings = read_pings(spark, raw_dir)
-    hourly, summary = build_hex_tables(pings, routes, grid or PlanarGrid(res))
+    hourly, summary = build_hex_tables(
+        pings, routes, grid or PlanarGrid(res), stripes=max(1, tasks // TASKS_PER_STRIPE)
+    )
     write_hex_tables(hourly, summary, out_dir)
     return load_hex_tables(spark, out_dir)

@@ -1,3 +1,5 @@
+import contextlib
+import io
 import random
 from datetime import datetime, timedelta
 
@@ -11,6 +13,7 @@ from routepulse.functions.columns import round_even
 from routepulse.operators import checks, facts, kpis, outliers
 from routepulse.operators.quantiles import exact_quantiles
 from routepulse.operators.running import running
+from routepulse.session import tune
 from routepulse.plans.views import FleetView, wait_outlier_view
 
 T0 = datetime(2025, 3, 3, 8)
@@ -276,6 +279,50 @@ def test_exact_quantiles_equal_brute_force(spark, accuracy):
         assert row[name] == pytest.approx(np.quantile(every, p), abs=1e-12)
 
 
+@pytest.mark.parametrize("ordered", [False, True])
+def test_striped_sketches_give_the_same_quantiles(spark, ordered):
+    rng = np.random.default_rng(12)
+    values = rng.normal(0, 1, 20_000)
+    if ordered:  # every stripe sees a different part of the distribution
+        values.sort()
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").coalesce(8)
+    wanted = {"low": 0.1, "mid": 0.5, "high": 0.95}
+    row = exact_quantiles(df, "v", wanted, accuracy=1000, stripes=4).first()
+    for name, p in wanted.items():
+        assert row[name] == pytest.approx(np.quantile(values, p), abs=1e-12)
+
+
+def test_hot_route_is_split_in_the_facts_join(spark):
+    tune(spark)
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        stops = spark.range(0, 120_000, 1, 8).selectExpr(
+            "IF(id % 3 = 0, 'hot', concat('r', id % 997)) AS route_id",
+            "id AS stop_seq", "double(hash(id) % 40) AS delay_min",
+        )
+        routes = routes_of(spark, route("hot"), *[route(f"r{i}") for i in range(997)])
+        df = facts.build_stop_facts(routes, stops)
+        attribution = kpis.delay_attribution(df, "depot")
+        per_route = kpis.route_kpis(df)
+        assert attribution.first()["stops"] == 120_000
+        assert {r["route_id"]: r["n_stops"] for r in per_route.collect()}["hot"] == 40_000
+        for table in (attribution, per_route):
+            out = io.StringIO()
+            with contextlib.redirect_stdout(out):
+                table.explain()
+            assert "skew=true" in out.getvalue()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([("a", None), (None, 1.0)], "g string, v double")
     n = {"n": F.count("*")}
