@@ -311,7 +311,7 @@ def test_hot_route_is_split_in_the_facts_join(spark):
         df = facts.build_stop_facts(routes, stops)
         attribution = kpis.delay_attribution(df, "depot")
         per_route = kpis.route_kpis(df)
-        assert attribution.first()["stops"] == 120_000
+        assert attribution.collect()[0]["stops"] == 120_000
         assert {r["route_id"]: r["n_stops"] for r in per_route.collect()}["hot"] == 40_000
         for table in (attribution, per_route):
             out = io.StringIO()
