@@ -41,7 +41,8 @@ def exact_quantiles(
     quantiles; without ``by`` there is exactly one row.
 
     ``aggregates`` are computed over all rows of a group in the sketch's pass and put
-    in front of the quantiles, which saves reading ``df`` a third time.
+    in front of the quantiles, which saves reading ``df`` a third time. They must not
+    be distinct ones, which would split the sketch.
 
     With ``stripes``, a group's sketches are merged by that many tasks instead of one:
     for scans of many thousands of tasks. A quantile of the whole lies between the
@@ -112,8 +113,12 @@ def exact_quantiles(
     results = _pick(_histogram(data, by, len(probabilities)), by, probabilities)
     shown = first.select(*by, *aggregates)
     if by:
-        return shown.join(results, by, "left")
-    return shown.withColumns({name: results.select(name).scalar() for name in probabilities})
+        table = shown.join(results, by, "left")
+    else:
+        packed = results.select(F.struct(*probabilities)).scalar()
+        table = shown.withColumns({name: packed[name] for name in probabilities})
+    # Callers often use a small result several times: evaluate it once.
+    return settle(table)[0] if is_small else table
 
 
 def _histogram(data: DataFrame, by: list[str], brackets: int) -> DataFrame:

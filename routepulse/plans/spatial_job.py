@@ -39,18 +39,19 @@ def build_hex_tables(
     once for the activity, and twice for the free-flow quantile (two columns).
     """
     grid = grid or PlanarGrid()
-    checks.check_unique(routes, "route_id")
-    spans = stage(span_starts(pings, max_gap_min), "spans")
-    checks.check_not_empty(spans, "GPS pings")
-    checks.check_references(spans, routes)
-    # The free-flow quantile needs nothing from the activity: let them share the cluster.
-    with ThreadPoolExecutor(max_workers=1) as pool:
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        # Jobs that do not need each other share the cluster.
+        unique = pool.submit(checks.check_unique, routes, "route_id")
         free_flow = pool.submit(lambda: settle(free_flow_speed(pings, routes, stripes))[0])
+        spans = stage(span_starts(pings, max_gap_min), "spans")
+        checks.check_not_empty(spans, "GPS pings")
+        unique.result()
+        checks.check_references(spans, routes)
         activity = stage(
             route_cell_activity(pings, routes, grid, max_gap_min, hot_span_pings, spans),
             "activity",
         )
-    speeds = free_flow.result()
+        speeds = free_flow.result()
     homeless = activity.where(f"{grid.keys[0]} IS NULL").select("route_id").limit(checks.EXAMPLES)
     found = [row[0] for row in homeless.collect()]
     if found:

@@ -60,7 +60,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     consumers and gives the planner its true size.
     """
     spark = df.sparkSession
-    path = f"{staging_dir(spark).rstrip('/')}/routepulse/{name}-{uuid.uuid4().hex}"
+    application = f"routepulse-{spark.sparkContext.applicationId}"
+    path = f"{staging_dir(spark).rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
