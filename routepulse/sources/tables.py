@@ -26,15 +26,10 @@ def _path_missing(error: AnalysisException) -> bool:
 
 
 def _open_parquet(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        # Nanosecond timestamps have no Spark type; read them as integers and let
-        # conform() turn them into zone-less timestamps.
-        if "NANOS" not in str(error):
-            raise
-        spark.conf.set(NANOS_AS_LONG, "true")
-        return spark.read.parquet(path)
+    # Spark has no nanosecond timestamps: read them as integers and let conform() turn
+    # them into zone-less timestamps. The setting must still hold when the scan runs.
+    spark.conf.set(NANOS_AS_LONG, "true")
+    return spark.read.parquet(path)
 
 
 def _open_csv(spark: SparkSession, path: str) -> DataFrame:
