@@ -20,7 +20,7 @@ from routepulse.schemas import (
     SERVICING,
     WAITING,
 )
-from routepulse.session import join_small
+from routepulse.session import join_small, stage
 
 Grid = PlanarGrid | H3Grid
 
@@ -71,11 +71,15 @@ def route_cell_activity(
 
 
 def free_flow_speed(pings: DataFrame, routes: DataFrame, stripes: int = 1) -> DataFrame:
-    """0.9 quantile of the moving speed per vehicle type, over all pings."""
+    """0.9 quantile of the moving speed per vehicle type, over all pings.
+
+    The two columns are staged: the quantile reads them twice, the join runs once.
+    """
     moving = pings.where(F.col("status") == MOVING).select("route_id", "speed_kmh")
     typed = moving.join(routes.select("route_id", "vehicle_type"), "route_id")
+    speeds = stage(typed.select("vehicle_type", "speed_kmh"), "moving-speeds")
     return exact_quantiles(
-        typed,
+        speeds,
         "speed_kmh",
         {"free_flow_kmh": FREE_FLOW_QUANTILE},
         ["vehicle_type"],

@@ -17,6 +17,7 @@ from routepulse.schemas import (
     ROUTE_ATTRIBUTES,
     WINDOW_ORDER,
 )
+from routepulse.session import stage
 
 
 def delay_attribution(facts: DataFrame, by: str, digits: int | None = 3) -> DataFrame:
@@ -60,8 +61,11 @@ def eta_accuracy(facts: DataFrame, by: str | None = None, digits: int | None = 3
     """Bias, MAE, 90th percentile of the absolute error and on-time rate.
 
     Needs ``delay_min`` and ``is_late`` only: for the overall figures pass the
-    flagged stops, which saves the join with routes.
+    flagged stops, which saves the join with routes. Grouped facts are usually a join,
+    and the quantile reads them twice: the needed columns are staged.
     """
+    if by:
+        facts = stage(facts.select(by, "delay_min", "is_late"), "eta")
     error = F.abs(F.col("delay_min"))
     table = exact_quantiles(
         facts,
@@ -213,6 +217,7 @@ def window_late_rates(kpis: DataFrame) -> DataFrame:
 
 def late_rate_summary(kpis: DataFrame, by: str, digits: int | None = 3) -> DataFrame:
     """Routes, mean and median of the routes' late rates per group."""
+    kpis = stage(kpis.select(by, "late_rate"), "late-rates")
     table = exact_quantiles(
         kpis,
         "late_rate",

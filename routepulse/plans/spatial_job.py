@@ -36,7 +36,7 @@ def build_hex_tables(
     """Check the inputs and return (hex_hourly, hex_summary).
 
     Pings are scanned for the span table (two columns; it also serves the checks),
-    once for the activity, and twice for the free-flow quantile (two columns).
+    once for the activity, and once for the free-flow quantile (three columns).
     """
     grid = grid or PlanarGrid()
     with ThreadPoolExecutor(max_workers=2) as pool:
