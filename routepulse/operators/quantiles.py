@@ -3,8 +3,9 @@
 ``percentile`` keeps every distinct value of a group in one buffer. Here a bounded
 sketch (combined on the map side) first brackets each wanted rank; a second pass
 merges all values outside the brackets into counts, also on the map side, so only
-about 0.1 % of a group's distinct values per quantile is ever sorted. The sketch only
-decides where to look: the result comes from exact counts.
+about 0.1 % of a group's distinct values per quantile is ever sorted, in blocks where
+even that is too much for one task. The sketch only decides where to look: the result
+comes from exact counts.
 """
 
 from __future__ import annotations
@@ -12,10 +13,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from routepulse.functions.columns import known
+from routepulse.operators.running import ONE_TASK_ROWS, longest_group, running
 from routepulse.session import settle, stage
 
 ACCURACY = 10_000
@@ -33,6 +35,7 @@ def exact_quantiles(
     aggregates: Mapping[str, Column] | None = None,
     accuracy: int = ACCURACY,
     stripes: int = 1,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """One row per group with ``{name: probability}`` quantiles.
 
@@ -86,18 +89,15 @@ def exact_quantiles(
         sketched = rows.groupBy(*by).agg(
             *[c.alias(name) for name, c in aggregates.items()], *sketch
         )
-    first = (
-        sketched.select(
-            *by,
-            *aggregates,
-            "_n",
-            *[
-                F.when(F.col("_n") <= accuracy, F.lit(float("inf") if i % 2 else float("-inf")))
-                .otherwise(F.get("_cut", F.lit(i)))
-                .alias(c)
-                for i, c in enumerate(cuts)
-            ],
-        )
+    whole = [F.lit(float("inf") if i % 2 else float("-inf")) for i in range(len(points))]
+    first = sketched.select(
+        *by,
+        *aggregates,
+        "_n",
+        *[
+            F.when(F.col("_n") <= accuracy, whole[i]).otherwise(F.get("_cut", F.lit(i))).alias(c)
+            for i, c in enumerate(cuts)
+        ],
     )
     first, is_small = settle(first)
     if not is_small:
@@ -110,7 +110,18 @@ def exact_quantiles(
     else:
         kinds, row = dict(edges.dtypes), edges.first()
         data = data.withColumns({c: F.lit(row[c]).cast(kinds[c]) for c in edges.columns})
-    results = _pick(_histogram(data, by, len(probabilities)), by, probabilities)
+    histogram = _histogram(data, by, len(probabilities))
+    # Rows inside brackets: the margins and the sketch's error on both sides.
+    largest = edges.agg(F.max("_n")).first()[0] or 0
+    kept = largest * 12 / accuracy * len(probabilities) if largest > accuracy else largest
+    longest = int(kept)
+    if kept > one_task_rows or stripes > 1:
+        histogram = stage(histogram, "histogram")
+        longest = longest_group(histogram, by)
+    ranked = running(
+        histogram, "_at", {"_all": ("sum", "_rows")}, by, longest, one_task_rows
+    ).withColumn("_before", F.col("_all") - F.col("_rows"))
+    results = _pick(ranked, by, probabilities)
     shown = first.select(*by, *aggregates)
     if by:
         table = shown.join(results, by, "left")
@@ -122,34 +133,28 @@ def exact_quantiles(
 
 
 def _histogram(data: DataFrame, by: list[str], brackets: int) -> DataFrame:
-    """Counts of the values inside brackets and of the gaps between them."""
+    """Counts per value inside a bracket, with the values of the gap that follows it."""
     ends = [(F.col(f"_cut{2 * i}"), F.col(f"_cut{2 * i + 1}")) for i in range(brackets)]
     inside = reduce(lambda a, b: a | b, [F.col("_v").between(low, high) for low, high in ends])
-    # A value between brackets stands behind the nearest bracket end below it.
+    # A value in a gap counts with the nearest bracket end below it, if there is one.
     behind = _greatest([F.when(high < F.col("_v"), high) for _, high in ends])
+    behind = F.coalesce(behind, F.lit(float("-inf")))
     return (
         data.withColumn("_inside", inside)
         .withColumn("_at", F.when(F.col("_inside"), F.col("_v")).otherwise(behind))
-        .groupBy(*by, "_n", "_at", "_inside")
-        .agg(F.count("*").alias("_rows"))
+        .groupBy(*by, "_n", "_at")
+        .agg(
+            F.count("*").alias("_rows"),
+            F.sum(F.col("_inside").cast("long")).alias("_exact"),
+        )
     )
 
 
-def _pick(
-    histogram: DataFrame, by: list[str], probabilities: Mapping[str, float]
-) -> DataFrame:
+def _pick(ranked: DataFrame, by: list[str], probabilities: Mapping[str, float]) -> DataFrame:
     """Interpolate between the two order statistics around each probability."""
-    running = (
-        Window.partitionBy(*(by or [F.lit(0)]))
-        .orderBy(F.col("_at").asc_nulls_first(), F.col("_inside").desc())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = histogram.withColumn("_upto", F.sum("_rows").over(running)).withColumn(
-        "_before", F.col("_upto") - F.col("_rows")
-    )
 
     def at_rank(rank: Column) -> Column:
-        hit = (F.col("_before") <= rank) & (rank < F.col("_upto")) & F.col("_inside")
+        hit = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_exact"))
         return F.max(F.when(hit, F.col("_at")))
 
     picks, results = [], {}

@@ -249,8 +249,8 @@ def test_rounding_is_half_even_on_the_scaled_value(spark):
 # ------------------------------------------------------------------ quantiles, running
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 100])
-def test_exact_quantiles_equal_brute_force(spark, accuracy):
+@pytest.mark.parametrize("accuracy, one_task_rows", [(10_000, 10**6), (100, 10**6), (100, 10)])
+def test_exact_quantiles_equal_brute_force(spark, accuracy, one_task_rows):
     rng = np.random.default_rng(1)
     values = {
         "spread": rng.lognormal(2, 1.5, 6000),
@@ -267,14 +267,14 @@ def test_exact_quantiles_equal_brute_force(spark, accuracy):
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     wanted = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q505": 0.505, "q90": 0.9, "q1": 1.0}
     sizes = {"n": F.count("*")}
-    got = exact_quantiles(df, "v", wanted, ["g"], sizes, accuracy).collect()
+    got = exact_quantiles(df, "v", wanted, ["g"], sizes, accuracy, 1, one_task_rows).collect()
     assert {r["g"] for r in got} == set(values)
     for row in got:
         assert row["n"] == len(values[row["g"]]) + 2 * (row["g"] == "one")
         for name, p in wanted.items():
             assert row[name] == pytest.approx(np.quantile(values[row["g"]], p), abs=1e-12)
     every = np.concatenate([*values.values(), [1.0]])
-    row = exact_quantiles(df, "v", wanted, accuracy=accuracy).first()
+    row = exact_quantiles(df, "v", wanted, accuracy=accuracy, one_task_rows=one_task_rows).first()
     for name, p in wanted.items():
         assert row[name] == pytest.approx(np.quantile(every, p), abs=1e-12)
 
