@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routepulse.llm import bpe, language_id, token_counts
+from routepulse.llm import bpe, language_id, similar_vectors, token_counts, url_filter
 from routepulse.llm.common import only, prepare
 
 QUERIES, ORACLES = {}, {}
@@ -61,3 +61,31 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("""
+    WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+        SELECT q.vec_id AS query_id, r.vec_id,
+            CAST(list_sum(list_transform(range(1, len(r.v) + 1), i -> q.v[i] * r.v[i])) AS BIGINT) AS score
+        FROM vectors q JOIN vectors r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v)
+        WHERE q.vec_id % 50 = 0),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)
+    SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+""")
+def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = only(table(spark, folder, "embeddings"), "vec_id", "embedding").select("vec_id", similar_vectors.quantised(F.col("embedding")).alias("vector"))
+    return similar_vectors.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+#: The rules that the URLs are judged by.
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+
+
+@query()
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
