@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routepulse.llm import bpe, language_id, similar_vectors, token_counts, url_filter
+from routepulse.llm import bpe, language_id, personal_data, similar_vectors, token_counts, url_filter
 from routepulse.llm.common import only, prepare
 
 QUERIES, ORACLES = {}, {}
@@ -82,6 +82,18 @@ def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return similar_vectors.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
+@query()
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    kinds = tuple(personal_data.KINDS)
+    found = personal_data.find_personal_data(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in kinds),
+        F.sha2(personal_data.listed(kinds), 256).alias("base_sha256"),
+        personal_data.listed((*kinds, "term")).alias("spans"),
+    )
+
+
 #: The rules that the URLs are judged by.
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 
