@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routepulse.llm import bpe, language_id, personal_data, similar_vectors, token_counts, url_filter
+from routepulse.llm import bpe, language_id, near_duplicates, personal_data, similar_vectors, token_counts, url_filter
 from routepulse.llm.common import only, prepare
 
 QUERIES, ORACLES = {}, {}
@@ -44,6 +44,11 @@ def fold(column: str, folds: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
+@query()
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+
+
 @query()
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
