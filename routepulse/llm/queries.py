@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routepulse.llm import bpe, language_id, near_duplicates, personal_data, similar_vectors, token_counts, url_filter
+from routepulse.llm import bpe, contamination, language_id, lm_scoring, near_duplicates, personal_data, similar_vectors, token_counts, url_filter
 from routepulse.llm.common import only, prepare
 
 QUERIES, ORACLES = {}, {}
@@ -44,6 +44,22 @@ def fold(column: str, folds: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
+@query("""
+    WITH docs AS (SELECT DISTINCT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    items AS (SELECT DISTINCT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark),
+    sizes AS (SELECT item_id, w, least(len(w), 5) AS k FROM items WHERE item_id IS NOT NULL AND len(w) > 0),
+    wanted AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS shingle FROM sizes, unnest(range(1, len(w) - k + 2)) AS t(i)),
+    held AS (SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS shingle FROM docs, (SELECT DISTINCT k FROM sizes), unnest(range(1, len(w) - k + 2)) AS t(i)),
+    totals AS (SELECT item_id, count(*) AS n FROM wanted GROUP BY ALL),
+    shared AS (SELECT doc_id, item_id, count(*) AS s FROM held JOIN wanted USING (k, shingle) GROUP BY ALL)
+    SELECT doc_id, item_id, n AS n_shingles, s AS n_shared FROM shared JOIN totals USING (item_id) WHERE 100 * s >= 80 * n
+""")
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = only(table(spark, folder, "documents"), "doc_id", "text")
+    found = contamination.find_items(docs, table(spark, folder, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
 @query()
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
@@ -68,6 +84,13 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@query()
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = lm_scoring.score_texts(docs, docs.where(fold("doc_id", 5) != 1))
+    return scored.withColumn("held_out", fold("doc_id", 5) == 1)
+
+
 @query("""
     WITH vectors AS (
         SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
