@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routepulse.llm import bpe, contamination, language_id, lm_scoring, near_duplicates, personal_data, similar_vectors, token_counts, url_filter
+from routepulse.llm import bpe, contamination, html_extraction, language_id, lm_scoring, near_duplicates, personal_data, similar_vectors, token_counts, url_filter
 from routepulse.llm.common import only, prepare
 
 QUERIES, ORACLES = {}, {}
@@ -44,6 +44,11 @@ def fold(column: str, folds: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
+@query()
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract_text(table(spark, folder, "pages"))
+
+
 @query("""
     WITH docs AS (SELECT DISTINCT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
     items AS (SELECT DISTINCT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark),
