@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from routepulse.llm.common import only
-from routepulse.session import settle, stage
+from routepulse.session import stage
 
 #: Kinds in order, and their patterns. Possessive runs and "not inside a run, unless a match
 #: ended here" find the same matches as the plain patterns in linear time.
@@ -134,16 +134,14 @@ def disclosing_spans(docs: DataFrame, found: DataFrame, threshold: float = THRES
     pairs = pairs.agg(F.countDistinct("fingerprint").alias("texts"), F.countDistinct("doc").alias("both")).where(F.col("texts") >= least_texts)
     pairs = stage(pairs, "pii-pairs")
     entities = beside.select("entity", "doc").distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
+    # counted before they are joined: a task sends a word once, however many documents hold it
     words = F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_column), F.lit(TERM), F.lit(0))))
-    words = docs.select(words.alias("term"))
-    terms, small = settle(pairs.select("term").distinct())
-    if small:
-        words = words.join(F.broadcast(terms), "term", "left_semi")  # 10,000 terms at most
-    words = words.groupBy("term").agg(F.count("*").alias("with_term"))
+    words = docs.select(words.alias("term")).select(F.xxhash64("term").alias("hash"))
+    words = words.groupBy("hash").agg(F.count("*").alias("with_term"))
     size = docs.agg(F.count("*").cast("double").alias("size"))
     worth = -F.log2(F.col("with_entity") / F.col("size"))
     revealed = F.log2(F.col("both") * F.col("size") / (F.col("with_term") * F.col("with_entity")))
-    flagged = pairs.join(words, "term").join(entities, "entity").join(F.broadcast(size))  # one row
+    flagged = pairs.withColumn("hash", F.xxhash64("term")).join(words, "hash").join(entities, "entity").join(F.broadcast(size))  # one row
     flagged = flagged.where((worth > 0) & (revealed >= threshold * worth)).select("entity", "term")
     spans = beside.join(flagged, ["entity", "term"], "left_semi").groupBy("doc")
     return spans.agg(F.array_sort(F.collect_set(F.struct("start", "end", F.col("term").alias("value")))).alias("terms"))
