@@ -123,16 +123,19 @@ def _merge(tree: DataFrame, level: int) -> DataFrame:
         .groupBy("host", "parent", "segment")
         .agg(F.array_join(F.sort_array(F.collect_set(F.when(below.rlike(r"^(\{[a-z]\}/?)*$"), below).otherwise("literal"))), " ").alias("under"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     )
-    like = branches.groupBy("host", "parent", "under").agg(
+    # only branches with rates in one quarter, or without labels, may become one
+    rate = F.least(F.floor(4 * F.col("blocked") / F.col("labelled")), F.lit(3))
+    branches = branches.withColumn("quarter", F.coalesce(F.when(F.col("labelled") > 0, rate), F.lit(-1)))
+    like = branches.groupBy("host", "parent", "under", "quarter").agg(
         F.count("*").alias("siblings"), F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked")
     )
     mean = F.col("all_blocked") / F.col("all_labelled")
     error = F.sqrt(mean * (1 - mean) / F.greatest(F.col("labelled"), F.lit(1)))
     alike = F.when(F.col("all_labelled") == 0, True).otherwise((F.col("labelled") > 0) & (F.abs(F.col("blocked") / F.col("labelled") - mean) <= DEVIATIONS * error))
     merged = (
-        branches.join(like.where(F.col("siblings") > 1), ["host", "parent", "under"])
+        branches.join(like.where(F.col("siblings") > 1), ["host", "parent", "under", "quarter"])
         .where(F.coalesce(alike, F.lit(False)))
-        .select("host", "parent", "segment", F.concat(F.lit("{m"), F.substr(F.sha2("under", 256), F.lit(1), F.lit(8)), F.lit("}")).alias("to"))
+        .select("host", "parent", "segment", F.concat(F.lit("{m"), F.substr(F.sha2("under", 256), F.lit(1), F.lit(8)), (F.col("quarter") + 1).cast("string"), F.lit("}")).alias("to"))
     )
     return _rename(keyed, merged, level)
 
