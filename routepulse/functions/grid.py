@@ -1,11 +1,9 @@
 """Hexagonal cells.
 
-``PlanarGrid`` is the default and is column arithmetic only, so it stays inside
+``PlanarGrid`` is column arithmetic only, so it stays inside
 whole-stage codegen: coordinates are projected onto a flat plane around a city,
 turned into axial hexagon coordinates and rounded to the nearest hexagon. Inside a
 job a cell is two integers; its text id is made once per aggregated row.
-
-``H3Grid`` yields true H3 ids where the ``h3`` package is installed.
 """
 
 from __future__ import annotations
@@ -13,7 +11,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,69 +100,22 @@ class PlanarGrid:
         return df.withColumns({"hex_lat": lat, "hex_lon": lon})
 
 
-@dataclass(frozen=True)
-class H3Grid:
-    """True H3 ids through Arrow batches; needs the ``h3`` package on the workers."""
-
-    res: int = HEX_RESOLUTION
-
-    keys = ("cell",)
-
-    def locate(self, df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
-        res = self.res
-
-        @F.pandas_udf("string")
-        def to_cell(lats: pd.Series, lons: pd.Series) -> pd.Series:
-            import h3
-
-            return pd.Series(
-                [
-                    h3.latlng_to_cell(a, b, res) if math.isfinite(a + b) else None
-                    for a, b in zip(lats, lons)
-                ]
-            )
-
-        return df.withColumn("cell", to_cell(F.col(lat), F.col(lon)))
-
-    def name_cells(self, df: DataFrame, out: str = "h3") -> DataFrame:
-        return self.centers(df.withColumnRenamed("cell", out), out)
-
-    def centers(self, df: DataFrame, cell: str = "h3") -> DataFrame:
-        @F.pandas_udf("struct<hex_lat double, hex_lon double>")
-        def to_center(cells: pd.Series) -> pd.DataFrame:
-            import h3
-
-            known = {c: h3.cell_to_latlng(c) for c in cells.dropna().unique()}
-            return pd.DataFrame(
-                [known.get(c, (None, None)) for c in cells],
-                columns=["hex_lat", "hex_lon"],
-            )
-
-        return (
-            df.withColumn("_center", to_center(F.col(cell)))
-            .select("*", "_center.hex_lat", "_center.hex_lon")
-            .drop("_center")
-        )
-
-
 def add_cells(
     df: DataFrame,
     res: int = HEX_RESOLUTION,
     lat: str = "lat",
     lon: str = "lon",
-    grid: PlanarGrid | H3Grid | None = None,
+    grid: PlanarGrid | None = None,
     out: str = "h3",
 ) -> DataFrame:
     """Tag every row with its cell id."""
     grid = grid or PlanarGrid(res)
     located = grid.locate(df, lat, lon)
-    if isinstance(grid, PlanarGrid):
-        return located.withColumn(out, grid.cell_id()).drop(*grid.keys)
-    return located.withColumnRenamed("cell", out)
+    return located.withColumn(out, grid.cell_id()).drop(*grid.keys)
 
 
 def add_cell_centers(
-    df: DataFrame, cell: str = "h3", grid: PlanarGrid | H3Grid | None = None
+    df: DataFrame, cell: str = "h3", grid: PlanarGrid | None = None
 ) -> DataFrame:
     """Add hex_lat / hex_lon of the cell id; call it on aggregated rows."""
     return (grid or PlanarGrid()).centers(df, cell)

@@ -26,13 +26,13 @@ def unknown_keys(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
 def check_unique(df: DataFrame, key: str, what: str = "Route IDs") -> None:
     found = duplicate_keys(df, key).limit(EXAMPLES).collect()
     if found:
-        raise ValueError(f"{what} must be unique; repeated: {[row[0] for row in found]}")
+        raise ValueError(f"{what} occur more than once: {[row[0] for row in found]}")
 
 
 def check_references(df: DataFrame, known: DataFrame, key: str = "route_id") -> None:
     found = unknown_keys(df, known, key).limit(EXAMPLES).collect()
     if found:
-        raise ValueError(f"GPS pings reference unknown route IDs: {[row[0] for row in found]}")
+        raise ValueError(f"pings of routes that are not in the routes table: {[row[0] for row in found]}")
 
 
 def check_not_empty(df: DataFrame, what: str) -> None:
@@ -43,7 +43,7 @@ def check_not_empty(df: DataFrame, what: str) -> None:
 def check_columns(df: DataFrame, required: Iterable[str], purpose: str) -> None:
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing columns required for {purpose}: {missing}")
+        raise ValueError(f"{purpose} needs the columns {missing}")
 
 
 def check_no_missing(df: DataFrame, column: str) -> None:
@@ -52,4 +52,4 @@ def check_no_missing(df: DataFrame, column: str) -> None:
     if dict(df.dtypes)[column] in ("double", "float"):
         absent = absent | F.isnan(value)
     if not df.where(absent).isEmpty():
-        raise ValueError(f"{column} contains missing values; resolve them before outlier analysis.")
+        raise ValueError(f"{column} must be known in every row for outliers to be found")

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from routepulse.functions.columns import flag, is_peak, minutes_between
+from routepulse.functions.columns import flag, is_peak, known, minutes_between
 from routepulse.schemas import (
     CITY_CENTER,
     KM_PER_DEGREE,
@@ -22,7 +22,7 @@ ALL = "All"
 
 def flag_late(stops: DataFrame, threshold: float = LATE_THRESHOLD_MIN) -> DataFrame:
     """``is_late`` at the caller's threshold; needs no route."""
-    return stops.withColumn("is_late", flag(F.col("delay_min") > threshold))
+    return stops.withColumn("is_late", flag(known(F.col("delay_min")) > threshold))
 
 
 def build_stop_facts(
@@ -44,8 +44,9 @@ def build_stop_facts(
 
 def split_delay(joined: DataFrame, threshold: float = LATE_THRESHOLD_MIN) -> DataFrame:
     """Lateness as it was, and as it would be without the dispatch wait."""
-    transit = F.col("delay_min") - F.col("wait_min")
-    late, late_anyway = flag(F.col("delay_min") > threshold), flag(transit > threshold)
+    delay = known(F.col("delay_min"))
+    transit = delay - known(F.col("wait_min"))
+    late, late_anyway = flag(delay > threshold), flag(transit > threshold)
     return joined.withColumns(
         {
             "is_late": late,
@@ -177,7 +178,7 @@ def stops_per_route(stops: DataFrame, threshold: float = LATE_THRESHOLD_MIN) ->
         .agg(
             F.count("*").alias("stops"),
             F.sum(F.col("is_late").cast("long")).alias("late_stops"),
-            F.avg("delay_min").alias("mean_delay_min"),
-            F.max("delay_min").alias("max_delay_min"),
+            F.avg(known(F.col("delay_min"))).alias("mean_delay_min"),
+            F.max(known(F.col("delay_min"))).alias("max_delay_min"),
         )
     )

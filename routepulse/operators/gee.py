@@ -124,20 +124,29 @@ def _patterns(facts: DataFrame) -> DataFrame:
     return stage(collapsed.sortWithinPartitions("driver_id"), "gee-patterns")
 
 
+#: Different values of a category that a model can have.
+MAX_LEVELS = 500
+
+
 def _design(patterns: DataFrame) -> tuple[Design, int, int]:
     stops = F.col("stops")
     row = patterns.agg(
         F.sum("stops").alias("stops"),
         F.sum("late_stops").alias("late"),
         F.countDistinct("driver_id").alias("drivers"),
+        *[F.approx_count_distinct(c).alias(f"{c}_levels") for c in CATEGORIES],
         *[F.sum(F.col(m) * stops).alias(f"{m}_1") for m in MEASURES],
         *[F.sum(F.col(m) * F.col(m) * stops).alias(f"{m}_2") for m in MEASURES],
     ).first()
     n = row["stops"]
     if not n or row["late"] in (0, n):
-        raise ValueError("Driver-clustered analysis requires both late and on-time stops.")
+        raise ValueError("the stops are all late or all on time: nothing to model")
     if row["drivers"] < 2:
-        raise ValueError("Driver-clustered analysis requires at least two drivers.")
+        raise ValueError("fewer than two drivers: no clusters to compare")
+    # Their square is solved on the driver program; the count is within a few percent.
+    wide = [c for c in CATEGORIES if row[f"{c}_levels"] > MAX_LEVELS]
+    if wide:
+        raise ValueError(f"too many different values (over {MAX_LEVELS}) in {wide}")
     seen = patterns.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in CATEGORIES]).first()
     centers = {m: row[f"{m}_1"] / n for m in MEASURES}
     scales = {

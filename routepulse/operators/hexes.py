@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from routepulse.functions.columns import as_minutes, congestion, congestion_color
-from routepulse.functions.grid import H3Grid, PlanarGrid
+from routepulse.functions.columns import as_minutes, congestion, congestion_color, known
+from routepulse.functions.grid import PlanarGrid
 from routepulse.operators.facts import filter_rows
-from routepulse.operators.intervals import HOT_SPAN_PINGS, activity_intervals
+from routepulse.operators.intervals import HOT_SPAN_PINGS, fix_intervals
 from routepulse.operators.quantiles import exact_quantiles
 from routepulse.schemas import (
     FREE_FLOW_QUANTILE,
@@ -22,7 +22,7 @@ from routepulse.schemas import (
 )
 from routepulse.session import join_small, stage
 
-Grid = PlanarGrid | H3Grid
+Grid = PlanarGrid
 
 _SUMS = (
     "n_pings",
@@ -49,28 +49,30 @@ def route_cell_activity(
     table; stage it when both are wanted.
     """
     fixes = grid.locate(
-        activity_intervals(pings, routes, max_gap_min, hot_span_pings, spans)
+        fix_intervals(pings, routes, max_gap_min, hot_span_pings, spans)
     ).withColumn("hour", F.hour("ts"))
     # Merged copies contain zero-length intervals even if the last one has no end.
     spent = F.when(F.col("n_pings") > 1, F.coalesce("duration_us", F.lit(0))).otherwise(
         F.col("duration_us")
     )
 
+    speed = known(F.col("speed_kmh"))
+
     def when_status(status: int, value: Column) -> Column:
         return F.sum(F.when(F.col("status") == status, value))
 
     return fixes.groupBy("route_id", "region", "vehicle_type", *grid.keys, "hour").agg(
         F.sum("n_pings").alias("n_pings"),
         F.coalesce(when_status(MOVING, F.col("n_pings")), F.lit(0)).alias("moving_pings"),
-        when_status(MOVING, F.col("n_speeds")).alias("moving_speeds"),
-        when_status(MOVING, F.col("speed_sum")).alias("moving_speed_sum"),
+        when_status(MOVING, F.when(speed.isNotNull(), F.col("n_pings")).otherwise(0)).alias("moving_speeds"),
+        when_status(MOVING, speed * F.col("n_pings")).alias("moving_speed_sum"),
         when_status(WAITING, spent).alias("waiting_us"),
         when_status(SERVICING, spent).alias("servicing_us"),
         when_status(MOVING, spent).alias("moving_us"),
     )
 
 
-def free_flow_speed(pings: DataFrame, routes: DataFrame, stripes: int = 1) -> DataFrame:
+def free_flow_speed(pings: DataFrame, routes: DataFrame) -> DataFrame:
     """0.9 quantile of the moving speed per vehicle type, over all pings.
 
     The two columns are staged: the quantile reads them twice, the join runs once.
@@ -79,11 +81,7 @@ def free_flow_speed(pings: DataFrame, routes: DataFrame, stripes: int = 1) -> Da
     typed = moving.join(routes.select("route_id", "vehicle_type"), "route_id")
     speeds = stage(typed.select("vehicle_type", "speed_kmh"), "moving-speeds")
     return exact_quantiles(
-        speeds,
-        "speed_kmh",
-        {"free_flow_kmh": FREE_FLOW_QUANTILE},
-        ["vehicle_type"],
-        stripes=stripes,
+        speeds, "speed_kmh", {"free_flow_kmh": FREE_FLOW_QUANTILE}, ["vehicle_type"]
     )
 
 

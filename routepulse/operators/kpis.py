@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routepulse.functions.columns import is_peak, round_even, rounded, share
+from routepulse.functions.columns import is_peak, known, round_even, rounded, share
 from routepulse.operators.facts import stops_per_route
 from routepulse.operators.quantiles import exact_quantiles
 from routepulse.schemas import (
@@ -27,8 +27,8 @@ def delay_attribution(facts: DataFrame, by: str, digits: int | None = 3) -> Data
         .groupBy(by)
         .agg(
             F.count("*").alias("stops"),
-            F.avg("wait_min").alias("mean_wait_min"),
-            F.avg("transit_delay_min").alias("mean_transit_delay_min"),
+            F.avg(known(F.col("wait_min"))).alias("mean_wait_min"),
+            F.avg(known(F.col("transit_delay_min"))).alias("mean_transit_delay_min"),
             share(F.col("is_late")).alias("late_rate"),
             share(F.col("late_without_wait")).alias("late_rate_without_wait"),
             share(F.col("late_due_to_wait")).alias("late_due_to_wait_rate"),
@@ -66,17 +66,17 @@ def eta_accuracy(facts: DataFrame, by: str | None = None, digits: int | None = 3
     """
     if by:
         facts = stage(facts.select(by, "delay_min", "is_late"), "eta")
-    error = F.abs(F.col("delay_min"))
+    error = F.abs(known(F.col("delay_min")))
     table = exact_quantiles(
         facts,
         error,
         {"p90_abs_error_min": 0.9},
         [by] if by else [],
         {
-            "stops": F.count("*"),
-            "bias_min": F.avg("delay_min"),
-            "mae_min": F.avg(error),
-            "on_time_rate": 1 - share(F.col("is_late")),
+            "stops": ("count", None),
+            "bias_min": ("avg", F.col("delay_min")),
+            "mae_min": ("avg", error),
+            "on_time_rate": ("avg", (~F.col("is_late")).cast("double")),
         },
     )
     rates = ["bias_min", "mae_min", "p90_abs_error_min", "on_time_rate"]
@@ -92,8 +92,8 @@ def route_kpis(facts: DataFrame) -> DataFrame:
             *[F.max(c).alias(c) for c in ROUTE_ATTRIBUTES],
             F.count("*").alias("n_stops"),
             share(F.col("is_late")).alias("late_rate"),
-            F.avg("delay_min").alias("mean_delay_min"),
-            F.max("delay_min").alias("max_delay_min"),
+            F.avg(known(F.col("delay_min"))).alias("mean_delay_min"),
+            F.max(known(F.col("delay_min"))).alias("max_delay_min"),
         )
     )
 
@@ -128,7 +128,7 @@ def _with_km_per_stop(df: DataFrame) -> DataFrame:
 
 def _scorecard(rows: DataFrame, stops, late, minimum: int, digits: int | None) -> DataFrame:
     if minimum < 1:
-        raise ValueError("min_stops_per_condition must be at least 1")
+        raise ValueError("min_stops_per_condition: 1 or more")
     peak = F.col("is_peak")
 
     def count(condition=None):
@@ -202,7 +202,7 @@ def headline_kpis(
         F.count("stops").alias("routes"),
         F.coalesce(F.sum("stops"), F.lit(0)).alias("stops"),
         (1 - F.try_divide(F.sum("late_stops"), F.sum("stops"))).alias("on_time_rate"),
-        F.avg("wait_min").alias("average_wait_min"),
+        F.avg(known(F.col("wait_min"))).alias("average_wait_min"),
     )
 
 
@@ -211,7 +211,7 @@ def window_late_rates(kpis: DataFrame) -> DataFrame:
     return (
         kpis.where(F.col("dispatch_window").isNotNull())
         .groupBy("dispatch_window")
-        .agg(F.avg("late_rate").alias("mean_late_rate"))
+        .agg(F.avg(known(F.col("late_rate"))).alias("mean_late_rate"))
     )
 
 
@@ -223,7 +223,7 @@ def late_rate_summary(kpis: DataFrame, by: str, digits: int | None = 3) -> DataF
         "late_rate",
         {"median_late_rate": 0.5},
         [by],
-        {"routes": F.count("*"), "mean_late_rate": F.avg("late_rate")},
+        {"routes": ("count", None), "mean_late_rate": ("avg", F.col("late_rate"))},
     )
     return rounded(table, ["mean_late_rate", "median_late_rate"], digits)
 
@@ -241,7 +241,7 @@ def depot_wait(routes: DataFrame, digits: int | None = 2) -> DataFrame:
         "wait_min",
         {"median_wait_min": 0.5, "p90_wait_min": 0.9},
         ["depot"],
-        {"mean_wait_min": F.avg("wait_min")},
+        {"mean_wait_min": ("avg", F.col("wait_min"))},
     ).withColumn("p90_above_mean_min", F.col("p90_wait_min") - F.col("mean_wait_min"))
     out = counts.join(waits, "depot")
     shown = {c: round_even(F.col(c), digits) for c in out.columns[2:]}

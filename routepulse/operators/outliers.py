@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from routepulse.functions.columns import flag, round_even
+from routepulse.functions.columns import flag, known, round_even
 from routepulse.operators.checks import check_no_missing
 from routepulse.operators.quantiles import exact_quantiles
 from routepulse.session import join_small, stage
 
 QUARTILES = {"_q1": 0.25, "_q3": 0.75}
+SHOWN_QUANTILES = {"median_wait_min": 0.5, "p90_wait_min": 0.9}
 MOMENTS = ("_mean", "_std")
 
 
 def _moments(value: str) -> dict[str, Column]:
-    return {"_mean": F.avg(value), "_std": F.stddev_pop(value)}
+    number = known(F.col(value))
+    return {"_mean": F.avg(number), "_std": F.stddev_pop(number)}
 
 
 def _fences(k: float) -> tuple[Column, Column]:
@@ -53,7 +55,7 @@ def flag_outliers_iqr(
 ) -> DataFrame:
     """Flag values outside the global fences; a missing value is not flagged."""
     fenced = _with_scalars(df, exact_quantiles(df, value, QUARTILES))
-    return fenced.withColumn(out, _outside(F.col(value), k)).drop(*QUARTILES)
+    return fenced.withColumn(out, _outside(known(F.col(value)), k)).drop(*QUARTILES)
 
 
 def flag_outliers_zscore(
@@ -62,7 +64,7 @@ def flag_outliers_zscore(
     """Flag values more than ``threshold`` population deviations from the mean."""
     moments = df.agg(*[c.alias(name) for name, c in _moments(value).items()])
     scaled = _with_scalars(df, moments)
-    return scaled.withColumn(out, _far(F.col(value), threshold)).drop(*MOMENTS)
+    return scaled.withColumn(out, _far(known(F.col(value)), threshold)).drop(*MOMENTS)
 
 
 def flag_outliers_by_group(
@@ -77,11 +79,11 @@ def flag_outliers_by_group(
     """Flag a value against its own group; a row without a group gets no flag."""
     if method == "iqr":
         statistics = exact_quantiles(df, value, QUARTILES, [group])
-        test = _outside(F.col(value), k)
+        test = _outside(known(F.col(value)), k)
     elif method == "zscore":
         grouped = df.where(F.col(group).isNotNull()).groupBy(group)
         statistics = grouped.agg(*[c.alias(name) for name, c in _moments(value).items()])
-        test = _far(F.col(value), threshold)
+        test = _far(known(F.col(value)), threshold)
     else:
         raise ValueError(f"method must be 'iqr' or 'zscore', not {method!r}")
     helpers = [c for c in statistics.columns if c != group]
@@ -103,44 +105,48 @@ def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def route_waits(routes: DataFrame) -> DataFrame:
-    """One wait per route with all three outlier flags.
+    """One wait per route with all three outlier flags and its depot's median and p90.
 
     The waits are staged: the fences and moments read them several times.
     """
     columns = ["route_id", "depot", "dispatch_window", "algorithm", "wait_min"]
     waits = stage(first_per_key(routes.select(*columns), "route_id", columns[1:]), "waits")
     check_no_missing(waits, "wait_min")
-    # Both global flags need two passes, not four: moments come with the sketch.
-    overall = exact_quantiles(waits, "wait_min", QUARTILES, aggregates=_moments("wait_min"))
     wait = F.col("wait_min")
+    # The moments come with the sketch of the global quartiles.
+    moments = {"_mean": ("avg", wait), "_std": ("std", wait)}
+    overall = exact_quantiles(waits, "wait_min", QUARTILES, aggregates=moments)
     flagged = _with_scalars(waits, overall).select(
         *columns,
         _outside(wait, 1.5).alias("iqr_outlier_global"),
         _far(wait, 3.0).alias("zscore_outlier_global"),
     )
-    return flag_outliers_by_group(
-        flagged, "wait_min", "depot", out="iqr_outlier_within_depot"
-    )
+    # All quantiles of a depot come from one call; the summary finds its own with the rows.
+    depots = exact_quantiles(flagged, "wait_min", QUARTILES | SHOWN_QUANTILES, ["depot"])
+    low, high = _fences(1.5)
+    joined = join_small(flagged, depots, ["depot"], "left")
+    test = flag((wait < low) | (wait > high))
+    within = F.when(F.col("depot").isNotNull(), test)
+    return joined.withColumn("iqr_outlier_within_depot", within).drop(*QUARTILES)
 
 
 def wait_outlier_summary(waits: DataFrame, digits: int | None = 2) -> DataFrame:
-    """Waits and flag counts per depot, longest mean wait first."""
+    """Waits and flag counts per depot, longest mean wait first; ``waits`` from ``route_waits``."""
     flags = {
         "global_iqr_outliers": "iqr_outlier_global",
         "global_zscore_outliers": "zscore_outlier_global",
         "within_depot_iqr_outliers": "iqr_outlier_within_depot",
     }
-    minutes = ["mean_wait_min", "median_wait_min", "p90_wait_min"]
-    table = exact_quantiles(
-        waits,
-        "wait_min",
-        {"median_wait_min": 0.5, "p90_wait_min": 0.9},
-        ["depot"],
-        {
-            "routes": F.count("*"),
-            "mean_wait_min": F.avg("wait_min"),
-            **{name: F.sum(F.col(c).cast("long")) for name, c in flags.items()},
-        },
+    minutes = ["mean_wait_min", *SHOWN_QUANTILES]
+    table = (
+        waits.where(F.col("depot").isNotNull())
+        .groupBy("depot")
+        .agg(
+            F.count("*").alias("routes"),
+            F.avg("wait_min").alias("mean_wait_min"),
+            *[F.max(name).alias(name) for name in SHOWN_QUANTILES],
+            *[F.sum(F.col(c).cast("long")).alias(name) for name, c in flags.items()],
+        )
     )
     return table.orderBy(F.desc_nulls_last("mean_wait_min"), "depot").select(
         "depot", "routes", *[round_even(F.col(c), digits).alias(c) for c in minutes], *flags
@@ -148,6 +154,5 @@ def wait_outlier_summary(waits: DataFrame, digits: int | None = 2) -> DataFrame:
 
 
 def longest_outlier_waits(waits: DataFrame, n: int = 20) -> DataFrame:
-    return (
-        waits.where("iqr_outlier_global").orderBy(F.desc("wait_min"), "route_id").limit(n)
-    )
+    found = waits.where("iqr_outlier_global").drop(*SHOWN_QUANTILES)
+    return found.orderBy(F.desc("wait_min"), "route_id").limit(n)

@@ -21,21 +21,64 @@ from routepulse.operators.running import ONE_TASK_ROWS, longest_group, running
 from routepulse.session import settle, stage
 
 ACCURACY = 10_000
+# Sketches that one task merges, and the input of a scan task.
+SKETCHES_PER_STRIPE = 512
+SCAN_TASK_BYTES = 128 * 1024 * 1024
 
 
 def _greatest(columns: list[Column]) -> Column:
     return F.greatest(*columns) if len(columns) > 1 else columns[0]
 
 
+def stripes_for(df: DataFrame) -> int:
+    """Tasks that merge the sketches of a scan of ``df``, from the planner's size of it."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return max(1, int(str(size)) // (SKETCHES_PER_STRIPE * SCAN_TASK_BYTES))
+
+
+def _parts(kind: str, name: str, column: Column | None) -> list[Column]:
+    """What a stripe keeps of an aggregate."""
+    if kind == "count":
+        return [F.count("*").alias(f"_part_{name}")]
+    value = known(column.cast("double"))
+    if kind == "sum":
+        return [F.sum(column).alias(f"_part_{name}")]
+    if kind == "avg":
+        return [F.sum(value).alias(f"_part_{name}"), F.count(value).alias(f"_part_{name}_n")]
+    if kind == "std":
+        return [F.struct(F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("var")).alias(f"_part_{name}")]
+    raise ValueError(f"unknown aggregate {kind!r}")
+
+
+def _merged(kind: str, name: str) -> Column:
+    """The aggregate of all stripes."""
+    if kind == "count":
+        return F.coalesce(F.sum(f"_part_{name}"), F.lit(0))
+    if kind == "sum":
+        return F.sum(f"_part_{name}")
+    if kind == "avg":
+        return F.try_divide(F.sum(f"_part_{name}"), F.sum(f"_part_{name}_n"))
+    parts = F.filter(F.collect_list(f"_part_{name}"), lambda x: x["n"] > 0)
+
+    def total(of) -> Column:
+        return F.aggregate(parts, F.lit(0.0), lambda t, x: t + x["n"] * of(x))
+
+    n = F.aggregate(parts, F.lit(0).cast("long"), lambda t, x: t + x["n"])
+    mean = total(lambda x: x["mean"]) / n
+    spread = total(lambda x: x["var"] + (x["mean"] - mean) * (x["mean"] - mean))
+    return F.when(n > 0, F.sqrt(spread / n))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str | Column,
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
-    aggregates: Mapping[str, Column] | None = None,
+    aggregates: Mapping[str, tuple[str, Column | None]] | None = None,
     accuracy: int = ACCURACY,
-    stripes: int = 1,
+    stripes: int | None = None,
     one_task_rows: int = ONE_TASK_ROWS,
+    margin: float | None = None,
 ) -> DataFrame:
     """One row per group with ``{name: probability}`` quantiles.
 
@@ -43,17 +86,19 @@ def exact_quantiles(
     rows with a missing group key are left out. A group without any value has missing
     quantiles; without ``by`` there is exactly one row.
 
-    ``aggregates`` are computed over all rows of a group in the sketch's pass and put
-    in front of the quantiles, which saves reading ``df`` a third time. They must not
-    be distinct ones, which would split the sketch.
+    ``aggregates`` ({name: (kind, column)}, kind "count", "sum", "avg" or "std", the
+    population deviation) are computed over all rows of a group in the sketch's pass and
+    put in front of the quantiles, which saves reading ``df`` a third time.
 
-    With ``stripes``, a group's sketches are merged by that many tasks instead of one:
-    for scans of many thousands of tasks. A quantile of the whole lies between the
-    smallest and the largest of the stripes' quantiles, so the bracket stays safe.
+    A group's sketches are merged by ``stripes`` tasks, by default as many as the size
+    of ``df`` asks for, and their results by one. A quantile of the whole lies between
+    the smallest and the largest of the stripes' quantiles, so the bracket stays safe.
+    Should a rank still lie outside its bracket, the second pass is repeated with
+    a wider one; ``margin`` is the bracket's half width as a share of the ranks.
     """
     by, aggregates = list(by), dict(aggregates or {})
-    if aggregates and stripes > 1:
-        raise ValueError("aggregates cannot be combined with stripes")
+    if stripes is None:
+        stripes = stripes_for(df)
     column = F.col(value) if isinstance(value, str) else value
     rows = df
     for key in by:
@@ -61,7 +106,7 @@ def exact_quantiles(
 
     # Rank error of the sketch is at most n/accuracy; five times that is a safe bracket
     # as long as it spans a few ranks. Groups of up to ``accuracy`` values are kept whole.
-    margin = 5.0 / accuracy
+    margin = margin or 5.0 / accuracy
     points = [
         edge
         for p in probabilities.values()
@@ -73,22 +118,20 @@ def exact_quantiles(
         F.count(numeric).alias("_n"),
         F.percentile_approx(numeric, points, accuracy).alias("_cut"),
     ]
-    if stripes > 1:
-        striped = rows.withColumn("_stripe", F.spark_partition_id() % stripes)
-        ends = [F.get("_cut", F.lit(i)) for i in range(len(points))]
-        sketched = (
-            striped.groupBy(*by, "_stripe")
-            .agg(*sketch)
-            .groupBy(*by)
-            .agg(
-                F.sum("_n").alias("_n"),
-                F.array(*[F.max(e) if i % 2 else F.min(e) for i, e in enumerate(ends)]).alias("_cut"),
-            )
-        )
-    else:
-        sketched = rows.groupBy(*by).agg(
-            *[c.alias(name) for name, c in aggregates.items()], *sketch
+    for name, (kind, of) in aggregates.items():
+        sketch += _parts(kind, name, of)
+    ends = [F.get("_cut", F.lit(i)) for i in range(len(points))]
+    sketched = (
+        rows.withColumn("_stripe", F.spark_partition_id() % stripes)
+        .groupBy(*by, "_stripe")
+        .agg(*sketch)
+        .groupBy(*by)
+        .agg(
+            *[_merged(kind, name).alias(name) for name, (kind, _) in aggregates.items()],
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"),
+            F.array(*[F.max(e) if i % 2 else F.min(e) for i, e in enumerate(ends)]).alias("_cut"),
         )
+    )
     whole = [F.lit(float("inf") if i % 2 else float("-inf")) for i in range(len(points))]
     first = sketched.select(
         *by,
@@ -113,7 +156,7 @@ def exact_quantiles(
     histogram = _histogram(data, by, len(probabilities))
     # Rows inside brackets: the margins and the sketch's error on both sides.
     largest = edges.agg(F.max("_n")).first()[0] or 0
-    kept = largest * 12 / accuracy * len(probabilities) if largest > accuracy else largest
+    kept = largest * (2 * margin + 2 / accuracy) * len(probabilities) if largest > accuracy else largest
     longest = int(kept)
     if kept > one_task_rows or stripes > 1:
         histogram = stage(histogram, "histogram")
@@ -122,7 +165,12 @@ def exact_quantiles(
         histogram, "_at", {"_all": ("sum", "_rows")}, by, longest, one_task_rows
     ).withColumn("_before", F.col("_all") - F.col("_rows"))
     results = _pick(ranked, by, probabilities)
-    shown = first.select(*by, *aggregates)
+    results, _ = settle(results) if is_small else (stage(results, "quantiles"), False)
+    if margin < 1 and not results.where("_missed").isEmpty():
+        return exact_quantiles(
+            df, value, probabilities, by, aggregates, accuracy, stripes, one_task_rows, margin * 8
+        )
+    shown, results = first.select(*by, *aggregates), results.drop("_missed")
     if by:
         table = shown.join(results, by, "left")
     else:
@@ -157,7 +205,7 @@ def _pick(ranked: DataFrame, by: list[str], probabilities: Mapping[str, float])
         hit = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_exact"))
         return F.max(F.when(hit, F.col("_at")))
 
-    picks, results = [], {}
+    picks, results, missed = [], {}, F.lit(False)
     for i, (name, p) in enumerate(probabilities.items()):
         position = F.lit(float(p)) * (F.col("_n") - 1)
         rank = F.floor(position)
@@ -166,11 +214,10 @@ def _pick(ranked: DataFrame, by: list[str], probabilities: Mapping[str, float])
         low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
         bracketed = low.isNotNull() & ((weight == 0) | high.isNotNull())
         interpolated = F.when(weight == 0, low).otherwise(low + (high - low) * weight)
-        results[name] = F.when(bracketed, interpolated).otherwise(
-            F.raise_error(F.lit(f"quantile {name}: rank outside its bracket")).cast("double")
-        )
+        results[name] = F.when(bracketed, interpolated)
+        missed = missed | ~bracketed
     return (
         ranked.groupBy(*by, "_n")
         .agg(*picks)
-        .select(*by, *[c.alias(name) for name, c in results.items()])
+        .select(*by, *[c.alias(name) for name, c in results.items()], missed.alias("_missed"))
     )

@@ -17,12 +17,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from routepulse.operators.running import ONE_TASK_ROWS, longest_group, running
+from routepulse.functions.columns import known
+from routepulse.operators.running import ONE_TASK_ROWS, join_groups, longest_group, running
 from routepulse.schemas import ALGORITHMS, WINDOW_ORDER
 from routepulse.session import stage
 
 EXACT_SMALL_SAMPLE = 8
-EXACT_MAX_PAIRS = 10_000
 
 TEST_SCHEMA = "comparison string, test string, statistic double, p_value double, method string"
 
@@ -47,8 +47,9 @@ def value_counts(
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Distinct values with each group's count ``n0, n1, ...`` and running count ``c0, ...``."""
-    rows = df.where(F.col(value).isNotNull() & F.col(group).isin(*groups))
-    counts = rows.groupBy(F.col(value).cast("double").alias("value")).agg(
+    number = known(F.col(value).cast("double"))
+    rows = df.where(number.isNotNull() & F.col(group).isin(*groups))
+    counts = rows.groupBy(number.alias("value")).agg(
         *[F.count(F.when(F.col(group) == g, 1)).alias(f"n{i}") for i, g in enumerate(groups)]
     )
     counts = stage(counts, "value-counts")
@@ -85,26 +86,28 @@ def _rank_sums(counts: DataFrame, pairs: Sequence[tuple[int, int]]) -> list[Rank
 
 
 def exact_mann_whitney_p(n1: int, n2: int, u: float) -> float:
-    """Two-sided p-value from the exact null distribution of U (no ties)."""
-    # ways[s] = number of k-subsets of the ranks whose U equals s, built rank by rank.
-    size = n1 * n2 + 1
-    ways = np.zeros((n1 + 1, size))
-    ways[0, 0] = 1.0
-    for rank in range(n1 + n2):
-        for chosen in range(min(rank + 1, n1), 0, -1):
-            shift = rank - (chosen - 1)
-            if shift <= n2:
-                ways[chosen, shift:] += ways[chosen - 1, : size - shift]
-    distribution = ways[n1] / ways[n1].sum()
-    far = math.ceil(max(u, n1 * n2 - u))
-    return min(1.0, 2.0 * float(distribution[far:].sum()))
+    """Two-sided p-value from the exact null distribution of U (no ties).
+
+    The number of orders with each U are the coefficients of a Gaussian binomial, a
+    product of (1 - q^(large + i)) / (1 - q^i) over the smaller sample. Only those of
+    the tail are worked out, in whole numbers.
+    """
+    small, large = sorted((n1, n2))
+    tail = n1 * n2 - math.ceil(max(u, n1 * n2 - u))
+    ways = np.zeros(tail + 1, dtype=object)
+    ways[0] = 1
+    for i in range(1, small + 1):
+        ways[large + i :] -= ways[: max(0, tail + 1 - large - i)].copy()
+        for start in range(min(i, tail + 1)):
+            ways[start::i] = np.cumsum(ways[start::i])
+    return min(1.0, 2 * int(ways.sum()) / math.comb(n1 + n2, small))
 
 
 def mann_whitney_p(sums: RankSums) -> tuple[float, str]:
     """Two-sided p-value and the method used (exact or asymptotic)."""
     n1, n2 = sums.n_first, sums.n_second
     pairs = n1 * n2
-    if min(n1, n2) <= EXACT_SMALL_SAMPLE and sums.ties == 0 and pairs <= EXACT_MAX_PAIRS:
+    if min(n1, n2) <= EXACT_SMALL_SAMPLE and sums.ties == 0:
         return exact_mann_whitney_p(n1, n2, sums.u_first), "exact"
     n = float(n1 + n2)
     variance = pairs / 12 * (n + 1 - sums.ties / (n * (n - 1)))
@@ -149,7 +152,7 @@ def mann_whitney(
     present = _groups_present(counts, groups)
     if len(present) < 2:
         raise ValueError(
-            f"Expected {group} groups {sorted(groups)}; found {sorted(groups[i] for i in present)}"
+            f"{group}: values are needed in both of {sorted(groups)}, only {sorted(groups[i] for i in present)} have any"
         )
     (sums,) = _rank_sums(counts, [(0, 1)])
     p, method = mann_whitney_p(sums)
@@ -191,7 +194,7 @@ def kruskal_wallis(
     sizes, ranks = row[1 : 1 + len(groups)], row[1 + len(groups) :]
     used = [(n, r) for n, r in zip(sizes, ranks) if n]
     if len(used) < 2:
-        raise ValueError(f"At least two {group} groups with outcomes are required for testing.")
+        raise ValueError(f"{group}: fewer than two groups have values to compare")
     n = float(sum(size for size, _ in used))
     tie_factor = 1 - row[0] / (n**3 - n)
     if tie_factor > 0:
@@ -213,21 +216,25 @@ def holm_adjust(
     out: str = "p_holm",
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Holm step-down adjusted p-values within each family; missing stays missing."""
+    """Holm step-down adjusted p-values within each family.
+
+    A missing p-value (NULL or NaN) is no test and stays missing. Rows without a family
+    are a family of their own.
+    """
     family = list(family)
-    tested = df.where(F.col(p).isNotNull())
+    tested = df.where(known(F.col(p)).isNotNull())
     if longest_group(tested, family) <= one_task_rows:
         partition = family or [F.lit(0)]
         whole = Window.partitionBy(*partition)
-        ordered = whole.orderBy(F.asc_nulls_last(p))
-        step = (F.count(p).over(whole) - F.row_number().over(ordered) + 1) * F.col(p)
+        ordered = whole.orderBy(known(F.col(p)).asc_nulls_last())
+        step = (F.count(known(F.col(p))).over(whole) - F.row_number().over(ordered) + 1) * known(F.col(p))
         stepped = df.withColumn("_step", step)
         # Ties share the largest adjusted value: range frame.
         so_far = F.max("_step").over(
             ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         )
         return stepped.withColumn(
-            out, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), so_far))
+            out, F.when(known(F.col(p)).isNotNull(), F.least(F.lit(1.0), so_far))
         ).drop("_step")
 
     # Equal p-values share one adjusted value, so distinct ones are enough.
@@ -237,7 +244,7 @@ def holm_adjust(
     longest = longest_group(distinct, family)
     upto = running(distinct, p, {"_upto": ("sum", "_rows")}, family, longest, one_task_rows)
     if family:
-        upto = upto.join(sizes, family)
+        upto = join_groups(upto, sizes, family, "inner")
     else:
         upto = upto.withColumn("_tests", sizes.scalar())
     step = (F.col("_tests") - (F.col("_upto") - F.col("_rows"))) * F.col(p)
@@ -246,7 +253,7 @@ def holm_adjust(
         one_task_rows,
     )
     adjusted = stepped.select(*family, p, F.least(F.lit(1.0), F.col("_so_far")).alias(out))
-    return df.join(adjusted, [*family, p], "left").select(*df.columns, out)
+    return join_groups(df, adjusted, [*family, p]).select(*df.columns, out)
 
 
 def primary_tests(kpis: DataFrame) -> DataFrame:

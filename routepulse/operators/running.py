@@ -11,11 +11,16 @@ from routepulse.session import settle
 
 # Longest ordered group that one task sorts and scans.
 ONE_TASK_ROWS = 2_000_000
-BLOCKS = 256
-
 _COMBINE = {"sum": F.sum, "max": F.max}
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on keys of which a missing one is a group of its own, as in a window."""
+    renamed = right.withColumnsRenamed({k: f"_{k}_group" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}_group")) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"_{k}_group" for k in keys])
+
+
 def longest_group(df: DataFrame, by: Sequence[str]) -> int:
     if not by:
         return df.count()
@@ -35,8 +40,9 @@ def running(
 
     ``order`` must be distinct within a group (collapse ties first) and not NULL.
     Groups up to ``one_task_rows`` use one plain window. Longer ones are cut into
-    blocks at sketched quantiles of ``order``; each block is scanned on its own and
-    the blocks' totals are carried over.
+    blocks at sketched quantiles of ``order``, twice as many as tasks are needed for the
+    longest; each block is scanned on its own and the blocks' totals are carried over.
+    Rows with a missing key in ``by`` are a group like any other.
     """
     by = list(by)
     if longest is None:
@@ -56,11 +62,12 @@ def running(
             {new: _COMBINE[kind](c).over(window) for new, (kind, c) in columns.items()}
         )
 
-    points = [i / BLOCKS for i in range(1, BLOCKS)]
-    cuts = df.groupBy(*by).agg(F.percentile_approx(order, points, 4 * BLOCKS).alias("_cuts"))
+    blocks = 2 * -(-longest // one_task_rows)
+    points = [i / blocks for i in range(1, blocks)]
+    cuts = df.groupBy(*by).agg(F.percentile_approx(order, points, 4 * blocks).alias("_cuts"))
     table, is_small = settle(cuts)
     if by:
-        cut = df.join(F.broadcast(table) if is_small else table, by)
+        cut = join_groups(df, F.broadcast(table) if is_small else table, by, "inner")
     else:
         cut = df.withColumn("_cuts", F.lit(table.first()[0]))
     placed = cut.withColumn(
@@ -85,7 +92,8 @@ def running(
     inner = over(*by, "_block")
     scanned = placed.withColumns(
         {new: _COMBINE[kind](c).over(inner) for new, (kind, c) in columns.items()}
-    ).join(carried, [*by, "_block"])
+    )
+    scanned = join_groups(scanned, carried, [*by, "_block"], "inner")
     joined = {}
     for new, (kind, _) in columns.items():
         own, carry = F.col(new), F.col(f"_carry_{new}")

@@ -17,12 +17,9 @@ from routepulse.operators.hexes import (
     route_cell_activity,
 )
 from routepulse.operators.intervals import HOT_SPAN_PINGS, span_starts
-from routepulse.session import SHUFFLE_PARTITION_BYTES, settle, stage, tune
+from routepulse.session import settle, stage, tune
 from routepulse.sources import load_hex_tables, read_pings, read_table, write_hex_tables
 
-# Sketches one task merges per vehicle type.
-TASKS_PER_STRIPE = 4096
-
 
 def build_hex_tables(
     pings: DataFrame,
@@ -31,7 +28,6 @@ def build_hex_tables(
     max_gap_min: float = schemas.MAX_PING_GAP_MIN,
     min_pings: int = schemas.MIN_PINGS_PER_HEX_HOUR,
     hot_span_pings: int = HOT_SPAN_PINGS,
-    stripes: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """Check the inputs and return (hex_hourly, hex_summary).
 
@@ -42,7 +38,7 @@ def build_hex_tables(
     with ThreadPoolExecutor(max_workers=2) as pool:
         # Jobs that do not need each other share the cluster.
         unique = pool.submit(checks.check_unique, routes, "route_id")
-        free_flow = pool.submit(lambda: settle(free_flow_speed(pings, routes, stripes))[0])
+        free_flow = pool.submit(lambda: settle(free_flow_speed(pings, routes))[0])
         spans = stage(span_starts(pings, max_gap_min), "spans")
         checks.check_not_empty(spans, "GPS pings")
         unique.result()
@@ -69,16 +65,12 @@ def run_spatial_job(
 ) -> tuple[DataFrame, DataFrame]:
     """Read ``pings`` and ``routes``, write both hexagon tables and return them.
 
-    ``ping_bytes``, the uncompressed size of the pings, sizes the shuffles and the
-    merging of the speed sketches.
+    ``ping_bytes``, the uncompressed size of the pings, sizes the shuffles.
     """
     tune(spark, ping_bytes)
-    tasks = -(-(ping_bytes or 0) // SHUFFLE_PARTITION_BYTES)
     columns = ["route_id", "vehicle_type", "region"]
     routes = read_table(spark, raw_dir, "routes", schemas.ROUTES, columns)
     pings = read_pings(spark, raw_dir)
-    hourly, summary = build_hex_tables(
-        pings, routes, grid or PlanarGrid(res), stripes=max(1, tasks // TASKS_PER_STRIPE)
-    )
+    hourly, summary = build_hex_tables(pings, routes, grid or PlanarGrid(res))
     write_hex_tables(hourly, summary, out_dir)
     return load_hex_tables(spark, out_dir)

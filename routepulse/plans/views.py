@@ -27,7 +27,10 @@ class FleetView:
 
     @cached_property
     def routes(self) -> DataFrame:
-        return facts.filter_rows(self.all_routes, **self.selections)
+        """The selected routes; raises, once per view, if a route id repeats among them."""
+        selected = facts.filter_rows(self.all_routes, **self.selections)
+        checks.check_unique(selected, "route_id")
+        return selected
 
     @cached_property
     def stop_facts(self) -> DataFrame:
@@ -44,7 +47,6 @@ class FleetView:
         checks.check_not_empty(self.all_routes, "routes")
         checks.check_not_empty(self.all_stops, "stops")
         checks.check_not_empty(self.routes, "routes matching the selection")
-        checks.check_unique(self.routes, "route_id")
         checks.check_not_empty(
             facts.stops_of(self.all_stops, self.routes), "stops matching the selection"
         )
@@ -79,9 +81,7 @@ class FleetView:
 
     def excluded_drivers(self, min_stops: int = MIN_STOPS_PER_CONDITION) -> DataFrame:
         # Drivers of routes that have stops; the card counts the same stops.
-        drivers = facts.stops_per_route(self.all_stops, self.threshold).join(
-            self.routes.select("route_id", "driver_id"), "route_id"
-        )
+        drivers = facts.stops_of(self.routes.select("route_id", "driver_id"), self.all_stops)
         return kpis.excluded_drivers(drivers, self._card(min_stops))
 
     def _card(self, min_stops: int) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,15 +44,48 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a local one only in local mode."""
+    """The shared folder that spark.checkpoint.dir names.
+
+    Where it is unset and everything runs in one process, a folder of this session is
+    made once; the session's settings stay as they are.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    configured = tempfile.mkdtemp(prefix="routepulse-")
-    spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    return _own_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"{application}-")
+
+
+class Staged:
+    """Remembers the tables staged while it is active and removes them at the end.
+
+    ``with staging(spark): ...`` around work whose results were written or collected
+    inside; results that still read staged tables can't be used after it.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Staged:
+        _active.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _active.remove(self)
+        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
+_active: list[Staged] = []
+staging = Staged
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -63,6 +98,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     application = f"routepulse-{spark.sparkContext.applicationId}"
     path = f"{staging_dir(spark).rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for scope in _active:
+        scope.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

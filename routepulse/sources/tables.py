@@ -26,33 +26,70 @@ def _path_missing(error: AnalysisException) -> bool:
 
 
 def _open_parquet(spark: SparkSession, path: str) -> DataFrame:
-    # Spark has no nanosecond timestamps: read them as integers and let conform() turn
-    # them into zone-less timestamps. The setting must still hold when the scan runs.
+    """Spark has no nanosecond timestamps: a file with such columns is read as integers.
+
+    Only the schema needs the setting for it, which is put back; its integer columns are
+    marked, and conform() turns those that are declared as times into zone-less ones.
+    """
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PARQUET_TYPE_ILLEGAL":
+            raise
+    before = spark.conf.get(NANOS_AS_LONG, None)
     spark.conf.set(NANOS_AS_LONG, "true")
-    return spark.read.parquet(path)
+    try:
+        schema = spark.read.parquet(path).schema
+    finally:
+        spark.conf.unset(NANOS_AS_LONG) if before is None else spark.conf.set(NANOS_AS_LONG, before)
+    df = spark.read.schema(schema).parquet(path)
+    return df.select(
+        *[
+            F.col(f.name).alias(f.name, metadata={"nanos": True})
+            if isinstance(f.dataType, T.LongType)
+            else F.col(f.name)
+            for f in schema
+        ]
+    )
 
 
 def _open_csv(spark: SparkSession, path: str) -> DataFrame:
-    # The header line decides which column is which; all text until conform().
-    names = spark.read.option("header", True).csv(path).columns
+    # The header line decides which column is which; all text until conform(). Quotes in
+    # a quoted cell are doubled, and a cell may hold line breaks.
+    options = {"header": True, "escape": '"', "multiLine": True}
+    names = spark.read.options(**options).csv(path).columns
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = spark.read.schema(text).option("header", True).option("mode", "FAILFAST").csv(path)
+    df = spark.read.schema(text).options(**options, mode="FAILFAST").csv(path)
     return df.select(
         *[F.when(~F.col(n).isin(*MISSING_TEXTS), F.col(n)).alias(n) for n in names]
     )
 
 
-def _typed(column: Column, source: T.DataType, target: T.DataType) -> Column:
+def _strict(name: str, column: Column, read: Column, target: T.DataType) -> Column:
+    """``read``, or an error where the cell is there but cannot be read; in any SQL mode."""
+    wrong = F.concat(F.lit(f"{name}: not a {target.simpleString()}: "), column.cast("string"))
+    failed = F.raise_error(wrong).cast(target)
+    return F.when(column.isNull() | read.isNotNull(), read).otherwise(failed)
+
+
+def _typed(column: Column, field: T.StructField, target: T.DataType) -> Column:
+    source, name = field.dataType, field.name
+    if source == target:
+        return known(column) if isinstance(target, T.DoubleType) else column
     if isinstance(target, T.DoubleType):
-        return known(column.cast("double"))
-    if isinstance(target, T.TimestampNTZType) and isinstance(source, T.LongType):
+        return known(_strict(name, column, column.try_cast("double"), target))
+    if isinstance(target, T.TimestampNTZType) and isinstance(source, T.IntegralType):
+        if not field.metadata.get("nanos"):
+            raise ValueError(f"{name}: whole numbers of unknown unit where times are expected")
         micros = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
         return F.timestamp_add("MICROSECOND", F.floor(column / 1000).cast("long"), micros)
-    if source == target:
-        return column
-    if isinstance(target, T.IntegralType) and isinstance(source, T.StringType):
-        return column.cast("double").cast(target)
-    return column.cast(target)
+    if isinstance(target, T.IntegralType) and not isinstance(source, T.IntegralType):
+        # "1.0" and 1.0 are whole, 1.7 is not; NaN is missing.
+        number = column.try_cast("double")
+        column = F.when(F.isnan(number), None).otherwise(column)
+        whole = F.when(number == F.floor(number), number.try_cast(target))
+        return _strict(name, column, whole, target)
+    return _strict(name, column, column.try_cast(target), target)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -63,7 +100,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     declared = {f.name: f.dataType for f in schema.fields}
     return df.select(
         *[
-            _typed(F.col(f.name), f.dataType, declared[f.name]).alias(f.name)
+            _typed(F.col(f.name), f, declared[f.name]).alias(f.name)
             if f.name in declared
             else F.col(f.name)
             for f in df.schema.fields
@@ -94,9 +131,7 @@ def read_table(
             # One gzip file is one split: spread it before any work is done on it.
             df = df.repartition(spark.sparkContext.defaultParallelism)
         return df
-    raise FileNotFoundError(
-        f"Could not find {name}.parquet, {name}.csv, or {name}.csv.gz in {directory}"
-    )
+    raise FileNotFoundError(f"{directory} holds no table {name} (.parquet, .csv or .csv.gz)")
 
 
 def read_pings(spark: SparkSession, directory: str) -> DataFrame:
@@ -113,7 +148,7 @@ def load_tables(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFra
             pass
     missing = [name for name in ("routes", "stops") if name not in found]
     if missing:
-        raise FileNotFoundError(f"Missing {', '.join(missing)} data file(s) in {directory}")
+        raise FileNotFoundError(f"{directory} lacks the table(s) {', '.join(missing)}")
     return found["routes"], found["stops"]
 
 

@@ -31,7 +31,7 @@ def route(route_id, driver="d1", depot="A", window="early", wait=10.0, km=6.0, *
 def stop(route_id, delay, seq=1, region="Center", lat=52.52, lon=13.405):
     return {
         "route_id": route_id, "stop_seq": seq, "lat": lat, "lon": lon, "region": region,
-        "planned_arrival": T0, "actual_arrival": T0 + timedelta(minutes=delay or 0),
+        "planned_arrival": T0, "actual_arrival": T0 + timedelta(minutes=delay if delay == delay and delay else 0),
         "delay_min": delay, "is_late": True, "service_min": 3.0,
     }
 
@@ -180,19 +180,21 @@ def test_route_kpis_two_ways(fleet):
 
 
 def test_driver_scorecard_minimum_in_both_conditions(spark):
-    rows = list(
-        zip(
-            ["driver-1"] * 4 + ["driver-2"] * 3,
-            [False, True, False, False, False, False, True],
-            [True, True, False, False, True, False, False],
-        )
-    )
+    # (driver, peak): late or not, stop by stop
+    seen = {
+        ("ada", True): [1, 1, 0, 1], ("ada", False): [0, 1, 0, 0, 0],
+        ("bo", True): [0, 0], ("bo", False): [1] * 9,
+        ("cy", True): [1, 0, 0], ("cy", False): [1, 1, 1],
+    }
+    rows = [(driver, bool(late), peak) for (driver, peak), stops in seen.items() for late in stops]
     df = spark.createDataFrame(rows, "driver_id string, is_late boolean, is_peak boolean")
-    (card,) = kpis.driver_scorecard(df, 2).collect()
-    assert card["driver_id"] == "driver-1"
-    assert (card["stops_peak"], card["stops_offpeak"], card["peak_drop"]) == (2, 2, 0.5)
-    assert kpis.excluded_drivers(df, kpis.driver_scorecard(df, 2)).first()["excluded"] == 1
-    with pytest.raises(ValueError, match="at least 1"):
+    cards = {r["driver_id"]: r for r in kpis.driver_scorecard(df, 3).collect()}
+    assert sorted(cards) == ["ada", "cy"]
+    assert (cards["ada"]["stops_peak"], cards["ada"]["stops_offpeak"]) == (4, 5)
+    assert cards["ada"]["peak_drop"] == pytest.approx(0.75 - 0.2, abs=1e-3)
+    assert cards["cy"]["peak_drop"] == pytest.approx(1 / 3 - 1, abs=1e-3)
+    assert kpis.excluded_drivers(df, kpis.driver_scorecard(df, 3)).first()["excluded"] == 1
+    with pytest.raises(ValueError, match="1 or more"):
         kpis.driver_scorecard(df, 0)
 
 
@@ -266,7 +268,7 @@ def test_exact_quantiles_equal_brute_force(spark, accuracy, one_task_rows):
     random.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     wanted = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q505": 0.505, "q90": 0.9, "q1": 1.0}
-    sizes = {"n": F.count("*")}
+    sizes = {"n": ("count", None)}
     got = exact_quantiles(df, "v", wanted, ["g"], sizes, accuracy, 1, one_task_rows).collect()
     assert {r["g"] for r in got} == set(values)
     for row in got:
@@ -325,7 +327,7 @@ def test_hot_route_is_split_in_the_facts_join(spark):
 
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([("a", None), (None, 1.0)], "g string, v double")
-    n = {"n": F.count("*")}
+    n = {"n": ("count", None)}
     assert [tuple(r) for r in exact_quantiles(df, "v", {"m": 0.5}, ["g"], n).collect()] == [("a", 1, None)]
     none = df.where("g = 'a'")
     assert [tuple(r) for r in exact_quantiles(none, "v", {"m": 0.5}, (), n).collect()] == [(1, None)]
@@ -430,7 +432,7 @@ def test_wait_outlier_view(spark):
         assert rows[depot]["within_depot_iqr_outliers"] == pandas_iqr(own.w).sum()
         assert rows[depot]["p90_wait_min"] == round(own.w.quantile(0.9), 2)
     assert [r["wait_min"] for r in longest.collect()] == sorted(data.w[pandas_iqr(data.w)], reverse=True)[:3]
-    with pytest.raises(ValueError, match="missing"):
+    with pytest.raises(ValueError, match="must be known"):
         wait_outlier_view(routes_of(spark, route("r1", wait=None)))
 
 
@@ -442,11 +444,75 @@ def test_first_per_key(spark):
 
 def test_checks(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", float("nan"))], "k string, v double")
-    with pytest.raises(ValueError, match="unique"):
+    with pytest.raises(ValueError, match="more than once"):
         checks.check_unique(df, "k")
-    with pytest.raises(ValueError, match="missing values"):
+    with pytest.raises(ValueError, match="must be known"):
         checks.check_no_missing(df, "v")
     with pytest.raises(ValueError, match=r"\['w', 'x'\]"):
         checks.check_columns(df, ["x", "k", "w"], "this")
     checks.check_unique(df.limit(1), "k")
     checks.check_no_missing(df.limit(0), "v")
+
+
+# ------------------------------------------------------------- missing values, repeated keys
+
+
+@pytest.mark.parametrize("method", ["iqr", "zscore"])
+def test_nan_is_a_missing_value_for_outlier_flags(spark, method):
+    values = [float(i % 7) for i in range(40)] + [500.0]
+    rows = [("g", v) for v in values]
+    flagged = {}
+    for name, extra in (("clean", []), ("dirty", [("g", float("nan")), ("g", None), (None, 3.0)])):
+        df = spark.createDataFrame(rows + extra, "g string, v double")
+        alone = outliers.flag_outliers_iqr(df.where("g = 'g'"), "v") if method == "iqr" else outliers.flag_outliers_zscore(df.where("g = 'g'"), "v")
+        grouped = outliers.flag_outliers_by_group(df, "v", "g", method)
+        for part, out in (("alone", alone), ("grouped", grouped)):
+            flagged[name, part] = sorted(str(r["v"]) for r in out.where("is_outlier").collect())
+        missing = grouped.where("g IS NULL").collect()
+        assert all(r["is_outlier"] is None for r in missing)
+    assert set(map(tuple, flagged.values())) == {("500.0",)}
+
+
+def test_nan_delays_are_neither_late_nor_part_of_means(spark):
+    routes = routes_of(spark, route("r1", "d1"), route("r2", "d1"))
+    stops = stops_of(spark, stop("r1", 20.0, 1), stop("r1", float("nan"), 2), stop("r1", 10.0, 3), stop("r2", float("nan"), 1))
+    by_stop = {(r["route_id"], r["stop_seq"]): r for r in facts.build_stop_facts(routes, stops).collect()}
+    assert [by_stop["r1", n]["is_late"] for n in (1, 2, 3)] == [True, False, False]
+    assert by_stop["r1", 2]["transit_delay_min"] is None and not by_stop["r1", 2]["late_due_to_wait"]
+    for table in (kpis.route_kpis(facts.build_stop_facts(routes, stops)), kpis.route_kpis_from_tables(routes, stops)):
+        got = {r["route_id"]: r for r in table.collect()}
+        assert (got["r1"]["mean_delay_min"], got["r1"]["max_delay_min"]) == (15.0, 20.0)
+        assert got["r2"]["mean_delay_min"] is None
+    assert kpis.eta_accuracy(facts.flag_late(stops)).first()["mae_min"] == 15.0
+
+
+@pytest.mark.parametrize(
+    "member",
+    ["headline", "depot_attribution", "depot_attribution_long", "window_attribution", "window_late_rates", "worst_routes", "driver_table", "excluded_drivers"],
+)
+def test_views_refuse_a_repeated_route(spark, member):
+    routes = routes_of(spark, route("r1", "d1"), route("r2", "d1"), route("r1", "d2"))
+    stops = stops_of(spark, stop("r1", 20.0, 1), stop("r2", 1.0, 1))
+    with pytest.raises(ValueError, match="more than once.*r1"):
+        getattr(FleetView(routes, stops, {}), member)()
+
+
+@pytest.mark.parametrize("stripes", [1, 3, 64])
+def test_quantiles_and_aggregates_in_stripes(spark, stripes):
+    random.seed(stripes)
+    values = [(i % 3, random.gauss(50, 9) if i % 11 else None) for i in range(6000)]
+    df = spark.createDataFrame(values, "g int, v double").repartition(40)
+    wanted = {"n": ("count", None), "mean": ("avg", F.col("v")), "total": ("sum", F.col("v")), "dev": ("std", F.col("v"))}
+    rows = exact_quantiles(df, "v", {"q1": 0.25, "p90": 0.9}, ["g"], wanted, accuracy=500, stripes=stripes).collect()
+    frame = pd.DataFrame(values, columns=["g", "v"])
+    for r in rows:
+        own = frame[frame["g"] == r["g"]]["v"]
+        assert (r["n"], r["total"]) == (len(own), pytest.approx(own.sum()))
+        assert (r["mean"], r["dev"]) == (pytest.approx(own.mean()), pytest.approx(own.std(ddof=0)))
+        assert (r["q1"], r["p90"]) == (pytest.approx(own.quantile(0.25)), pytest.approx(own.quantile(0.9)))
+
+
+def test_a_bracket_that_misses_is_widened(spark):
+    df = spark.range(50_000).select(F.col("id").cast("double").alias("v"))
+    row = exact_quantiles(df, "v", {"m": 0.5, "p99": 0.99}, accuracy=50, margin=1e-9).first()
+    assert (row["m"], row["p99"]) == (24999.5, pytest.approx(49499.01))

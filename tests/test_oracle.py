@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from routepulse.workload.queries import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -35,7 +36,7 @@ def normal(rows, columns):
     return sorted(tuple(cell(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = contract.queries()[name](spark, FOLDER)
     rows = df.collect()
@@ -47,3 +48,15 @@ def test_query_matches_sql(spark, duck, name):
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert normal(rows, df.columns) == normal(result.fetchall(), columns)
+
+
+SORTED = {
+    "driver_table": lambda r: (-r["peak_drop_pp"], r["driver_id"]),
+    "worst_routes_25": lambda r: (-r["late_rate"], r["route_id"]),
+}
+
+
+@pytest.mark.parametrize("name", list(SORTED))
+def test_sorted_views_come_sorted(spark, name):
+    rows = contract.queries()[name](spark, FOLDER).collect()
+    assert rows == sorted(rows, key=SORTED[name])

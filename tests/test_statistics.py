@@ -6,6 +6,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from routepulse.operators import ranktests
 from routepulse.operators.gee import CATEGORIES, MEASURES, driver_clustered_gee
@@ -74,12 +75,51 @@ def test_small_samples_without_ties_are_exact(spark):
     assert ranktests.exact_mann_whitney_p(8, 8, 32.0) == 1.0
 
 
+def test_exact_however_large_the_other_sample(spark):
+    few, many = [0.5, 700.25, 90000.75], list(range(60_000))
+    row = ranktests.mann_whitney(samples(spark, {"fifo": few, "cluster_nn": [float(x) for x in many]}), "v", "g").first()
+    assert row["method"] == "exact"
+    assert 0 < row["p_value"] < 1
+    small = ranktests.exact_mann_whitney_p(3, 40, 25.0)
+    places = list(itertools.combinations(range(43), 3))
+    below = sum(sum(p) - 3 <= 25 for p in places)
+    assert small == pytest.approx(min(1.0, 2 * below / len(places)))
+
+
+def test_missing_values_are_left_out_of_rank_tests(spark):
+    a, b = [1.0, 2.5, 7.0, 8.0], [3.0, 4.0, 5.0, 6.0, 9.0]
+    clean = samples(spark, {"fifo": a, "cluster_nn": b})
+    dirty = samples(spark, {"fifo": [*a, math.nan], "cluster_nn": [math.nan, *b]})
+    dirty = dirty.unionByName(dirty.limit(3).withColumn("v", F.lit(None).cast("double")))
+    for test in (ranktests.mann_whitney, ranktests.pairwise_tests):
+        groups = {"groups": ("fifo", "cluster_nn")}
+        one, two = (test(df, "v", "g", **groups).collect() for df in (clean, dirty))
+        assert one == two
+    one, two = (ranktests.kruskal_wallis(df, "v", "g", ("fifo", "cluster_nn")).first() for df in (clean, dirty))
+    assert one == two
+
+
+@pytest.mark.parametrize("one_task_rows", [10**6, 4])
+def test_holm_of_rows_without_a_family(spark, one_task_rows):
+    ps = [0.01, 0.02, 0.03, 0.04, 0.05, 0.05]
+    rows = [(None, i, p) for i, p in enumerate(ps)] + [("x", i, p / 2) for i, p in enumerate(ps)]
+    rows += [(None, 90, None), (None, 91, math.nan), ("x", 92, math.nan)]
+    df = spark.createDataFrame(rows, "family string, i int, p double")
+    got = {(r["family"], r["i"]): r["h"] for r in ranktests.holm_adjust(df, "p", ["family"], "h", one_task_rows).collect()}
+    assert len(got) == len(rows)
+    for i, h in enumerate(holm(ps)):
+        assert got[None, i] == pytest.approx(h)
+    for i, h in enumerate(holm([p / 2 for p in ps])):
+        assert got["x", i] == pytest.approx(h)
+    assert got[None, 90] is got[None, 91] is got["x", 92] is None
+
+
 def test_equal_values_and_missing_groups(spark):
     row = ranktests.mann_whitney(samples(spark, {"fifo": [1] * 9, "cluster_nn": [1] * 9}), "v", "g").first()
     assert (row["p_value"], row["statistic"]) == (1.0, 40.5)
-    with pytest.raises(ValueError, match="found \\['fifo'\\]"):
+    with pytest.raises(ValueError, match="only \\['fifo'\\]"):
         ranktests.mann_whitney(samples(spark, {"fifo": [1, 2]}), "v", "g")
-    with pytest.raises(ValueError, match="At least two"):
+    with pytest.raises(ValueError, match="fewer than two groups"):
         ranktests.kruskal_wallis(samples(spark, {"early": [1, 2]}), "v", "g")
 
 
@@ -167,24 +207,31 @@ def test_pairwise_and_primary(spark):
 # -------------------------------------------------------------------------------- GEE
 
 
-def fleet(seed=7, drivers=12, repeats=2, effect=0.0):
+def fleet(seed=7, drivers=12, stops=40, effect=0.0):
+    """Stops of drivers who differ by ``effect``; lateness follows the algorithm and the load of the road."""
     rng = np.random.default_rng(seed)
-    rows = []
-    for driver in range(drivers):
-        base = rng.normal(0, effect)
-        for algorithm in ("fifo", "cluster_nn"):
-            for window in ("early", "morning_peak"):
-                for _ in range(repeats + (driver % 3) * (effect > 0)):
-                    p = 0.4 if algorithm == "fifo" else 0.2
-                    p = 1 / (1 + math.exp(-(math.log(p / (1 - p)) + base)))
-                    rows.append(
-                        (f"driver-{driver}", algorithm, window,
-                         str(rng.choice(["van", "truck", "cargo_bike"])),
-                         str(rng.choice(["Center", "West", "North", "South-East"])),
-                         str(rng.choice(["A", "B", "C"])),
-                         float(rng.uniform(2, 30)), float(rng.uniform(5, 40)), bool(rng.random() < p))
-                    )
-    return pd.DataFrame(rows, columns=["driver_id", *CATEGORIES, *MEASURES, "is_late"])
+    n = drivers * stops
+    data = pd.DataFrame(
+        {
+            "driver_id": [f"d{i % drivers}" for i in range(n)],
+            **{
+                c: rng.choice(levels, n)
+                for c, levels in {
+                    "algorithm": ["cluster_nn", "fifo"],
+                    "dispatch_window": ["evening", "midday", "morning_peak"],
+                    "vehicle_type": ["a", "b"],
+                    "region": ["in", "out", "rim"],
+                    "depot": ["X", "Y"],
+                }.items()
+            },
+            "wait_min": rng.gamma(2.0, 5.0, n),
+            "route_km": rng.normal(20, 4, n),
+        }
+    )
+    drift = rng.normal(0, 1, drivers)[np.arange(n) % drivers] * effect
+    odds = drift - 1 + 0.9 * (data["algorithm"] == "fifo") + 0.03 * data["wait_min"]
+    data["is_late"] = rng.random(n) < 1 / (1 + np.exp(-odds))
+    return data[["driver_id", *CATEGORIES, *MEASURES, "is_late"]]
 
 
 SCHEMA = (
@@ -237,7 +284,7 @@ def dense_gee(data, exchangeable=True):
 
 @pytest.mark.parametrize("effect", [0.0, 1.0])
 def test_gee_equals_dense_equations(spark, effect):
-    data = fleet(effect=effect, repeats=4)
+    data = fleet(effect=effect, stops=48)
     fit = driver_clustered_gee(spark.createDataFrame(data, SCHEMA).repartition(3))
     terms, beta, covariance, alpha = dense_gee(data)
     assert fit.terms == terms and "C(algorithm)[T.fifo]" in fit.terms
@@ -252,14 +299,14 @@ def test_gee_equals_dense_equations(spark, effect):
 
 
 def test_gee_with_one_stop_per_driver_is_logistic_regression(spark):
-    data = fleet(repeats=8)
+    data = fleet(stops=64)
     data["driver_id"] = [f"d{i}" for i in range(len(data))]
     fit = driver_clustered_gee(spark.createDataFrame(data, SCHEMA))
     assert fit.params == pytest.approx(dense_gee(data, exchangeable=False)[1], abs=1e-6)
 
 
 def test_gee_collapses_repeated_stops(spark):
-    data = fleet(repeats=3)
+    data = fleet(stops=30)
     tripled = pd.concat([data] * 3)
     fit = driver_clustered_gee(spark.createDataFrame(tripled, SCHEMA))
     _, beta, covariance, _ = dense_gee(tripled.reset_index(drop=True))
@@ -270,13 +317,13 @@ def test_gee_collapses_repeated_stops(spark):
 def test_gee_refuses_unusable_data(spark):
     data = fleet()
     df = spark.createDataFrame(data, SCHEMA)
-    with pytest.raises(ValueError, match=r"Missing columns.*\['depot', 'region'\]"):
+    with pytest.raises(ValueError, match=r"needs the columns \['depot', 'region'\]"):
         driver_clustered_gee(df.drop("region", "depot"))
-    with pytest.raises(ValueError, match="both late and on-time"):
+    with pytest.raises(ValueError, match="all late or all on time"):
         driver_clustered_gee(df.where("is_late"))
-    with pytest.raises(ValueError, match="both late and on-time"):
+    with pytest.raises(ValueError, match="all late or all on time"):
         driver_clustered_gee(df.limit(0))
-    with pytest.raises(ValueError, match="two drivers"):
+    with pytest.raises(ValueError, match="fewer than two drivers"):
         driver_clustered_gee(df.withColumn("driver_id", df.algorithm.substr(1, 0)))
     with pytest.raises(ValueError, match="linearly dependent"):
         driver_clustered_gee(df.withColumn("depot", df.region))
