@@ -30,6 +30,13 @@ def text_of(page):
         ("<article>never <p>closed <ul><li>one<li>two", "never\nclosed\none\ntwo"),
         ('<div class="content"><p>kept</p></div><div class="cookie-notice">gone</div>', "kept"),
         ("<script>never closed <article>x</article>", ""),
+        ("<script>never closed <article>x</article> tail", ""),
+        ("<p>a</p><!-- never > closed", "a"),
+        ("<p>a</p> b <a hre", "a\nb"),
+        ("<a" * 60_000, ""),
+        ("<!" * 60_000 + "x", ""),
+        ("<p>" * 20_000 + "deep" + "</div>" * 20_000, "deep"),
+        ("<div>" * 3_000 + "deep", "deep"),
     ],
 )
 def test_text_of_a_page(page, text):
