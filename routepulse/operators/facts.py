@@ -16,6 +16,7 @@ from routepulse.schemas import (
     ROUTE_ATTRIBUTES,
 )
 from routepulse.operators.checks import check_unique
+from routepulse.operators.running import join_groups
 
 ALL = "All"
 
@@ -123,11 +124,12 @@ def leg_distances(stops: DataFrame, block_stops: int = 256) -> DataFrame:
         )
     )
     within = Window.partitionBy("route_id", "_block").orderBy(*order)
-    linked = (
-        visits.withColumn("_previous", F.lag(F.struct("lat", "lon")).over(within))
-        .join(tails, ["route_id", "_block"], "left")
-        .withColumn("_previous", F.coalesce("_previous", "_tail"))
-    )
+    # Visits without a sequence number are a block like any other.
+    linked = join_groups(
+        visits.withColumn("_previous", F.lag(F.struct("lat", "lon")).over(within)),
+        tails,
+        ["route_id", "_block"],
+    ).withColumn("_previous", F.coalesce("_previous", "_tail"))
     lon_scale = KM_PER_DEGREE * math.cos(math.radians(CITY_CENTER[0]))
     km = ROAD_FACTOR * F.hypot(
         (F.col("lat") - F.col("_previous.lat")) * KM_PER_DEGREE,

@@ -262,6 +262,21 @@ def _equations(drivers: DataFrame, p: int, alpha: float) -> dict[str, np.ndarray
     return out
 
 
+def driver_sums(facts: DataFrame, coefficients: dict[str, float]) -> DataFrame:
+    """Per driver at the given coefficients (others 0; measures standardised): what an iteration adds up.
+
+    driver_id, n (stops), e and ee (sums of the residuals and their squares), z (sum of the
+    weights' roots) and z_wait_min (the same times the standardised wait).
+    """
+    check_columns(facts, REQUIRED, "driver-clustered analysis")
+    patterns = _patterns(facts)
+    design, _, _ = _design(patterns)
+    beta = np.array([coefficients.get(term, 0.0) for term in design.terms])
+    sums = _driver_sums(_coded(patterns, design), design, beta).where("part = -1")
+    wait = design.terms.index("wait_min")
+    return sums.select("driver_id", F.col("n").cast("long"), "e", "ee", F.col("z0").alias("z"), F.col(f"z{wait}").alias("z_wait_min"))
+
+
 def _check_rank(information: np.ndarray, terms: list[str]) -> None:
     scale = np.sqrt(np.diag(information))
     if (scale == 0).any():

@@ -516,3 +516,11 @@ def test_a_bracket_that_misses_is_widened(spark):
     df = spark.range(50_000).select(F.col("id").cast("double").alias("v"))
     row = exact_quantiles(df, "v", {"m": 0.5, "p99": 0.99}, accuracy=50, margin=1e-9).first()
     assert (row["m"], row["p99"]) == (24999.5, pytest.approx(49499.01))
+
+
+def test_legs_of_visits_without_a_sequence_number(spark):
+    at = [(52.50, 13.4), (52.51, 13.4), (52.53, 13.4)]
+    stops = stops_of(spark, stop("r1", 1.0, None, lat=at[0][0], lon=at[0][1]), stop("r1", 1.0, 1, lat=at[1][0], lon=at[1][1]), stop("r1", 1.0, 300, lat=at[2][0], lon=at[2][1]))
+    legs = {r["stop_seq"]: r["leg_km"] for r in facts.leg_distances(stops).collect()}
+    assert legs[None] is None
+    assert (legs[1], legs[300]) == (pytest.approx(1.3 * 1.11), pytest.approx(1.3 * 2.22))

@@ -1,3 +1,6 @@
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from routepulse import session
@@ -13,6 +16,34 @@ def test_staged_table_is_read_back_from_the_shared_folder(spark):
     assert session.stage(df.limit(0), "nothing").count() == 0
 
 
+def test_a_scope_removes_what_was_staged_in_it(spark):
+    kept = session.stage(spark.range(3), "kept")
+    with session.staging(spark):
+        gone = session.stage(spark.range(4), "gone")
+        path = gone.inputFiles()[0].removeprefix("file:")
+        assert Path(path).exists() and gone.count() == 4
+    assert not Path(path).exists()
+    assert kept.count() == 3
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Cluster:
+        master, applicationId = "local-cluster[2,1,1024]", "x"
+
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+        sparkContext = Cluster
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.staging_dir(Session)
+    Cluster.master = "local[2]"
+    assert session.staging_dir(Session) == session.staging_dir(Session)
+
+
 def test_only_small_tables_are_settled(spark):
     df = spark.range(50).groupBy((F.col("id") % 20).alias("g")).count()
     table, small = session.settle(df, 20)
