@@ -31,13 +31,15 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     prepare(spark)
     docs = only(docs, *COLUMNS)
-    found = near_duplicates.near_duplicates(docs, words=5, percent=80)
+    found = stage(near_duplicates.near_duplicates(docs, words=5, percent=80).select("doc_id", "kept"), "kept")
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    stay = docs.join(gone, "doc_id", "left_anti")
-    repeated = found.where(F.col("kept")).groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    again = stay.join(repeated.select("doc_id"), "doc_id", "left_semi")
+    stay = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    repeated = found.where(F.col("kept")).groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("doc_id")
+    if repeated.isEmpty():
+        return stay
+    again = stay.join(repeated, "doc_id", "left_semi")
     first = again.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
-    return stay.join(repeated.select("doc_id"), "doc_id", "left_anti").unionByName(first).select(*COLUMNS)
+    return stay.join(repeated, "doc_id", "left_anti").unionByName(first).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
