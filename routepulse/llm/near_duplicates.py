@@ -8,10 +8,13 @@
 3. Every bucket names a hub, another one in every band. A document is compared with the
    hub that it shares most buckets with: signatures first, then the full shingle sets.
    Links that hold make components.
-4. Buckets whose members are still in different components are searched in blocks:
-   members outside the bucket's largest component against all its members, by their
-   signatures; what passes and still crosses components is confirmed on full sets. So no pair that shares a bucket
-   is left out, and the pairs inside a component, which add nothing, are never made.
+4. Large buckets of a few bands are dealt into blocks at random, and each block links its
+   members by their full sets. This joins most of what belongs together.
+5. Buckets whose members are still in different components are searched whole. Small
+   ones by pairs that cross components, signatures first; large ones in blocks: members
+   outside the bucket's largest component against all its members, by their full sets.
+   A block returns the links that join its components, never its pairs. So no pair that
+   shares a bucket is left out, and pairs inside a component, which add nothing, are never made.
 """
 
 from __future__ import annotations
@@ -29,8 +32,11 @@ BANDS, ROWS = 24, 4
 HASHES = BANDS * ROWS
 #: Standard errors that a signature may fall short of the threshold before full sets are compared.
 SLACK = 4.5
-#: Buckets with at most this many members are paired by a join, larger ones in blocks of that many.
-SMALL_BUCKET, BLOCK = 16, 512
+#: Buckets with at most this many members are paired by a join, larger ones are searched
+#: in blocks of about so many members and shingles.
+SMALL_BUCKET, BLOCK, BLOCK_SHINGLES = 16, 256, 200_000
+#: Bands whose large buckets are linked first.
+FIRST_BANDS = 3
 
 
 def least_equal(percent: int) -> int:
@@ -112,18 +118,43 @@ def _confirmed(k: int, percent: int):
     return work
 
 
-def _block_pairs(least: int):
+def _block_links(k: int, percent: int):
+    """Links (a, b) between components of a block: asking members against all, by full sets."""
+
     def work(group: pa.Table) -> pa.Table:
-        signatures = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
         ids, component, asks = (group.column(c).to_numpy() for c in ("id", "component", "asks"))
-        asked, others = np.flatnonzero(asks), np.flatnonzero(~asks)
-        found = [np.zeros((0, 2), np.int64)]
-        for i in asked:
-            equal = (signatures[others] == signatures[i]).sum(axis=1)
-            hit = others[(equal >= least) & (component[others] != component[i])]
-            found.append(np.stack([np.full(len(hit), ids[i]), ids[hit]], axis=1))
-        pairs = np.concatenate(found)
-        return pa.table({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}) if len(pairs) else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        power, sets = Powers(), []
+        for part in gathered(group.select(["text"]).to_batches(), "text"):
+            sets += shingle_sets(part.column("text"), k, power)
+        sizes = np.array([len(x) for x in sets])
+        # which members hold each shingle
+        codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(codes, kind="stable")
+        holders, edges = owner[order], np.concatenate([[0], np.cumsum(np.bincount(codes))])
+        starts = np.cumsum(sizes) - sizes
+        root = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        found = []
+        for i in np.flatnonzero(asks).tolist():
+            mine = codes[starts[i] : starts[i] + sizes[i]]
+            many = edges[mine + 1] - edges[mine]
+            places = np.repeat(edges[mine] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            both = np.bincount(holders[places], minlength=len(sets))
+            hit = 100 * both >= percent * (sizes + sizes[i] - both)
+            hit &= (both > 0) & (component != component[i])
+            for j in np.flatnonzero(hit).tolist():
+                x, y = find(component[i]), find(component[j])
+                if x != y:
+                    root[x] = y
+                    found.append((ids[i], ids[j]))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return work
 
@@ -144,7 +175,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
 
     full = seen.where((F.col("n_shingles") > 0) & F.col("id").isNotNull())
     classes = full.groupBy("a", "b").agg(F.min("id").alias("first"))
-    members = full.join(classes, ["a", "b"]).select("id", "first", F.when(F.col("id") == F.col("first"), F.col("signature")).alias("signature"))
+    members = full.join(classes, ["a", "b"]).select("id", "first", "n_shingles", F.when(F.col("id") == F.col("first"), F.col("signature")).alias("signature"))
     members = stage(members, "classes")
     heads = members.where(F.col("signature").isNotNull()).select("id", "signature")
 
@@ -156,14 +187,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
     nearest = shared.where(F.col("id") != F.col("hub")).groupBy("id", "hub").agg(F.count("*").alias("n"))
     nearest = nearest.groupBy("id").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"))
     pairs = stage(nearest.select(F.col("id").alias("a"), F.col("hub").alias("b")), "pairs")
+    sizes = members.where(F.col("signature").isNotNull()).select("id", "n_shingles")
     links = _links(pairs, heads, texts, words, percent, least)
     groups = stage(components(links), "groups")
 
-    rest = stage(_crossing(shared, groups, heads, pairs, least), "pairs")
-    more = _confirm(rest, texts, words, percent)
+    first = _mixed(shared.where(F.col("key").bitwiseAND(F.lit(31)) < FIRST_BANDS), groups, sizes)
+    first = first.where(F.col("size") > SMALL_BUCKET)
+    if not first.isEmpty():
+        spread = F.pmod(F.xxhash64("id", "key"), F.col("blocks"))
+        dealt = first.select("key", "id", "component", spread.alias("block"), F.lit(0).alias("round"), F.lit(True).alias("asks"))
+        more = _linked_blocks(dealt, texts, words, percent)
+        groups = stage(components(_stars(groups).unionAll(more)), "groups")
+
+    rest = _mixed(shared, groups, sizes)
+    more = _confirm(stage(_crossing(rest, heads, pairs, least), "pairs"), texts, words, percent)
+    large = rest.where(F.col("size") > SMALL_BUCKET)
+    if not large.isEmpty():
+        more = more.unionAll(_linked_blocks(_asking(large), texts, words, percent))
     copies = members.where(F.col("id") != F.col("first")).select(F.col("id").alias("a"), F.col("first").alias("b"))
-    stars = groups.where(F.col("node") != F.col("component")).select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = stage(components(stars.unionAll(more).unionAll(copies)), "groups")
+    final = stage(components(_stars(groups).unionAll(more).unionAll(copies)), "groups")
 
     out = seen.select("id", "n_shingles").join(final.select(F.col("node").alias("id"), "component"), "id", "left")
     out = out.select(F.col("id").alias(id_column), "n_shingles", F.coalesce("component", "id").alias("component_id"))
@@ -186,31 +228,51 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     return stage(map_batches(both, _confirmed(words, percent), "a long, b long").distinct(), "confirmed")
 
 
-def _crossing(shared: DataFrame, groups: DataFrame, heads: DataFrame, done: DataFrame, least: int) -> DataFrame:
-    """Pairs that share a bucket, lie in different components, and have like signatures."""
+def _stars(groups: DataFrame) -> DataFrame:
+    """Links that make the same components again."""
+    return groups.where(F.col("node") != F.col("component")).select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def _mixed(shared: DataFrame, groups: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members of the buckets with several components, with figures of their bucket."""
     placed = shared.select("key", "id").join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("key").agg(F.sum("n").alias("size"), F.max("n").alias("largest"), F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
-    mixed = mixed.where(F.col("parts") > 1)
-    placed = stage(placed.join(mixed, "key").select("key", "id", "component", "size", "largest", "main"), "mixed")
+    placed = placed.join(sizes, "id")
+    counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    mixed = counts.groupBy("key").agg(
+        F.sum("n").alias("size"), F.sum("shingles").alias("shingles"), F.max("n").alias("largest"),
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"),
+    )
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    rounds = F.ceil((F.col("size") - F.col("largest")) * blocks / F.col("size")).cast("int")
+    mixed = mixed.where(F.col("parts") > 1).select("key", "size", "main", blocks.alias("blocks"), rounds.alias("rounds"))
+    return stage(placed.join(mixed, "key").select("key", "id", "component", "size", "main", "blocks", "rounds"), "mixed")
+
+
+def _asking(large: DataFrame) -> DataFrame:
+    """All members of a bucket in blocks, each block once for every block of members outside its largest component."""
+    spread = F.xxhash64("id", "key")
+    columns = ["key", "id", "component"]
+    each = F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)).alias("round")
+    members = large.select(*columns, F.pmod(spread, F.col("blocks")).alias("block"), each, F.lit(False).alias("asks"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    outside = large.where(F.col("component") != F.col("main"))
+    asking = outside.select(*columns, every, F.pmod(spread, F.col("rounds")).alias("round"), F.lit(True).alias("asks"))
+    return members.withColumn("block", F.col("block").cast("int")).unionByName(asking.withColumn("round", F.col("round").cast("int")))
+
 
-    little = placed.where(F.col("size") <= SMALL_BUCKET).select("key", "id", "component")
+def _linked_blocks(dealt: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    whole = dealt.join(texts, "id").select("key", "block", "round", "id", "component", "asks", "text")
+    found = whole.groupBy("key", "block", "round").applyInArrow(_block_links(words, percent), "a long, b long")
+    return stage(found, "confirmed")
+
+
+def _crossing(mixed: DataFrame, heads: DataFrame, done: DataFrame, least: int) -> DataFrame:
+    """Pairs that share a small bucket, lie in different components, and have like signatures."""
+    little = mixed.where(F.col("size") <= SMALL_BUCKET).select("key", "id", "component")
     other = little.select("key", F.col("id").alias("b"), F.col("component").alias("other"))
     little = little.join(other, "key").where((F.col("id") < F.col("b")) & (F.col("component") != F.col("other")))
     little = little.select(F.col("id").alias("a"), "b").distinct()
     checked = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     little = little.join(checked, ["a", "b"], "left_anti")
     left, right = (heads.select(F.col("id").alias(c), F.col("signature").alias(f"s{c}")) for c in "ab")
-    little = map_batches(little.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), _alike(least), "a long, b long")
-
-    large = placed.where(F.col("size") > SMALL_BUCKET).join(heads, "id")
-    blocks, rounds = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("size", "outside"))
-    large = large.withColumn("outside", F.col("size") - F.col("largest"))
-    spread = F.xxhash64("id", "key")
-    own = F.pmod(spread, blocks)
-    ask = F.pmod(spread, rounds)
-    columns = ["key", "id", "component", "signature"]
-    members = large.select(*columns, own.alias("block"), F.explode(F.sequence(F.lit(0), rounds - 1)).alias("round"), F.lit(False).alias("asks"))
-    asking = large.where(F.col("component") != F.col("main")).select(*columns, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), ask.alias("round"), F.lit(True).alias("asks"))
-    large = members.unionByName(asking).groupBy("key", "block", "round").applyInArrow(_block_pairs(least), "a long, b long")
-    return little.unionAll(large).distinct().join(checked, ["a", "b"], "left_anti")
+    return map_batches(little.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), _alike(least), "a long, b long").distinct()
