@@ -184,11 +184,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
     mark = F.col("id").bitwiseXOR(salt)
     buckets = dealt.groupBy("key").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where(F.col("low") != F.col("high"))
     shared = stage(dealt.join(buckets, "key").select("key", "id", F.col("low").bitwiseXOR(salt).alias("hub")), "buckets")
+    # the texts that any later step may compare are picked out once
+    asked = stage(texts.join(shared.select("id").distinct(), "id", "left_semi"), "texts")
     nearest = shared.where(F.col("id") != F.col("hub")).groupBy("id", "hub").agg(F.count("*").alias("n"))
     nearest = nearest.groupBy("id").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"))
     pairs = stage(nearest.select(F.col("id").alias("a"), F.col("hub").alias("b")), "pairs")
     sizes = members.where(F.col("signature").isNotNull()).select("id", "n_shingles")
-    links = _links(pairs, heads, texts, words, percent, least)
+    links = _links(pairs, heads, asked, words, percent, least)
     groups = stage(components(links), "groups")
 
     first = _mixed(shared.where(F.col("key").bitwiseAND(F.lit(31)) < FIRST_BANDS), groups, sizes)
@@ -196,14 +198,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_colum
     if not first.isEmpty():
         spread = F.pmod(F.xxhash64("id", "key"), F.col("blocks"))
         dealt = first.select("key", "id", "component", spread.alias("block"), F.lit(0).alias("round"), F.lit(True).alias("asks"))
-        more = _linked_blocks(dealt, texts, words, percent)
+        more = _linked_blocks(dealt, asked, words, percent)
         groups = stage(components(_stars(groups).unionAll(more)), "groups")
 
     rest = _mixed(shared, groups, sizes)
-    more = _confirm(stage(_crossing(rest, heads, pairs, least), "pairs"), texts, words, percent)
+    more = _confirm(stage(_crossing(rest, heads, pairs, least), "pairs"), asked, words, percent)
     large = rest.where(F.col("size") > SMALL_BUCKET)
     if not large.isEmpty():
-        more = more.unionAll(_linked_blocks(_asking(large), texts, words, percent))
+        more = more.unionAll(_linked_blocks(_asking(large), asked, words, percent))
     copies = members.where(F.col("id") != F.col("first")).select(F.col("id").alias("a"), F.col("first").alias("b"))
     final = stage(components(_stars(groups).unionAll(more).unionAll(copies)), "groups")
 
