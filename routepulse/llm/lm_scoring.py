@@ -20,14 +20,15 @@ from routepulse.session import stage
 ANCHORS, CLASSES = 64, 8
 #: A word with at least this share of a slice's words is counted as a possible anchor.
 ANCHOR_SHARE = 0.0005
-#: Most frequent words whose counts are sent to the tasks; the counts of the others are joined.
-FREQUENT = 1 << 18
+#: Frequent words at most whose counts and scores are sent to the tasks; the counts of the
+#: others are joined, their scores worked out where they occur.
+FREQUENT = 1 << 20
 #: Different words (per class) that one task learns from.
 LEARNER_WORDS = 500_000
 CHUNK = 1 << 16
-SLICE = 8 << 20
+SLICE = 3 << 20
 #: Word scores that a task remembers (memory only).
-REMEMBERED = 1 << 21
+REMEMBERED = 1 << 20
 #: Stands for the end of a text among the words' hashes, which are even numbers.
 END = 1
 
@@ -75,12 +76,13 @@ def score_texts(docs: DataFrame, training: DataFrame, id_column: str = "doc_id",
     prior = np.array([sizes.get(c, 0) + 1.0 for c in range(CLASSES + 1)])
     mixer = _mixer(counted, shared_tables)
 
-    top = words.orderBy(F.desc("n"), "hash").limit(FREQUENT).toArrow()
-    order = np.argsort(top.column("hash").to_numpy())
-    top = top.column("hash").to_numpy()[order], top.column("n").to_numpy()[order]
-    shared = spark.sparkContext.broadcast((top, mixer, np.log10(prior / prior.sum()), total + 0.5 * (distinct + 1) if total else 0.5))
+    top = _sorted(_most_frequent(words).select("hash", "n"))
+    scored = map_batches(_most_frequent(counted), _word_scores(mixer, shared_tables), "key long, score double")
+    shared = spark.sparkContext.broadcast((top, _sorted(scored)))  # FREQUENT words each
+    whole = total + 0.5 * (distinct + 1) if total else 0.5
+    settings = mixer, np.log10(prior / prior.sum()), whole
 
-    main = map_batches(texts, _scoring(shared, shared_tables, shared_groups), f"id {kind}, key long, n_tokens long, n_known long, base double, score double, bits_per_byte double")
+    main = map_batches(texts, _scoring(shared, shared_tables, shared_groups, settings), f"id {kind}, key long, n_tokens long, n_known long, base double, score double, bits_per_byte double")
     rare = map_batches(texts.select("key", "text"), _rare(shared), "key long, hash long, n long")
     found = rare.join(words.select("hash", F.col("n").alias("c")), "hash", "left")
     # rows with hash 0 count the rows of a key: equal rows bring the same words again
@@ -201,7 +203,7 @@ def _tables(counted: DataFrame) -> np.ndarray:
     """The predictors' tables: every learner adds its words, and their tables are added up in chunks."""
 
     def work(batches):
-        tables = np.zeros((2, model.SLOTS), np.float32)
+        tables = np.zeros((model.SLOTS, 2), np.float32)
         least = None
         for words, classes, n in _blocks(_joined(batches)):
             least = words[0] if least is None else least
@@ -223,7 +225,7 @@ def _tables(counted: DataFrame) -> np.ndarray:
     for row in parts.groupBy("chunk").applyInArrow(add, "chunk int, part binary").toLocalIterator():  # one table in all
         part = np.frombuffer(row.part, np.float32)
         flat[row.chunk * CHUNK : row.chunk * CHUNK + len(part)] = part
-    return flat.reshape(2, model.SLOTS)
+    return flat.reshape(model.SLOTS, 2)
 
 
 def _joined(batches, rows: int = model.AT_ONCE):
@@ -260,42 +262,73 @@ def _mixer(counted: DataFrame, shared_tables) -> model.Mixer:
     return model.Mixer(weights / total, refine) if total else start
 
 
-def _scoring(shared, shared_tables, shared_groups):
+def _most_frequent(words: DataFrame) -> DataFrame:
+    """The words with the highest counts, ``FREQUENT`` of them at most: those above a count, no matter which."""
+    step = F.floor(8 * F.log2("n"))
+    sizes = words.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()  # a few hundred rows
+    least, held = 1 << 20, 0
+    for row in sorted(sizes, reverse=True):
+        held += row.rows
+        if held > FREQUENT:
+            break
+        least = row.step
+    return words.where(step >= least)
+
+
+def _sorted(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    found = table.toArrow()
+    keys, values = (found.column(i).to_numpy() for i in range(2))
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
+def _key(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """A word of a class."""
+    return mix(hashes.view(np.uint64) + classes.astype(np.uint64)).view(np.int64)
+
+
+def _word_scores(mixer, shared_tables):
     def work(batches):
-        (top, counts), mixer, prior, whole = shared.value
-        stretched, levels = model._inputs(*shared_tables.value)
-        levels = levels.astype(np.int8)
+        ready = model.ready_tables(shared_tables.value)
+        for batch in batches:
+            classes = batch.column("class").to_numpy().astype(np.int64)
+            scores = mixer.log10(batch.column("word").to_pylist(), classes, ready)
+            yield {"key": _key(batch.column("hash").to_numpy(), classes), "score": scores}
+
+    return work
+
+
+def _scoring(shared, shared_tables, shared_groups, settings):
+    def work(batches):
+        (top, counts), (top_keys, top_scores) = shared.value
+        mixer, prior, whole = settings
+        ready = model.ready_tables(shared_tables.value)
         power = Powers()
         gains = np.log10(counts + 0.5)
         end = np.searchsorted(top, END)
         has_end = end < len(top) and top[end] == END
         end_gain = gains[end] if has_end else np.log10(0.5)
-        ends = mixer.log10([b""] * (CLASSES + 1), np.arange(CLASSES + 1), stretched, levels)
-        known_keys, known_scores = np.zeros(0, np.int64), np.zeros(0)
+        ends = mixer.log10([b""] * (CLASSES + 1), np.arange(CLASSES + 1), ready)
+        known_keys, known_scores = top_keys, top_scores
         for part in gathered(batches, "text", SLICE):
             rows = part.num_rows
             tokens = Tokens(part.column("text"), power)
             classes = _class_of(tokens, *shared_groups.value, rows)
-            at = np.minimum(np.searchsorted(top, tokens.hashes), max(len(top) - 1, 0))
-            hit = top[at] == tokens.hashes if len(top) else np.zeros(len(tokens.hashes), bool)
-            base = np.bincount(tokens.docs[hit], weights=gains[at[hit]] if len(top) else None, minlength=rows)
-            known = np.bincount(tokens.docs[hit], minlength=rows) + int(has_end)
-            # scores of words not met before in this task
-            keys = mix(tokens.hashes.view(np.uint64) + classes[tokens.docs].astype(np.uint64)).view(np.int64)
+            keys = _key(tokens.hashes, classes[tokens.docs])
             distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
-            place = np.minimum(np.searchsorted(known_keys, distinct), max(len(known_keys) - 1, 0))
-            new = known_keys[place] != distinct if len(known_keys) else np.ones(len(distinct), bool)
-            scores = np.zeros(len(distinct))
-            if len(known_keys):
-                scores[~new] = known_scores[place[~new]]
-            which = first[new].tolist()
-            scores[new] = mixer.log10([tokens.word(i) for i in which], classes[tokens.docs[first[new]]], stretched, levels)
+            hashes = tokens.hashes[first]
+            gain, hit = _found(top, gains, hashes)
+            base = np.bincount(tokens.docs, weights=gain[back], minlength=rows)
+            known = np.bincount(tokens.docs, weights=hit[back], minlength=rows).astype(np.int64) + int(has_end)
+            # scores of words that the task has not met before
+            scores, old = _found(known_keys, known_scores, distinct)
+            which = first[~old]
+            scores[~old] = mixer.log10([tokens.word(i) for i in which.tolist()], classes[tokens.docs[which]], ready)
             total = np.bincount(tokens.docs, weights=scores[back], minlength=rows) + ends[classes] + prior[classes]
-            if len(known_keys) > REMEMBERED:
-                known_keys, known_scores = np.zeros(0, np.int64), np.zeros(0)
-            known_keys, known_scores = np.concatenate([known_keys, distinct[new]]), np.concatenate([known_scores, scores[new]])
-            order = np.argsort(known_keys)
-            known_keys, known_scores = known_keys[order], known_scores[order]
+            if len(known_keys) > len(top_keys) + REMEMBERED:
+                known_keys, known_scores = top_keys, top_scores
+            places = np.searchsorted(known_keys, distinct[~old])
+            known_keys, known_scores = np.insert(known_keys, places, distinct[~old]), np.insert(known_scores, places, scores[~old])
             n_tokens = tokens.counts + 1
             size = np.bincount(tokens.docs, weights=tokens.ends - tokens.starts + 1, minlength=rows) + 1
             yield {
@@ -311,16 +344,24 @@ def _scoring(shared, shared_tables, shared_groups):
     return work
 
 
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the wanted keys (0 where absent), and which are there."""
+    if not len(keys):
+        return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    there = keys[at] == wanted
+    return np.where(there, values[at], 0.0), there
+
+
 def _rare(shared):
     """key, hash, n: the words of each text whose counts the tasks don't hold, and hash 0 once per text."""
 
     def work(batches):
-        (top, _), *_rest = shared.value
+        (top, counts), _ = shared.value
         power = Powers()
         for part in gathered(batches, "text", SLICE):
             tokens = Tokens(part.column("text"), power)
-            at = np.minimum(np.searchsorted(top, tokens.hashes), max(len(top) - 1, 0))
-            rare = top[at] != tokens.hashes if len(top) else np.ones(len(tokens.hashes), bool)
+            rare = ~_found(top, counts, tokens.hashes)[1]
             hashes, codes = np.unique(tokens.hashes[rare], return_inverse=True)
             pairs, n = np.unique(tokens.docs[rare] * max(len(hashes), 1) + codes, return_counts=True)
             keys = part.column("key").to_numpy()

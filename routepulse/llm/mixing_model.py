@@ -73,14 +73,14 @@ def decisions(data: np.ndarray, hashes: np.ndarray):
 
 
 def learn_tables(words: list[bytes], classes: np.ndarray, counts: np.ndarray, tables: np.ndarray) -> None:
-    """Add the words' bits, ``counts`` times each, to ``tables`` (2 x SLOTS)."""
+    """Add the words' bits, ``counts`` times each, to ``tables`` (SLOTS x 2)."""
     flat = tables.reshape(-1)
     for i in range(0, len(words), AT_ONCE):
         data, sizes = spelled(words[i : i + AT_ONCE])
         weight = np.repeat(counts[i : i + AT_ONCE], sizes).astype(flat.dtype)
         hashes, _ = contexts(data, sizes, classes[i : i + AT_ONCE])
         for slots, bit in decisions(data, hashes):
-            slots += (bit * SLOTS).astype(np.int64)
+            slots += slots + bit.astype(np.int64)
             for order in range(ORDERS):
                 np.add.at(flat, slots[order], weight)
 
@@ -94,6 +94,15 @@ def _inputs(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return stretched.astype(np.float32), np.where(sure, np.minimum(level, 3) + 12, level)
 
 
+def ready_tables(tables: np.ndarray) -> np.ndarray:
+    """Stretched predictions and levels of all slots, side by side in one number each."""
+    out = np.empty((SLOTS, 2), np.float32)
+    for i in range(0, SLOTS, 1 << 18):
+        part = tables[i : i + (1 << 18)]
+        out[i : i + (1 << 18), 0], out[i : i + (1 << 18), 1] = _inputs(part[:, 0], part[:, 1])
+    return out.view(np.uint64).ravel()
+
+
 #: From a level to one of five: nothing, little, much, very much, or only one bit seen.
 _COARSE = np.array([0, 1, 1, 1, 2, 2, 2, 3, 3, 3, 3, 3, 4, 4, 4, 4])
 
@@ -132,14 +141,17 @@ class Mixer:
         table = ones[gate, at] * (1 - share) + ones[gate, at + 1] * share
         return np.clip((_squash(x) + table) / 2, 1e-6, 1 - 1e-6)
 
-    def learn(self, words: list[bytes], classes: np.ndarray, counts: np.ndarray, tables: np.ndarray, batch: int = 768) -> None:
+    def learn(self, words: list[bytes], classes: np.ndarray, counts: np.ndarray, tables: np.ndarray, batch: int = 2048) -> None:
         """Go through the words online; each is predicted as if it had been seen once less."""
+        both = tables.view(np.uint64).ravel()
         for i in range(0, len(words), batch):
             data, sizes = spelled(words[i : i + batch])
             weight = np.repeat(counts[i : i + batch], sizes).astype(np.float64)
             hashes, place = contexts(data, sizes, classes[i : i + batch])
             for slots, bit in decisions(data, hashes):
-                zeros, ones = np.maximum(tables[0, slots] - (bit == 0), 0), np.maximum(tables[1, slots] - (bit == 1), 0)
+                # both counts of a slot lie side by side and are fetched as one number
+                pair = both[slots].view(np.float32).reshape(*slots.shape, 2)
+                zeros, ones = np.maximum(pair[..., 0] - (1 - bit), 0), np.maximum(pair[..., 1] - bit, 0)
                 stretched, level = _inputs(zeros, ones)
                 gate = _gate(level, place)
                 x = self.mixed(gate, stretched, level)
@@ -156,17 +168,18 @@ class Mixer:
                     for shift, part in ((0, 1 - share[chosen]), (1, share[chosen])):
                         self.refine[value] += np.bincount(cell + shift, weights=part * weight[chosen], minlength=GATES * STEPS + 1)[: GATES * STEPS].reshape(GATES, STEPS)
 
-    def log10(self, words: list[bytes], classes: np.ndarray, stretched: np.ndarray, levels: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each word; ``stretched`` and ``levels`` hold the tables."""
+    def log10(self, words: list[bytes], classes: np.ndarray, ready: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each word; ``ready`` holds the tables, see ``ready_tables``."""
         out = np.zeros(len(words))
         for i in range(0, len(words), AT_ONCE):
             data, sizes = spelled(words[i : i + AT_ONCE])
             hashes, place = contexts(data, sizes, classes[i : i + AT_ONCE])
             total = np.zeros(len(data))
             for slots, bit in decisions(data, hashes):
-                level = levels[slots]
+                pair = ready[slots].view(np.float32).reshape(*slots.shape, 2)
+                level = pair[..., 1].astype(np.int64)
                 gate = _gate(level, place)
-                p = self.refined(gate, self.mixed(gate, stretched[slots], level))
+                p = self.refined(gate, self.mixed(gate, pair[..., 0], level))
                 total += np.log10(np.where(bit == 1, p, 1 - p))
             out[i : i + AT_ONCE] = np.add.reduceat(total, np.cumsum(sizes) - sizes)
         return out
