@@ -40,6 +40,7 @@ class Slices:
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         self.ids, self.rows = ids, rows
+        self.repeats = len(np.unique(ids)) < len(ids)
         self.low = rows.min(axis=0) if len(rows) else np.zeros(rows.shape[1], np.int64)
         shifted = (rows - self.low).astype(np.uint64)
         self.bits = max(0, int(shifted.max()).bit_length() - LOW_BITS) if shifted.size else 0
@@ -87,7 +88,7 @@ class Slices:
         return result, error
 
     def top(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per query the ids and scores of its k best rows, ties to the smaller id."""
+        """Per query its k best different ids and their best scores, ties to the smaller id."""
         if not len(self.rows):
             return [(self.ids, np.zeros(0, np.int64))] * len(queries)
         planes, error = self.sums(queries)
@@ -99,34 +100,48 @@ class Slices:
         for q in range(len(queries)):
             wanted = min(k + 1, len(self.rows))  # the query's own row may be among them
             slack = -(-int(error[q]) >> LOW_BITS) + 1
-            # the wanted-th largest sum, from the most significant slice downward
-            tie, sure, value = valid.copy(), 0, 0
-            for place in range(len(planes) - 1, -1, -1):
-                plane = planes[place]
-                have = tie & plane[q] if plane is not None else np.zeros_like(tie)
-                n = count(have)
-                if sure + n >= wanted:
-                    tie, value = have, value | (1 << place)
-                else:
-                    sure += n
-                    tie = tie & ~have
+            while True:
+                # the wanted-th largest sum, from the most significant slice downward
+                tie, sure, value = valid.copy(), 0, 0
+                for place in range(len(planes) - 1, -1, -1):
+                    plane = planes[place]
+                    have = tie & plane[q] if plane is not None else np.zeros_like(tie)
+                    n = count(have)
+                    if sure + n >= wanted:
+                        tie, value = have, value | (1 << place)
+                    else:
+                        sure += n
+                        tie = tie & ~have
+                if not self.repeats or wanted == len(self.rows):
+                    break
+                # rows of one id, the query's own included, fill no more than one place
+                inside = self.ids[self._reaching(planes, q, valid, value)]
+                if len(np.unique(inside[inside != own[q]])) >= k:
+                    break
+                wanted = min(2 * wanted, len(self.rows))
             # all rows whose sum plus the error may reach it: sum >= value - slack
-            bound = max(0, value - slack)
-            above, equal = np.zeros_like(valid), valid.copy()
-            for place in range(len(planes) - 1, -1, -1):
-                plane = planes[place][q] if planes[place] is not None else np.zeros_like(valid)
-                if (bound >> place) & 1:
-                    equal = equal & plane
-                else:
-                    above |= equal & plane
-                    equal = equal & ~plane
-            rows = np.flatnonzero(np.unpackbits((above | equal).view(np.uint8), bitorder="little"))
+            rows = self._reaching(planes, q, valid, max(0, value - slack))
             rows = rows[self.ids[rows] != own[q]]
             scores = self.rows[rows] @ queries[q]
-            best = np.lexsort((self.ids[rows], -scores))[:k]
+            best = np.lexsort((self.ids[rows], -scores))
+            if self.repeats:
+                best = best[np.sort(np.unique(self.ids[rows][best], return_index=True)[1])]
+            best = best[:k]
             out.append((self.ids[rows][best], scores[best]))
         return out
 
+    def _reaching(self, planes: list[np.ndarray], q: int, valid: np.ndarray, bound: int) -> np.ndarray:
+        """The rows whose sum is at least ``bound``."""
+        above, equal = np.zeros_like(valid), valid.copy()
+        for place in range(len(planes) - 1, -1, -1):
+            plane = planes[place][q] if planes[place] is not None else np.zeros_like(valid)
+            if (bound >> place) & 1:
+                equal = equal & plane
+            else:
+                above |= equal & plane
+                equal = equal & ~plane
+        return np.flatnonzero(np.unpackbits((above | equal).view(np.uint8), bitorder="little"))
+
 
 def _add(waiting: list[list[np.ndarray]], place: int, bitmap: np.ndarray) -> None:
     """Add a bitmap at a place; three at one place become a sum and a carry."""

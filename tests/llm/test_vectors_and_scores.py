@@ -56,6 +56,25 @@ def test_top_k_equals_all_pairs(spark, monkeypatch, block):
     assert similar_vectors.top_k(rows.where("vec_id < 3"), rows.where("vec_id = 0")).count() == 2
 
 
+@pytest.mark.parametrize("repeats", [6, 10, 60])
+def test_rows_repeated_under_one_id_take_one_place(spark, repeats):
+    dice = random.Random(repeats)
+    vectors = [(i, [dice.randint(-200, 200) for _ in range(6)]) for i in range(80)]
+    query = vectors[0][1]
+    # the best rows of query 0: many of id 90, equal and different ones, and many of its own id
+    vectors += [(90, [3 * x for x in query])] * repeats + [(90, [2 * x + n for x in query]) for n in range(repeats)]
+    vectors += [(0, [4 * x + n for x in query]) for n in range(repeats)]
+    rows = spark.createDataFrame(vectors, "vec_id long, vector array<int>").coalesce(1)
+    one = rows.where("vec_id = 7").unionAll(rows.where("vec_id = 0").limit(1))
+    got = similar_vectors.top_k(rows, one, 5).collect()
+    first = best(vectors, [vectors[0], vectors[7]], 5)
+    assert sorted(map(tuple, got)) == first
+    assert len(first) == 10
+    index = similar_vectors.Slices(np.array([i for i, _ in vectors]), np.array([v for _, v in vectors]))
+    (ids, scores), *_ = index.top(np.array([query]), np.array([0]), 5)
+    assert [(0, n + 1, i, s) for n, (i, s) in enumerate(zip(ids.tolist(), scores.tolist(), strict=True))] == [r for r in first if r[0] == 0]
+
+
 def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
 
