@@ -43,6 +43,32 @@ def test_text_of_a_page(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<html class="nav-closed"><body class="has-sidebar"><article>told</article></body></html>', "told"),
+        ('<div id="social-history"><article>told <p>more</article></div><div class="ad-box">buy</div>', "told\nmore"),
+        ('<main class="with-banner"><h1>head</h1><p>told</p><div class="share">tweet</div></main>', "head\ntold"),
+        ('<div class="sidebar-left"><div itemprop="articleBody" class="social">told</div></div>', "told"),
+        ('<article class="has-sidebar">told<div class="share">tweet</div><article class="comment">me too</article></article>', "told"),
+        ('<main>head<div class="with-sidebar"><nav>menu</nav><article>told</article></div></main>', "head\ntold"),
+        ('<span class="social"><article>told</article></span>', "told"),
+        # an article that a hint is on or around gives way to one without
+        ('<main><article>told</article><div id="comments"><article>me too</article></div><article class="comment">so</article></main>', "told"),
+        ('<aside><article>other</article></aside><div hidden><article>not</article></div><p>told</p>', "told"),
+    ],
+)
+def test_a_hint_does_not_lose_the_marked_article(page, text):
+    assert text_of(page) == text
+
+
+def test_hinted_blocks_go_where_the_host_repeats_them(spark):
+    line = '<div class="cookie-notice">we use small files to remember what you like here</div><div class="nav-area"><nav>menu</nav></div>'
+    pages = [(n, f"http://a.example/{n}", f'<div class="with-sidebar">{line}<p>{own(n)}</p><p hidden>no</p></div>') for n in range(6)]
+    got = html_extraction.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {n: own(n) for n in range(6)}
+
+
 def test_suffix_array_finds_all_repeated_runs():
     dice = np.random.default_rng(4)
     for _ in range(100):
