@@ -115,6 +115,36 @@ def test_boilerplate_of_a_host_goes(spark, monkeypatch, part):
     assert all(r.n_chars == len(r.text) for r in rows)
 
 
+def test_near_copies_and_common_phrases_stay(spark):
+    dice = np.random.default_rng(7)
+    common = [" ".join(f"c{i}x{j}" for j in range(5)) for i in range(20)]
+
+    def prose(n):
+        """Natural language: frequent and rare words, and phrases that many texts have."""
+        ranks = np.minimum(dice.zipf(1.3, n), 5000)
+        return " ".join(dice.choice(common) if dice.random() < 0.1 else f"w{r}" for r in ranks)
+
+    clean, pages = {}, []
+
+    def add(host, text, around="{}"):
+        clean[len(pages)] = text
+        pages.append((len(pages), f"http://{host}/{len(pages)}", around.format("".join(f"<p>{t}</p>" for t in text.split("\n")))))
+
+    # near copies of one article: alone on a host, and among other pages
+    for host in ("near.example", "far.example"):
+        article = prose(150)
+        for date in ("monday", "tuesday", "friday"):
+            add(host, f"seen on {date}\n{article}\n{prose(4)}")
+    for _ in range(9):
+        add("far.example", prose(60))
+    line, long = "read our weekly letter now", " ".join(f"long{i}" for i in range(30))
+    for _ in range(2000):
+        add("big.example", f"{prose(8)}\n{dice.choice(common)}, said {prose(5)}\n{prose(40)}", f"<p>{line}</p>{{}}<p>{long}</p>")
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(8)
+    found = {r.page_id: r.text for r in html_extraction.extract_text(frame).collect()}
+    assert [i for i in clean if found[i] != clean[i]] == []
+
+
 def test_no_pages(spark):
     assert html_extraction.extract_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
