@@ -88,6 +88,21 @@ def test_terms_that_give_an_entity_away(spark, told):
     assert none.where(F.size("terms") > 0).count() == 0
 
 
+def test_terms_far_from_the_entity(spark):
+    far = [" ".join(f"{chr(97 + i)}{chr(97 + j)}filler" for j in range(26)) for i in range(4)]
+    # a name far from the address, twice, and an unspaced run of letters that goes on beyond 64 code points
+    rows = [(i, f"Zorblat wrote. {far[i]}. To boss@example.com {'写信' * 50}. {far[i]} zorblat") for i in range(4)]
+    rows += [(10 + i, f"other words wrote here number {i} with com and boss") for i in range(200)]
+    rows += [(0, "again under one id"), (300, "zorblat alone"), (None, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = personal_data.find_personal_data(docs, keep=("text",)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        told = r.doc_id is not None and "@" in r.text
+        want = [(m.start(), m.end(), m[0].lower()) for m in re.finditer("[Zz]orblat|(?:写信)+", r.text)] if told else []
+        assert [tuple(s) for s in r.terms] == want
+
+
 def test_overlapping_spans_become_one(spark):
     docs = spark.createDataFrame([(1, "call +4111111111111111 or 1.2.3.4")], "doc_id long, text string")
     clean = personal_data.find_personal_data(docs, keep=("text",)).select(personal_data.sanitised(F.col("text")).alias("t")).first().t
