@@ -2,7 +2,7 @@
 
 Everything here is DataFrame operations.
 
-The tree. A path's segments become template segments: numbers, dates, hashes and
+The tree. It is as deep as the paths are. A path's segments become template segments: numbers, dates, hashes and
 segments that hold digits are wildcards by shape ("{n}", "{x}"), and a literal segment that
 is one of very many different ones under its parent becomes "{w}". Under each node,
 sibling branches with the same sub-tree shape are merged into one ("{m}") when their labelled
@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from routepulse.llm.common import only
 from routepulse.session import stage
 
-#: Levels of the tree; deeper segments belong to the last level's node.
-LEVELS = 3
 #: More different literal segments than this under one parent, each of them rare, are a variable.
 FANOUT = 50
 #: A literal segment with at least this share of its parent's pages stays literal even so.
@@ -59,10 +57,10 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[
 
 
 def segments(path: Column) -> Column:
-    """The first template segments of a path, by shape; at least one."""
+    """The template segments of a path, by shape; at least one."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
     shaped = F.transform(
-        F.slice(parts, 1, LEVELS),
+        parts,
         lambda s: F.when(s.rlike(r"^[0-9]+(\.[A-Za-z0-9]+)?$"), "{n}").when(s.rlike(r"[0-9]"), "{x}").otherwise(s),
     )
     return F.when(F.size(shaped) == 0, F.array(F.lit(""))).otherwise(shaped)
@@ -83,9 +81,14 @@ def learn_templates(pages: DataFrame, prior_weight: float = PRIOR_WEIGHT) -> Dat
     )
     # staged: the tree is much smaller than the pages, and every step reads it several times
     counted = stage(counted, "url-templates")
-    tree = counted.withColumn("shape", F.col("template"))
-    for level in range(LEVELS):
+    tree, ended = counted.withColumn("shape", F.col("template")), []
+    for level in range(counted.agg(F.max(F.size("template"))).first()[0] or 0):
         tree = stage(_merge(stage(_generalise(tree, level), "url-general"), level), "url-merged")
+        # templates that end here are not read again
+        ended.append(tree.where(F.size("shape") == level + 1))
+        tree = tree.where(F.size("shape") > level + 1)
+    for more in ended:
+        tree = tree.unionByName(more)
     nodes = tree.select("host", F.explode(F.transform(F.sequence(F.lit(1), F.size("shape")), lambda n: F.slice("shape", F.lit(1), n))).alias("shape"), "labelled", "blocked")
     overall = counted.agg((F.sum("blocked") / F.sum("labelled")).alias("overall"))
     purity = (F.col("blocked") + prior_weight * F.coalesce("overall", F.lit(0.0))) / (F.col("labelled") + prior_weight)
@@ -117,7 +120,7 @@ def _merge(tree: DataFrame, level: int) -> DataFrame:
     """Merge sibling branches of like shape whose block rates are alike."""
     parent = F.slice("shape", 1, level) if level else F.array().cast("array<string>")
     keyed = tree.withColumns({"parent": parent, "segment": F.when(F.size("shape") > level, F.try_element_at("shape", F.lit(level + 1)))})
-    below = F.array_join(F.slice("shape", level + 2, LEVELS), "/")
+    below = F.array_join(F.slice("shape", level + 2, F.size("shape")), "/")
     branches = (
         keyed.where(F.col("segment").isNotNull())
         .groupBy("host", "parent", "segment")
@@ -141,7 +144,7 @@ def _merge(tree: DataFrame, level: int) -> DataFrame:
 
 
 def _rename(keyed: DataFrame, names: DataFrame, level: int) -> DataFrame:
-    renamed = F.concat(F.slice("shape", 1, level), F.array("to"), F.slice("shape", level + 2, LEVELS)) if level else F.concat(F.array("to"), F.slice("shape", 2, LEVELS))
+    renamed = F.concat(F.slice("shape", 1, level), F.array("to"), F.slice("shape", level + 2, F.size("shape"))) if level else F.concat(F.array("to"), F.slice("shape", 2, F.size("shape")))
     out = keyed.join(names, ["host", "parent", "segment"], "left")
     return out.withColumn("shape", F.when(F.col("to").isNotNull(), renamed).otherwise(F.col("shape"))).drop("parent", "segment", "to")
 

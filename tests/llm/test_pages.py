@@ -206,6 +206,14 @@ def test_templates_are_generalised_merged_and_judged(spark):
     assert len({tuple(r["shape"]) for r in users}) == 1 and users[0].labelled == 30
 
 
+def test_templates_that_part_at_the_fifth_segment(spark):
+    pages = [(100 * k + n, f"http://h.org/site/2024/05/{n % 28}/{part}/x{n}{tail}") for k, (part, tail) in enumerate([("ads", ""), ("news", ""), ("ads", "/a/b/c"), ("news", "/a/b/c")]) for n in range(40)]
+    known = spark.createDataFrame([(i, int("/ads/" in url)) for i, url in pages if i % 2], "page_id long, blocked int")
+    got = url_filter.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), [], known).collect()
+    assert {r.page_id: r.verdict for r in got} == {i: "block" if "/ads/" in url else "allow" for i, url in pages}
+    assert {r.template for r in got if r.page_id >= 300} == {"/site/{n}/{n}/{n}/news/{x}/a/b/c"}
+
+
 def _labelled(spark, frame, known):
     from pyspark.sql import functions as F
 
