@@ -7,7 +7,19 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routepulse.llm import bpe, contamination, html_extraction, language_id, lm_scoring, near_duplicates, personal_data, similar_vectors, token_counts, url_filter
+from routepulse.llm import (
+    bpe,
+    contamination,
+    html_extraction,
+    language_id,
+    lm_scoring,
+    near_duplicates,
+    periodic_runs,
+    personal_data,
+    similar_vectors,
+    token_counts,
+    url_filter,
+)
 from routepulse.llm.common import only, prepare
 
 QUERIES, ORACLES = {}, {}
@@ -134,3 +146,32 @@ URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/
 @query()
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+def planted_periods(doc_id, text):
+    """The text, with a periodic tail planted in a tenth of the documents, as their ids decide."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    n, g = F.size(words), F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    tail = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p)))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(tail, " ")).otherwise(text)
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", planted_periods(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(docs)
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("size"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.size")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * -F.col("best.size") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
