@@ -151,12 +151,18 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def planted_periods(doc_id, text):
     """The text, with a periodic tail planted in a tenth of the documents, as their ids decide."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
-    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), 0)
-    n, g = F.size(words), F.floor(h / 10)
-    a = (g % n).cast("int")
-    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
-    tail = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p)))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(tail, " ")).otherwise(text)
+    g = F.floor(h / 10)
+
+    def planted(words):
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, 1, a), F.slice(tail, 1, n - a)), " ")).otherwise("")
+
+    # an array of one element: its words are cut out once, however often they are named
+    words = F.array(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), 0))
+    return F.when((h % 10 == 0) & text.isNotNull(), F.get(F.transform(words, planted), 0)).otherwise(text)
 
 
 @query()
