@@ -14,6 +14,7 @@ from routepulse.llm import (
     language_id,
     lm_scoring,
     near_duplicates,
+    packing,
     periodic_runs,
     personal_data,
     similar_vectors,
@@ -181,3 +182,13 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+#: Free tokens that a sequence of 2048 may have before its pieces are cut to fill others.
+PADDING = 16
+
+
+@query()
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json").decode(), capacity=2048, end_id=1, padding=PADDING)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
