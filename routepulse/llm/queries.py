@@ -12,6 +12,7 @@ from routepulse.llm import (
     contamination,
     html_extraction,
     language_id,
+    lexical_search,
     lm_scoring,
     near_duplicates,
     packing,
@@ -192,3 +193,26 @@ PADDING = 16
 def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json").decode(), capacity=2048, end_id=1, padding=PADDING)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("""
+    WITH terms AS (
+        SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents WHERE doc_id IS NOT NULL) AS d),
+    asked AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM benchmark WHERE item_id IS NOT NULL),
+    sizes AS (SELECT r, doc_id, count(*) AS n FROM terms GROUP BY ALL),
+    corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+    occurrences AS (SELECT r, term, count(*) AS tf FROM terms GROUP BY ALL),
+    holding AS (SELECT term, count(*) AS df FROM occurrences GROUP BY ALL),
+    scores AS (
+        SELECT item_id, r, doc_id, CAST(sum(CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+            * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+        FROM asked JOIN occurrences USING (term) JOIN holding USING (term) JOIN sizes USING (r), corpus
+        GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+    SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+""")
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 50)
