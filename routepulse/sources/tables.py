@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from routepulse import schemas
 from routepulse.functions.columns import known
+from routepulse.sources.delimited import OPTIONS, read_delimited
 
 # Cell texts that mean "missing" in delimited files.
 MISSING_TEXTS = (
@@ -53,18 +54,24 @@ def _open_parquet(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _open_csv(spark: SparkSession, path: str) -> DataFrame:
-    # The header line decides which column is which; all text until conform(). Quotes in
-    # a quoted cell are doubled, and a cell may hold line breaks.
-    options = {"header": True, "escape": '"', "multiLine": True}
-    names = spark.read.options(**options).csv(path).columns
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = spark.read.schema(text).options(**options, mode="FAILFAST").csv(path)
+def _filled(df: DataFrame) -> DataFrame:
     return df.select(
-        *[F.when(~F.col(n).isin(*MISSING_TEXTS), F.col(n)).alias(n) for n in names]
+        *[F.when(~F.col(n).isin(*MISSING_TEXTS), F.col(n)).alias(n) for n in df.columns]
     )
 
 
+def _open_csv(spark: SparkSession, path: str) -> DataFrame:
+    # The header line decides which column is which; all text until conform().
+    return _filled(read_delimited(spark, path))
+
+
+def _open_gzip(spark: SparkSession, path: str) -> DataFrame:
+    # One gzip file is one byte range anyway.
+    names = spark.read.options(header=True, **OPTIONS).csv(path).columns
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return _filled(spark.read.schema(text).options(header=True, **OPTIONS).csv(path))
+
+
 def _strict(name: str, column: Column, read: Column, target: T.DataType) -> Column:
     """``read``, or an error where the cell is there but cannot be read; in any SQL mode."""
     wrong = F.concat(F.lit(f"{name}: not a {target.simpleString()}: "), column.cast("string"))
@@ -117,7 +124,7 @@ def read_table(
 ) -> DataFrame:
     """Load ``name`` from a folder, preferring .parquet, then .csv, then .csv.gz."""
     directory = str(directory).rstrip("/")
-    for suffix, reader in ((".parquet", _open_parquet), (".csv", _open_csv), (".csv.gz", _open_csv)):
+    for suffix, reader in ((".parquet", _open_parquet), (".csv", _open_csv), (".csv.gz", _open_gzip)):
         try:
             df = reader(spark, f"{directory}/{name}{suffix}")
         except AnalysisException as error:
