@@ -2,10 +2,9 @@
 
 Stops of one driver and one covariate pattern are interchangeable, so they are first
 collapsed to (pattern, stops, late stops) and written once. Every iteration is one
-Spark job over that table: tasks turn batches of patterns into sums per driver, Spark
-adds those up per driver, tasks turn driver sums into p x p contributions, Spark adds
-these up, and the driver program solves a p x p system. No task ever holds a driver's
-rows, so a driver with a large part of all stops is no hot spot.
+Spark job over that table, built of columns only: patterns are summed per driver (partly
+in each task, so that no task holds a driver's rows), a driver's sums become the products that the
+estimating equations add up, and the driver program solves a p x p system.
 
 The modelled event is a late stop: positive log-odds mean more lateness.
 """
@@ -13,11 +12,10 @@ The modelled event is a late stop: positive log-odds mean more lateness.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,25 +43,13 @@ class Design:
         coded = [f"C({c})[T.{level}]" for c in CATEGORIES for level in self.levels[c][1:]]
         return ["Intercept", *coded, *MEASURES]
 
-    def coder(self) -> Callable[[pd.DataFrame], np.ndarray]:
-        """Function from coded rows to the design matrix.
-
-        It runs inside tasks and holds plain values only, so that workers need
-        numpy and pandas but not this package.
-        """
-        codes = [(f"{c}_code", len(self.levels[c])) for c in CATEGORIES]
-        measures = [(m, self.centers[m], self.scales[m]) for m in MEASURES]
-
-        def matrix(batch: pd.DataFrame) -> np.ndarray:
-            columns = [np.ones(len(batch))]
-            for name, levels in codes:
-                code = batch[name].to_numpy()
-                columns += [(code == i).astype(float) for i in range(1, levels)]
-            for name, center, scale in measures:
-                columns.append((batch[name].to_numpy() - center) / scale)
-            return np.column_stack(columns)
-
-        return matrix
+    def first_terms(self) -> dict[str, int]:
+        """The place of each category's first term (that of its level 1)."""
+        places, at = {}, 1
+        for c in CATEGORIES:
+            places[c] = at
+            at += len(self.levels[c]) - 1
+        return places
 
     def unscaling(self) -> np.ndarray:
         """Matrix from coefficients of scaled measures to those of raw ones."""
@@ -156,112 +142,123 @@ def _design(patterns: DataFrame) -> tuple[Design, int, int]:
 
 
 def _coded(patterns: DataFrame, design: Design) -> DataFrame:
+    """Categories as numbers (0: the reference), measures standardised."""
     codes = [
         (F.array_position(F.lit(design.levels[c]), F.col(c)) - 1).cast("int").alias(f"{c}_code")
         for c in CATEGORIES
     ]
-    return patterns.select("driver_id", "stops", "late_stops", *MEASURES, *codes)
-
-
-def _names(prefix: str, p: int) -> list[str]:
-    return [f"{prefix}{j}" for j in range(p)]
-
-
-def _driver_sums(coded: DataFrame, design: Design, beta: np.ndarray) -> DataFrame:
-    """Per driver (row -1) sums, and the rows 0..p-1 of the information matrix."""
-    p = len(beta)
-    z_names = _names("z", p)
-    columns = ["n", "e", "ee", *z_names, *_names("ze", p)]
-    design_matrix = design.coder()
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        information = np.zeros((p, p))
-        for batch in batches:
-            if batch.empty:
-                continue
-            x = design_matrix(batch)
-            n = batch["stops"].to_numpy(dtype=float)
-            late = batch["late_stops"].to_numpy(dtype=float)
-            mu = 1 / (1 + np.exp(-(x @ beta)))
-            root = np.sqrt(mu * (1 - mu))
-            z = x * root[:, None]
-            e = (late - n * mu) / root
-            ee = (late * (1 - mu) ** 2 + (n - late) * mu**2) / root**2
-            information += z.T @ (z * n[:, None])
-            code, drivers = pd.factorize(batch["driver_id"])
-            order = np.argsort(code, kind="stable")
-            values = np.column_stack([n, e, ee, z * n[:, None], z * e[:, None]])[order]
-            starts = np.searchsorted(code[order], np.arange(len(drivers)))
-            out = pd.DataFrame(np.add.reduceat(values, starts), columns=columns)
-            out.insert(0, "part", -1)
-            out.insert(0, "driver_id", drivers)
-            yield out
-        matrix = pd.DataFrame(0.0, index=range(p), columns=columns)
-        matrix[z_names] = information
-        matrix.insert(0, "part", np.arange(p))
-        matrix.insert(0, "driver_id", "")
-        yield matrix
-
-    schema = "driver_id string, part int, " + ", ".join(f"{c} double" for c in columns)
-    return (
-        coded.mapInPandas(sums, schema)
-        .groupBy("driver_id", "part")
-        .agg(*[F.sum(c).alias(c) for c in columns])
-    )
+    scaled = [((F.col(m) - design.centers[m]) / design.scales[m]).alias(m) for m in MEASURES]
+    return stage(patterns.select("driver_id", "stops", "late_stops", *scaled, *codes), "gee-coded")
 
 
-def _equations(drivers: DataFrame, p: int, alpha: float) -> dict[str, np.ndarray]:
-    """Add up the bread, score, meat and residual moments over all drivers."""
-    z_names, ze_names = _names("z", p), _names("ze", p)
-    values = _names("v", p)
-
-    def contributions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bread, meat, score = np.zeros((p, p)), np.zeros((p, p)), np.zeros(p)
-        moments = np.zeros(4)
-        for batch in batches:
-            part = batch["part"].to_numpy()
-            matrix = batch[part >= 0]
-            np.add.at(bread, matrix["part"].to_numpy(), matrix[z_names].to_numpy() / (1 - alpha))
-            rows = batch[part < 0]
-            n, e, ee = (rows[c].to_numpy() for c in ("n", "e", "ee"))
-            z, ze = rows[z_names].to_numpy(), rows[ze_names].to_numpy()
-            shrink = alpha / (1 + (n - 1) * alpha)
-            bread -= z.T @ (z * shrink[:, None]) / (1 - alpha)
-            u = (ze - z * (shrink * e)[:, None]) / (1 - alpha)
-            score += u.sum(axis=0)
-            meat += u.T @ u
-            moments += [ee.sum(), n.sum(), ((e**2 - ee) / 2).sum(), (n * (n - 1) / 2).sum()]
-        tail = np.zeros(max(p, 4))
-        tail[:4] = moments
-        yield pd.DataFrame(
-            {
-                "what": ["bread"] * p + ["meat"] * p + ["score", "moments"],
-                "part": [*range(p), *range(p), 0, 0],
-                **{
-                    v: np.concatenate([bread[:, j], meat[:, j], [score[j]], [tail[j]]])
-                    for j, v in enumerate(values)
-                },
-            }
-        )
+CODES = [f"{c}_code" for c in CATEGORIES]
+# The factors of a row's terms: 1 for the intercept and a category's level, else the measure.
+FACTORS = ("1", *MEASURES)
+SQUARES = [(a, b) for a in range(len(FACTORS)) for b in range(a, len(FACTORS))]
+
 
-    schema = "what string, part int, " + ", ".join(f"{v} double" for v in values)
-    # At most 2p + 2 rows are collected.
-    rows = (
-        drivers.mapInPandas(contributions, schema)
-        .groupBy("what", "part")
-        .agg(*[F.sum(v).alias(v) for v in values])
-        .collect()
+def _sums(coded: DataFrame, design: Design, beta: np.ndarray, alpha: float) -> DataFrame:
+    """Sums per driver and equal categories at the given coefficients.
+
+    n stops, their residuals e and squares ee; for each factor f, z_f (weight roots) and r_f
+    (residuals), for each two factors the weights w_fg. The coefficients come as one row of a
+    table, so that the compiled plan is the same in every iteration.
+    """
+    terms, first = design.terms, design.first_terms()
+    tables = {f"b_{c}": [0.0, *map(float, beta[first[c] : first[c] + len(design.levels[c]) - 1])] for c in CATEGORIES}
+    tables["b_other"] = [float(beta[0]), *(float(beta[terms.index(m)]) for m in MEASURES), float(alpha)]
+    row = coded.sparkSession.createDataFrame(pa.table({k: pa.array([v], pa.list_(pa.float64())) for k, v in tables.items()}))  # one row
+    eta = " + ".join(["b_other[0]", *(f"get(b_{c}, {c}_code)" for c in CATEGORIES), *(f"b_other[{i}] * {m}" for i, m in enumerate(MEASURES, 1))])
+    kept = ["driver_id", *CODES, *MEASURES, "stops", "late_stops"]
+    rows = coded.crossJoin(F.broadcast(row)).selectExpr(*kept, f"1 / (1 + exp(-({eta}))) AS mu", f"b_other[{len(MEASURES) + 1}] AS alpha")
+    rows = rows.selectExpr(*kept, "alpha", "mu", "mu * (1 - mu) AS weight", "late_stops - stops * mu AS residual", "sqrt(mu * (1 - mu)) AS root")
+    return rows.groupBy("driver_id", *CODES).agg(
+        F.expr("double(sum(stops)) AS n"),
+        F.expr("sum(residual / root) AS e"),
+        F.expr("sum((late_stops * (1 - mu) * (1 - mu) + (stops - late_stops) * mu * mu) / weight) AS ee"),
+        F.expr("first(alpha) AS alpha"),  # the same in all rows
+        *[F.expr(f"sum(root * stops * {f}) AS z_{k}") for k, f in enumerate(FACTORS)],
+        *[F.expr(f"sum(residual * {f}) AS r_{k}") for k, f in enumerate(FACTORS)],
+        *[F.expr(f"sum(weight * stops * {FACTORS[a]} * {FACTORS[b]}) AS w_{a}{b}") for a, b in SQUARES],
     )
-    out = {"bread": np.zeros((p, p)), "meat": np.zeros((p, p))}
-    for row in rows:
-        vector = np.array([row[v] for v in values])
-        if row["what"] in out and out[row["what"]].ndim == 2:
-            out[row["what"]][row["part"]] = vector
+
+
+def _driver_sums(sums: DataFrame, design: Design) -> DataFrame:
+    """Per driver: n, e, ee, alpha, and for every term in order the sums z0, z1, .. and r0, r1, .."""
+    of = ["1 = 1", *(f"{c}_code = {i}" for c in CATEGORIES for i in range(1, len(design.levels[c]))), *["1 = 1"] * len(MEASURES)]
+    factor = [0] * (len(of) - len(MEASURES)) + [k + 1 for k in range(len(MEASURES))]
+    terms = [F.expr(f"sum(IF({when}, {what}_{k}, 0D)) AS {what}{j}") for what in "zr" for j, (when, k) in enumerate(zip(of, factor, strict=True))]
+    return sums.groupBy("driver_id").agg(F.expr("sum(n) AS n"), F.expr("sum(e) AS e"), F.expr("sum(ee) AS ee"), F.expr("first(alpha) AS alpha"), *terms)
+
+
+def _driver_cells(drivers: DataFrame, p: int) -> DataFrame:
+    """What a driver adds: products of terms i and j, (j = -1) the score of i, (i = -1) moments of the residuals."""
+    z, r = (", ".join(f"{what}{j}" for j in range(p)) for what in "zr")
+    rows = drivers.selectExpr("n", "e", "ee", "alpha", f"array({z}) AS z", f"array({r}) AS r", "alpha / (1 + (n - 1) * alpha) AS shrink")
+    rows = rows.selectExpr("n", "e", "ee", "alpha", "z", "shrink", "zip_with(r, z, (a, b) -> (a - b * shrink * e) / (1 - alpha)) AS u")
+    cell = "named_struct('i', {}, 'j', {}, 'bread', {}, 'meat', {})"
+    product = cell.format("i", "j", "-z[i] * z[j] * shrink / (1 - alpha)", "u[i] * u[j]")
+    products = f"flatten(transform(sequence(0, {p - 1}), i -> transform(sequence(i, {p - 1}), j -> {product})))"
+    scores = f"transform(u, (v, i) -> {cell.format('i', '-1', 'v', '0D')})"
+    moments = ", ".join(cell.format("-1", str(k), m, "0D") for k, m in enumerate(("ee", "n", "(e * e - ee) / 2", "n * (n - 1) / 2")))
+    return rows.selectExpr(f"explode(concat({products}, {scores}, array({moments}))) AS cell").select("cell.*")
+
+
+def _information_cells(sums: DataFrame, design: Design) -> DataFrame:
+    """The information of the independence model."""
+    summed = sums.groupBy(*CODES).agg(F.expr("first(alpha) AS alpha"), *[F.expr(f"sum(w_{a}{b}) AS w_{a}{b}") for a, b in SQUARES])
+    # the terms that are not 0 in a row, and the factor of each
+    places = [("0", 0), *((f"IF({c}_code > 0, {c}_code + {at - 1}, NULL)", 0) for c, at in design.first_terms().items())]
+    places += [(str(len(design.terms) - len(MEASURES) + k), k + 1) for k in range(len(MEASURES))]
+    cells = [
+        f"named_struct('i', {i}, 'j', {j}, 'bread', w_{min(a, b)}{max(a, b)} / (1 - alpha), 'meat', 0D)"
+        for x, (i, a) in enumerate(places)
+        for j, b in places[x:]
+    ]
+    return summed.selectExpr(f"explode(array({', '.join(cells)})) AS cell").select("cell.*").where("i IS NOT NULL AND j IS NOT NULL")
+
+
+def _cells(sums: DataFrame, design: Design) -> DataFrame:
+    """What the equations add up: at most a row for each pair of terms, each term and each moment."""
+    found = _driver_cells(_driver_sums(sums, design), len(design.terms)).unionByName(_information_cells(sums, design))
+    return found.groupBy("i", "j").agg(F.expr("sum(bread) AS bread"), F.expr("sum(meat) AS meat"))
+
+
+def _equations(sums: DataFrame, design: Design) -> dict[str, np.ndarray]:
+    """The bread, score, meat and residual moments over all drivers."""
+    p = len(design.terms)
+    out = {"bread": np.zeros((p, p)), "meat": np.zeros((p, p)), "score": np.zeros(p), "moments": np.zeros(4)}
+    for r in _cells(sums, design).collect():
+        if r.i < 0:
+            out["moments"][r.j] = r.bread
+        elif r.j < 0:
+            out["score"][r.i] = r.bread
         else:
-            out[row["what"]] = vector
+            for what in ("bread", "meat"):
+                out[what][r.i, r.j] = out[what][r.j, r.i] = r[what]
     return out
 
 
+def equations(facts: DataFrame, coefficients: dict[str, float], correlation: float) -> DataFrame:
+    """The estimating equations at the given coefficients (others 0; measures standardised), per stop.
+
+    One row for each pair of terms, in the order of the model: term, other, bread and meat (of
+    the sandwich), and one for each term: other NULL, its score as bread and no meat.
+    """
+    check_columns(facts, REQUIRED, "driver-clustered analysis")
+    patterns = _patterns(facts)
+    design, n_stops, _ = _design(patterns)
+    beta = np.array([coefficients.get(term, 0.0) for term in design.terms])
+    cells = _cells(_sums(_coded(patterns, design), design, beta, correlation), design).where("i >= 0")
+    names = F.lit(design.terms)
+    return cells.select(
+        F.get(names, F.col("i")).alias("term"),
+        F.when(F.col("j") >= 0, F.get(names, F.when(F.col("j") >= 0, F.col("j")))).alias("other"),
+        (F.col("bread") / n_stops).alias("bread"),
+        F.when(F.col("j") >= 0, F.col("meat") / n_stops).alias("meat"),
+    )
+
+
 def driver_sums(facts: DataFrame, coefficients: dict[str, float]) -> DataFrame:
     """Per driver at the given coefficients (others 0; measures standardised): what an iteration adds up.
 
@@ -272,7 +269,7 @@ def driver_sums(facts: DataFrame, coefficients: dict[str, float]) -> DataFrame:
     patterns = _patterns(facts)
     design, _, _ = _design(patterns)
     beta = np.array([coefficients.get(term, 0.0) for term in design.terms])
-    sums = _driver_sums(_coded(patterns, design), design, beta).where("part = -1")
+    sums = _driver_sums(_sums(_coded(patterns, design), design, beta, 0.0), design)
     wait = design.terms.index("wait_min")
     return sums.select("driver_id", F.col("n").cast("long"), "e", "ee", F.col("z0").alias("z"), F.col(f"z{wait}").alias("z_wait_min"))
 
@@ -303,7 +300,7 @@ def driver_clustered_gee(
     p = len(terms)
     beta, alpha, settled = np.zeros(p), 0.0, False
     for iteration in range(1, max_iterations + 1):
-        sums = _equations(_driver_sums(coded, design, beta), p, alpha)
+        sums = _equations(_sums(coded, design, beta, alpha), design)
         if iteration == 1:
             _check_rank(sums["bread"], terms)
         residual, stops, cross, pairs = sums["moments"][:4]

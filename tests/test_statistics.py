@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from routepulse.operators import ranktests
+from routepulse.operators import gee, ranktests
 from routepulse.operators.gee import CATEGORIES, MEASURES, driver_clustered_gee
 from routepulse.schemas import WINDOW_ORDER
 
@@ -331,3 +331,11 @@ def test_gee_refuses_unusable_data(spark):
     incomplete.loc[::5, "wait_min"] = None
     fit = driver_clustered_gee(spark.createDataFrame(incomplete, SCHEMA))
     assert fit.n_stops == incomplete["wait_min"].notna().sum()
+
+
+def test_gee_iterations_need_no_python(spark):
+    found = gee.equations(spark.createDataFrame(fleet(), SCHEMA), {"wait_min": 0.3}, 0.1)
+    plan = found._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
+    p = len(dense_gee(fleet())[0])
+    assert found.count() == p * (p + 1) // 2 + p
