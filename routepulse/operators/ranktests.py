@@ -10,10 +10,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from fractions import Fraction
+from functools import cache, reduce
 from itertools import combinations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,22 +85,44 @@ def _rank_sums(counts: DataFrame, pairs: Sequence[tuple[int, int]]) -> list[Rank
     return [RankSums(*[v or 0 for v in row[6 * k : 6 * k + 6]]) for k in range(len(pairs))]
 
 
+@cache
+def _partition_series(parts: int) -> tuple[int, list[int]]:
+    """Period L and numerator N of 1 / ((1 - q) (1 - q^2) .. (1 - q^parts) (1 - q)) = N / (1 - q^L)^(parts + 1)."""
+    period = math.lcm(*range(1, parts + 1))
+    numerator = [1]
+    for i in (1, *range(1, parts + 1)):
+        # times 1 + q^i + q^2i + .. + q^(L - i)
+        longer = numerator + [0] * (period - i)
+        for k in range(i, len(longer)):
+            longer[k] += longer[k - i]
+        numerator = [x - (longer[k - period] if k >= period else 0) for k, x in enumerate(longer)]
+    return period, numerator
+
+
+def partitions_up_to(total: int, parts: int) -> int:
+    """How many ways there are to write 0, 1, .. or ``total`` as a sum of at most ``parts`` whole numbers."""
+    period, numerator = _partition_series(parts)
+    return sum(numerator[k] * math.comb((total - k) // period + parts, parts) for k in range(total % period, min(total, len(numerator) - 1) + 1, period))
+
+
 def exact_mann_whitney_p(n1: int, n2: int, u: float) -> float:
     """Two-sided p-value from the exact null distribution of U (no ties).
 
-    The number of orders with each U are the coefficients of a Gaussian binomial, a
-    product of (1 - q^(large + i)) / (1 - q^i) over the smaller sample. Only those of
-    the tail are worked out, in whole numbers.
+    The orders with each U are counted by the coefficients of a Gaussian binomial, a product
+    of (1 - q^(large + i)) / (1 - q^i) over the smaller sample: partitions into as many parts
+    as that has, of which none may be larger than the other sample. Those with too large parts are taken off
+    by inclusion and exclusion over the numerator's terms, so the cost follows the smaller sample alone.
     """
     small, large = sorted((n1, n2))
     tail = n1 * n2 - math.ceil(max(u, n1 * n2 - u))
-    ways = np.zeros(tail + 1, dtype=object)
-    ways[0] = 1
+    ways = {0: 1}  # the numerator, as far as the tail reaches
     for i in range(1, small + 1):
-        ways[large + i :] -= ways[: max(0, tail + 1 - large - i)].copy()
-        for start in range(min(i, tail + 1)):
-            ways[start::i] = np.cumsum(ways[start::i])
-    return min(1.0, 2 * int(ways.sum()) / math.comb(n1 + n2, small))
+        for total, sign in list(ways.items()):
+            if total + large + i <= tail:
+                ways[total + large + i] = ways.get(total + large + i, 0) - sign
+    orders = sum(sign * partitions_up_to(tail - total, small) for total, sign in ways.items())
+    # the quotient of whole numbers is rounded once, however long they are
+    return min(1.0, float(Fraction(2 * orders, math.comb(n1 + n2, small))))
 
 
 def mann_whitney_p(sums: RankSums) -> tuple[float, str]:

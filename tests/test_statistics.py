@@ -1,6 +1,8 @@
 import itertools
 import math
 import random
+import time
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
@@ -86,6 +88,26 @@ def test_exact_however_large_the_other_sample(spark):
     assert small == pytest.approx(min(1.0, 2 * below / len(places)))
 
 
+def test_exact_tail_equals_counted_orders():
+    for n1, n2 in [(1, 1), (1, 9), (2, 7), (4, 6), (8, 5), (5, 11), (8, 8)]:
+        orders = [sum(p) - n1 * (n1 - 1) // 2 for p in itertools.combinations(range(n1 + n2), n1)]
+        for u in range(n1 * n2 + 1):
+            far = max(u, n1 * n2 - u)
+            want = min(1.0, 2 * sum(x >= far for x in orders) / len(orders))
+            assert ranktests.exact_mann_whitney_p(n1, n2, float(u)) == want
+
+
+def test_exact_tail_needs_no_room_for_the_larger_sample():
+    tracemalloc.start()
+    start = time.perf_counter()
+    p = [ranktests.exact_mann_whitney_p(8, 10**8, u) for u in (0.0, 1e8, 3.9e8, 4e8)]
+    assert time.perf_counter() - start < 1 and tracemalloc.get_traced_memory()[1] < 10**8
+    tracemalloc.stop()
+    assert 0 < p[0] < 1e-50 and p == sorted(p) and p[3] > 0.999
+    # so large samples are close to eight draws from a uniform distribution
+    assert p[1] == pytest.approx(2 / math.factorial(8), rel=1e-5)
+
+
 def test_missing_values_are_left_out_of_rank_tests(spark):
     a, b = [1.0, 2.5, 7.0, 8.0], [3.0, 4.0, 5.0, 6.0, 9.0]
     clean = samples(spark, {"fifo": a, "cluster_nn": b})
