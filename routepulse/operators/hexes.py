@@ -23,6 +23,8 @@ from routepulse.schemas import (
 from routepulse.session import join_small, stage
 
 Grid = PlanarGrid
+# Entries of a speed sketch's level: the rank error is about its inverse.
+SKETCH_SIZE = 800
 
 _SUMS = (
     "n_pings",
@@ -35,7 +37,7 @@ _SUMS = (
 )
 
 
-def route_cell_activity(
+def located_fixes(
     pings: DataFrame,
     routes: DataFrame,
     grid: Grid,
@@ -43,14 +45,22 @@ def route_cell_activity(
     hot_span_pings: int = HOT_SPAN_PINGS,
     spans: DataFrame | None = None,
 ) -> DataFrame:
-    """Sums per route, cell and hour: the one pass over the pings.
+    """Fixes with their route's attributes, cell, hour and interval: all that is needed of pings.
+
+    Everything later follows from this table, so pings are dealt out once. Stage it
+    when both the activity and the free-flow speed are wanted.
+    """
+    fixes = fix_intervals(pings, routes, max_gap_min, hot_span_pings, spans)
+    columns = ["route_id", "region", "vehicle_type", *grid.keys, "hour", "status", "speed_kmh", "n_pings", "duration_us"]
+    return grid.locate(fixes).withColumn("hour", F.hour("ts")).select(*columns)
+
+
+def route_cell_activity(fixes: DataFrame, grid: Grid) -> DataFrame:
+    """Sums per route, cell and hour.
 
     Both hexagon tables and the distinct route counts follow from this much smaller
     table; stage it when both are wanted.
     """
-    fixes = grid.locate(
-        fix_intervals(pings, routes, max_gap_min, hot_span_pings, spans)
-    ).withColumn("hour", F.hour("ts"))
     # Merged copies contain zero-length intervals even if the last one has no end.
     spent = F.when(F.col("n_pings") > 1, F.coalesce("duration_us", F.lit(0))).otherwise(
         F.col("duration_us")
@@ -72,19 +82,48 @@ def route_cell_activity(
     )
 
 
-def free_flow_speed(pings: DataFrame, routes: DataFrame) -> DataFrame:
-    """0.9 quantile of the moving speed per vehicle type, over all pings.
+def free_flow_of_fixes(fixes: DataFrame) -> DataFrame:
+    """0.9 quantile of the moving speed per vehicle type; a fix counts ``n_pings`` times.
 
-    The two columns are staged: the quantile reads them twice, the join runs once.
+    Sketches and the counts of values outside the brackets are combined in each task, so the
+    fixes themselves are not shuffled.
     """
-    moving = pings.where(F.col("status") == MOVING).select("route_id", "speed_kmh")
-    typed = moving.join(routes.select("route_id", "vehicle_type"), "route_id")
-    speeds = stage(typed.select("vehicle_type", "speed_kmh"), "moving-speeds")
+    moving = fixes.where(F.col("status") == MOVING).select("vehicle_type", "speed_kmh", "n_pings")
     return exact_quantiles(
-        speeds, "speed_kmh", {"free_flow_kmh": FREE_FLOW_QUANTILE}, ["vehicle_type"]
+        moving, "speed_kmh", {"free_flow_kmh": FREE_FLOW_QUANTILE}, ["vehicle_type"], weight="n_pings"
     )
 
 
+def free_flow_speed(pings: DataFrame, routes: DataFrame) -> DataFrame:
+    """The same straight from pings and routes, of which equal speeds of a route are one row before the join."""
+    moving = pings.where(F.col("status") == MOVING).groupBy("route_id", known(F.col("speed_kmh")).alias("speed_kmh")).agg(F.count("*").alias("n_pings"))
+    typed = moving.join(routes.select("route_id", "vehicle_type"), "route_id")
+    speeds = stage(typed.select("vehicle_type", "speed_kmh", "n_pings", F.lit(MOVING).alias("status")), "moving-speeds")
+    return free_flow_of_fixes(speeds)
+
+
+def speed_sketches(pings: DataFrame, routes: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """Per vehicle type: ``sketch``, a mergeable sketch of its moving speeds, to be stored.
+
+    Pings become one sketch for each route (partly in each task), and only these are joined
+    and merged. Tables of such sketches, of other days for instance, may be united.
+    """
+    speed = known(F.col("speed_kmh"))
+    moving = pings.where((F.col("status") == MOVING) & speed.isNotNull())
+    of_route = moving.groupBy("route_id").agg(F.kll_sketch_agg_double(speed, size).alias("sketch"))
+    typed = of_route.join(routes.select("route_id", "vehicle_type"), "route_id").where(F.col("vehicle_type").isNotNull())
+    return typed.groupBy("vehicle_type").agg(F.kll_merge_agg_double("sketch", size).alias("sketch"))
+
+
+def free_flow_of_sketches(sketches: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """The approximate free-flow speed per vehicle type; its rank is off by about 1 / ``size``.
+
+    Several sketches of a type are merged. The value is one of the speeds, not interpolated.
+    """
+    merged = sketches.groupBy("vehicle_type").agg(F.kll_merge_agg_double("sketch", size).alias("sketch"))
+    return merged.select("vehicle_type", F.kll_sketch_get_quantile_double("sketch", F.lit(FREE_FLOW_QUANTILE)).alias("free_flow_kmh"))
+
+
 def _mean_moving_speed() -> Column:
     return F.try_divide("moving_speed_sum", "moving_speeds")
 

@@ -23,6 +23,8 @@ from routepulse.session import settle, stage
 ACCURACY = 10_000
 # Sketches that one task merges, and the input of a scan task.
 SKETCHES_PER_STRIPE = 512
+# How often a sketch sees a row of some weight at most; it only decides where to look.
+SKETCH_COPIES = 32
 SCAN_TASK_BYTES = 128 * 1024 * 1024
 
 
@@ -31,9 +33,12 @@ def _greatest(columns: list[Column]) -> Column:
 
 
 def stripes_for(df: DataFrame) -> int:
-    """Tasks that merge the sketches of a scan of ``df``, from the planner's size of it."""
+    """Tasks that merge the sketches of a scan of ``df``, from the planner's size of it.
+
+    Before a join that size may be a product: there are never more stripes than scan tasks anyway.
+    """
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return max(1, int(str(size)) // (SKETCHES_PER_STRIPE * SCAN_TASK_BYTES))
+    return min(max(1, int(str(size)) // (SKETCHES_PER_STRIPE * SCAN_TASK_BYTES)), 1 << 20)
 
 
 def _parts(kind: str, name: str, column: Column | None) -> list[Column]:
@@ -79,6 +84,7 @@ def exact_quantiles(
     stripes: int | None = None,
     one_task_rows: int = ONE_TASK_ROWS,
     margin: float | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group with ``{name: probability}`` quantiles.
 
@@ -95,7 +101,12 @@ def exact_quantiles(
     the smallest and the largest of the stripes' quantiles, so the bracket stays safe.
     Should a rank still lie outside its bracket, the second pass is repeated with
     a wider one; ``margin`` is the bracket's half width as a share of the ranks.
+
+    ``weight`` names a column of whole numbers: a row then stands for so many equal ones (none
+    below 1). The ranks are those of the rows it stands for; ``aggregates`` don't go with it.
     """
+    if weight and aggregates:
+        raise ValueError("aggregates of weighted rows are not supported")
     by, aggregates = list(by), dict(aggregates or {})
     if stripes is None:
         stripes = stripes_for(df)
@@ -114,6 +125,9 @@ def exact_quantiles(
     ]
     cuts = [f"_cut{i}" for i in range(len(points))]
     numeric = known(column.cast("double"))
+    count = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    if weight:
+        rows = rows.where(count >= 1)
     sketch = [
         F.count(numeric).alias("_n"),
         F.percentile_approx(numeric, points, accuracy).alias("_cut"),
@@ -121,8 +135,13 @@ def exact_quantiles(
     for name, (kind, of) in aggregates.items():
         sketch += _parts(kind, name, of)
     ends = [F.get("_cut", F.lit(i)) for i in range(len(points))]
+    seen = rows
+    if weight:
+        # the sketch counts rows: a heavy one is shown to it several times
+        seen = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(count, F.lit(SKETCH_COPIES)).cast("int"))))
+        sketch[0] = F.coalesce(F.sum(F.when(numeric.isNotNull() & (F.col("_copy") == 1), count)), F.lit(0)).alias("_n")
     sketched = (
-        rows.withColumn("_stripe", F.spark_partition_id() % stripes)
+        seen.withColumn("_stripe", F.spark_partition_id() % stripes)
         .groupBy(*by, "_stripe")
         .agg(*sketch)
         .groupBy(*by)
@@ -146,7 +165,7 @@ def exact_quantiles(
     if not is_small:
         first = stage(first, "quantile-groups")
 
-    data = rows.select(*by, numeric.alias("_v")).where("_v IS NOT NULL")
+    data = rows.select(*by, numeric.alias("_v"), count.alias("_w")).where("_v IS NOT NULL")
     edges = first.select(*by, "_n", *cuts)
     if by:
         data = data.join(F.broadcast(edges) if is_small else edges, by)
@@ -168,7 +187,7 @@ def exact_quantiles(
     results, _ = settle(results) if is_small else (stage(results, "quantiles"), False)
     if margin < 1 and not results.where("_missed").isEmpty():
         return exact_quantiles(
-            df, value, probabilities, by, aggregates, accuracy, stripes, one_task_rows, margin * 8
+            df, value, probabilities, by, aggregates, accuracy, stripes, one_task_rows, margin * 8, weight
         )
     shown, results = first.select(*by, *aggregates), results.drop("_missed")
     if by:
@@ -192,8 +211,8 @@ def _histogram(data: DataFrame, by: list[str], brackets: int) -> DataFrame:
         .withColumn("_at", F.when(F.col("_inside"), F.col("_v")).otherwise(behind))
         .groupBy(*by, "_n", "_at")
         .agg(
-            F.count("*").alias("_rows"),
-            F.sum(F.col("_inside").cast("long")).alias("_exact"),
+            F.sum("_w").alias("_rows"),
+            F.sum(F.when(F.col("_inside"), F.col("_w")).otherwise(0)).alias("_exact"),
         )
     )
 

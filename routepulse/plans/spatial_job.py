@@ -11,9 +11,10 @@ from routepulse.functions.grid import PlanarGrid
 from routepulse.operators import checks
 from routepulse.operators.hexes import (
     Grid,
-    free_flow_speed,
+    free_flow_of_fixes,
     hex_hourly,
     hex_summary,
+    located_fixes,
     route_cell_activity,
 )
 from routepulse.operators.intervals import HOT_SPAN_PINGS, span_starts
@@ -31,22 +32,20 @@ def build_hex_tables(
 ) -> tuple[DataFrame, DataFrame]:
     """Check the inputs and return (hex_hourly, hex_summary).
 
-    Pings are scanned for the span table (two columns; it also serves the checks),
-    once for the activity, and once for the free-flow quantile (three columns).
+    Pings are scanned for the span table (two columns; it also serves the checks) and
+    dealt out once, for the fixes; activity and free-flow speed are read from these.
     """
     grid = grid or PlanarGrid()
     with ThreadPoolExecutor(max_workers=2) as pool:
         # Jobs that do not need each other share the cluster.
         unique = pool.submit(checks.check_unique, routes, "route_id")
-        free_flow = pool.submit(lambda: settle(free_flow_speed(pings, routes))[0])
         spans = stage(span_starts(pings, max_gap_min), "spans")
         checks.check_not_empty(spans, "GPS pings")
         unique.result()
         checks.check_references(spans, routes)
-        activity = stage(
-            route_cell_activity(pings, routes, grid, max_gap_min, hot_span_pings, spans),
-            "activity",
-        )
+        fixes = stage(located_fixes(pings, routes, grid, max_gap_min, hot_span_pings, spans), "fixes")
+        free_flow = pool.submit(lambda: settle(free_flow_of_fixes(fixes))[0])
+        activity = stage(route_cell_activity(fixes, grid), "activity")
         speeds = free_flow.result()
     homeless = activity.where(f"{grid.keys[0]} IS NULL").select("route_id").limit(checks.EXAMPLES)
     found = [row[0] for row in homeless.collect()]

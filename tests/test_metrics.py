@@ -1,5 +1,6 @@
 import contextlib
 import io
+import math
 import random
 from datetime import datetime, timedelta
 
@@ -524,3 +525,22 @@ def test_legs_of_visits_without_a_sequence_number(spark):
     legs = {r["stop_seq"]: r["leg_km"] for r in facts.leg_distances(stops).collect()}
     assert legs[None] is None
     assert (legs[1], legs[300]) == (pytest.approx(1.3 * 1.11), pytest.approx(1.3 * 2.22))
+
+
+@pytest.mark.parametrize("accuracy", [20, 10_000])
+def test_weighted_quantiles_equal_those_of_repeated_rows(spark, accuracy):
+    rng = random.Random(accuracy)
+    rows = [(rng.choice("abc"), rng.choice([float(rng.randint(0, 300)), None, float("nan")]) if i % 9 == 0 else rng.uniform(0, 50), rng.choice([1, 1, 2, 3, 400])) for i in range(3_000)]
+    rows += [("a", 7.0, 0), ("b", 7.0, None), (None, 1.0, 5), ("none", None, 3)]
+    df = spark.createDataFrame(rows, "g string, v double, w long").repartition(5)
+    wanted = {"q1": 0.25, "p90": 0.9, "last": 1.0}
+    got = {r["g"]: tuple(r)[1:] for r in exact_quantiles(df, "v", wanted, ["g"], accuracy=accuracy, weight="w").collect()}
+    for group in "abc":
+        values = [v for g, v, w in rows if g == group and v is not None and not math.isnan(v) for _ in range(w or 0)]
+        assert got[group] == pytest.approx(tuple(np.quantile(values, p) for p in wanted.values()), abs=1e-9)
+    assert got["none"] == (None, None, None) and set(got) == {"a", "b", "c", "none"}
+    whole = exact_quantiles(df.where("g IS NOT NULL"), "v", {"m": 0.5}, accuracy=accuracy, weight="w").first()
+    values = [v for g, v, w in rows if g and v is not None and not math.isnan(v) for _ in range(w or 0)]
+    assert whole.m == pytest.approx(np.quantile(values, 0.5), abs=1e-9)
+    with pytest.raises(ValueError, match="weighted"):
+        exact_quantiles(df, "v", wanted, ["g"], {"n": ("count", None)}, weight="w")
