@@ -61,15 +61,18 @@ def run_spatial_job(
     res: int = schemas.HEX_RESOLUTION,
     grid: Grid | None = None,
     ping_bytes: int | None = None,
+    max_gap_min: float = schemas.MAX_PING_GAP_MIN,
+    min_pings: int = schemas.MIN_PINGS_PER_HEX_HOUR,
 ) -> tuple[DataFrame, DataFrame]:
     """Read ``pings`` and ``routes``, write both hexagon tables and return them.
 
-    ``ping_bytes``, the uncompressed size of the pings, sizes the shuffles.
+    ``ping_bytes``, the uncompressed size of the pings, sizes the shuffles. Readers of
+    ``out_dir`` see the tables of the last run until both new ones are complete.
     """
     tune(spark, ping_bytes)
     columns = ["route_id", "vehicle_type", "region"]
     routes = read_table(spark, raw_dir, "routes", schemas.ROUTES, columns)
     pings = read_pings(spark, raw_dir)
-    hourly, summary = build_hex_tables(pings, routes, grid or PlanarGrid(res))
+    hourly, summary = build_hex_tables(pings, routes, grid or PlanarGrid(res), max_gap_min, min_pings)
     write_hex_tables(hourly, summary, out_dir)
     return load_hex_tables(spark, out_dir)

@@ -1,7 +1,9 @@
-"""Find, type and load the delivery tables; write the spatial aggregates."""
+"""Find, type and load the delivery tables; write the spatial aggregates, both in one step."""
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -159,19 +161,80 @@ def load_tables(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFra
     return found["routes"], found["stops"]
 
 
+# The file that names the version both tables are read in; it lies in the first one's folder.
+CURRENT = "_current"
+#: Versions that stay: the current one and, for those who still read it, the one before.
+VERSIONS = 2
+
+
+def _opened(spark: SparkSession, path: str):
+    """(path, its file system, the file systems' settings)"""
+    place, settings = spark._jvm.org.apache.hadoop.fs.Path(path), spark.sparkContext._jsc.hadoopConfiguration()
+    return place, place.getFileSystem(settings), settings
+
+
+def _switch(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place of another by one rename."""
+    place, files, settings = _opened(spark, path)
+    beside, *_ = _opened(spark, f"{path}-{uuid.uuid4().hex}")
+    out = files.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    kind = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), settings).rename(beside, place, options)
+
+
+def _current(spark: SparkSession, directory: str) -> str | None:
+    place, files, _ = _opened(spark, f"{directory}/hex_hourly.parquet/{CURRENT}")
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
+def _forget(spark: SparkSession, folder: str, keep: set[str]) -> None:
+    """Remove a table's versions but those to keep, and the files of a table without versions."""
+    place, files, _ = _opened(spark, folder)
+    for entry in files.listStatus(place):
+        name = entry.getPath().getName()
+        if name.removeprefix("version=") not in keep and re.match(r"version=|part-|_SUCCESS$", name):
+            files.delete(entry.getPath(), True)
+
+
 def write_hex_tables(hourly: DataFrame, summary: DataFrame, directory: str) -> None:
-    directory = str(directory).rstrip("/")
-    hourly.write.mode("overwrite").parquet(f"{directory}/hex_hourly.parquet")
-    summary.write.mode("overwrite").parquet(f"{directory}/hex_summary.parquet")
+    """Write both tables as a new version; readers see the old pair until both are there.
+
+    A version is a folder in each table's folder. One small file names the current one, and
+    replacing it (a single rename) switches both tables. A write that fails leaves its
+    folders behind, which the next one removes. One job writes a directory at a time.
+    """
+    spark, directory = hourly.sparkSession, str(directory).rstrip("/")
+    before, version = _current(spark, directory), uuid.uuid4().hex
+    for name, table in (("hex_hourly", hourly), ("hex_summary", summary)):
+        table.write.parquet(f"{directory}/{name}.parquet/version={version}")
+    _switch(spark, f"{directory}/hex_hourly.parquet/{CURRENT}", version)
+    keep = {version, before} if before and VERSIONS > 1 else {version}
+    for name in ("hex_hourly", "hex_summary"):
+        _forget(spark, f"{directory}/{name}.parquet", keep)
 
 
 def load_hex_tables(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
-    """(hex_hourly, hex_summary) as written by the spatial job."""
+    """(hex_hourly, hex_summary) of the current version, as written by the spatial job.
+
+    Tables without versions, as earlier releases wrote them, are read as they are.
+    """
     directory = str(directory).rstrip("/")
+    version = _current(spark, directory)
+    inside = f"/version={version}" if version else ""
     try:
         return (
-            spark.read.parquet(f"{directory}/hex_hourly.parquet"),
-            spark.read.parquet(f"{directory}/hex_summary.parquet"),
+            spark.read.parquet(f"{directory}/hex_hourly.parquet{inside}"),
+            spark.read.parquet(f"{directory}/hex_summary.parquet{inside}"),
         )
     except AnalysisException as error:
         if _path_missing(error):

@@ -3,10 +3,11 @@ import gzip
 import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from routepulse import schemas
-from routepulse.sources import load_hex_tables, load_tables, read_pings, read_table
+from routepulse.sources import load_hex_tables, load_tables, read_pings, read_table, write_hex_tables
 
 ROUTE = {
     "route_id": ["north-7", "north-8"],
@@ -125,3 +126,43 @@ def test_columns_are_pruned(spark, tmp_path):
     pd.DataFrame(ROUTE).to_parquet(tmp_path / "routes.parquet", index=False)
     df = read_table(spark, tmp_path, "routes", schemas.ROUTES, ["route_id", "vehicle_type"])
     assert df.columns == ["route_id", "vehicle_type"]
+
+
+def pairs(spark, n):
+    hourly = spark.range(n).selectExpr("id AS hour", f"{n} AS written")
+    return hourly, spark.range(n).selectExpr("id AS h3", f"{n} AS written")
+
+
+def read_pair(spark, folder):
+    return [sorted({r["written"] for r in t.collect()}) for t in load_hex_tables(spark, folder)]
+
+
+def test_a_failed_write_leaves_the_old_pair(spark, tmp_path):
+    for n in (3, 5):
+        write_hex_tables(*pairs(spark, n), tmp_path)
+        assert read_pair(spark, tmp_path) == [[n], [n]]
+    hourly, summary = pairs(spark, 7)
+    with pytest.raises(Exception, match="lost"):
+        write_hex_tables(hourly, summary.withColumn("h3", F.raise_error(F.lit("lost"))), tmp_path)
+    assert read_pair(spark, tmp_path) == [[5], [5]]
+    write_hex_tables(*pairs(spark, 9), tmp_path)
+    assert read_pair(spark, tmp_path) == [[9], [9]]
+    for name in ("hex_hourly", "hex_summary"):  # the failed version is gone
+        assert len(list((tmp_path / f"{name}.parquet").glob("version=*"))) == 2
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["hex_hourly.parquet", "hex_summary.parquet"]
+
+
+def test_a_reader_keeps_its_pair_while_the_next_is_written(spark, tmp_path):
+    write_hex_tables(*pairs(spark, 2), tmp_path)
+    before = load_hex_tables(spark, tmp_path)
+    write_hex_tables(*pairs(spark, 4), tmp_path)
+    assert [t.count() for t in before] == [2, 2] and read_pair(spark, tmp_path) == [[4], [4]]
+
+
+def test_tables_without_versions_are_read_and_replaced(spark, tmp_path):
+    for table, name in zip(pairs(spark, 6), ("hex_hourly", "hex_summary"), strict=True):
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    assert read_pair(spark, tmp_path) == [[6], [6]]
+    write_hex_tables(*pairs(spark, 8), tmp_path)
+    assert read_pair(spark, tmp_path) == [[8], [8]]
+    assert not list((tmp_path / "hex_summary.parquet").glob("part-*"))
