@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from routepulse.functions.columns import as_minutes, congestion, congestion_color, known
 from routepulse.functions.grid import PlanarGrid
 from routepulse.operators.facts import filter_rows
-from routepulse.operators.intervals import HOT_SPAN_PINGS, fix_intervals
+from routepulse.operators.intervals import HOT_SPAN_PINGS, KNOWN_ROUTE, fix_intervals
 from routepulse.operators.quantiles import exact_quantiles
 from routepulse.schemas import (
     FREE_FLOW_QUANTILE,
@@ -52,6 +52,7 @@ def located_fixes(
     """
     fixes = fix_intervals(pings, routes, max_gap_min, hot_span_pings, spans)
     columns = ["route_id", "region", "vehicle_type", *grid.keys, "hour", "status", "speed_kmh", "n_pings", "duration_us"]
+    columns += [c for c in fixes.columns if c == KNOWN_ROUTE]
     return grid.locate(fixes).withColumn("hour", F.hour("ts")).select(*columns)
 
 

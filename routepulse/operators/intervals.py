@@ -29,6 +29,8 @@ from routepulse.session import settle, stage
 # A span with more pings than this is cut, and first reduced to its distinct fixes.
 HOT_SPAN_PINGS = 2_000_000
 SPAN_GAPS = 8
+# A column of routes (never missing there) that tells pings of a known route from others.
+KNOWN_ROUTE = "_known_route"
 # Spans are numbered in steps of this: the numbers between are for the cuts of hot ones.
 SPAN_STEP = 1 << 20
 
@@ -64,9 +66,11 @@ def span_links(spans: DataFrame, routes: DataFrame) -> DataFrame:
     linked = spans.select(
         "route_id", "span", F.lead("first_ts").over(following).alias("next_span_ts")
     )
-    return linked.join(
-        routes.select("route_id", "vehicle_type", "region"), "route_id", "left"
-    )
+    return linked.join(_attributes(routes), "route_id", "left")
+
+
+def _attributes(routes: DataFrame) -> DataFrame:
+    return routes.select("route_id", "vehicle_type", "region", *(c for c in routes.columns if c == KNOWN_ROUTE))
 
 
 def weighted_fixes(
@@ -125,12 +129,10 @@ def fix_intervals(
     sequenced = fixes.withColumn("_next", F.lead("ts").over(within)).join(
         span_links(starts, routes), ["route_id", "span"], "left"
     )
-    columns = ["route_id", "vehicle_type", "region", "ts", "lat", "lon", "status", "speed_kmh", "n_pings"]
+    columns = [*_attributes(routes).columns, "ts", "lat", "lon", "status", "speed_kmh", "n_pings"]
     next_ts = F.coalesce("_next", "next_span_ts")
     timed = sequenced.select(*columns, next_ts.alias("next_ts"))
-    untimed = pings.where(F.col("ts").isNull()).join(
-        routes.select("route_id", "vehicle_type", "region"), "route_id", "left"
-    )
+    untimed = pings.where(F.col("ts").isNull()).join(_attributes(routes), "route_id", "left")
     untimed = untimed.withColumns(
         {"n_pings": F.lit(1).cast("long"), "next_ts": F.lit(None).cast("timestamp_ntz")}
     ).select(*columns, "next_ts")

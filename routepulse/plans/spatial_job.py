@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from routepulse import schemas
 from routepulse.functions.grid import PlanarGrid
@@ -17,8 +18,8 @@ from routepulse.operators.hexes import (
     located_fixes,
     route_cell_activity,
 )
-from routepulse.operators.intervals import HOT_SPAN_PINGS, span_starts
-from routepulse.session import settle, stage, tune
+from routepulse.operators.intervals import HOT_SPAN_PINGS, KNOWN_ROUTE, span_starts
+from routepulse.session import settle, stage, stage_observed, tune
 from routepulse.sources import load_hex_tables, read_pings, read_table, write_hex_tables
 
 
@@ -32,25 +33,27 @@ def build_hex_tables(
 ) -> tuple[DataFrame, DataFrame]:
     """Check the inputs and return (hex_hourly, hex_summary).
 
-    Pings are scanned for the span table (two columns; it also serves the checks) and
-    dealt out once, for the fixes; activity and free-flow speed are read from these.
+    Pings are scanned for the span table (two columns) and dealt out once, for the
+    fixes; activity and free-flow speed are read from these.
+
+    What the inputs must satisfy is observed while these tables are written; a job with bad
+    inputs is refused before it returns anything.
     """
     grid = grid or PlanarGrid()
     with ThreadPoolExecutor(max_workers=2) as pool:
         # Jobs that do not need each other share the cluster.
-        unique = pool.submit(checks.check_unique, routes, "route_id")
-        spans = stage(span_starts(pings, max_gap_min), "spans")
-        checks.check_not_empty(spans, "GPS pings")
-        unique.result()
-        checks.check_references(spans, routes)
-        fixes = stage(located_fixes(pings, routes, grid, max_gap_min, hot_span_pings, spans), "fixes")
+        once, repeats = checks.routes_once(routes, ["vehicle_type", "region"])
+        staged = pool.submit(stage_observed, once.withColumn(KNOWN_ROUTE, F.lit(True)), "routes", repeats)
+        spans, counted = stage_observed(span_starts(pings, max_gap_min), "spans", {"pings": F.coalesce(F.sum("pings"), F.lit(0))})
+        routes, seen = staged.result()
+        checks.refuse_repeated(seen)
+        checks.refuse_pings({"unknown": 0, "homeless": 0} | counted)
+        fixes = located_fixes(pings, routes, grid, max_gap_min, hot_span_pings, spans)
+        fixes, seen = stage_observed(fixes, "fixes", checks.ping_metrics(F.col(KNOWN_ROUTE), F.col(grid.keys[0])))
+        checks.refuse_pings(seen)
         free_flow = pool.submit(lambda: settle(free_flow_of_fixes(fixes))[0])
         activity = stage(route_cell_activity(fixes, grid), "activity")
         speeds = free_flow.result()
-    homeless = activity.where(f"{grid.keys[0]} IS NULL").select("route_id").limit(checks.EXAMPLES)
-    found = [row[0] for row in homeless.collect()]
-    if found:
-        raise ValueError(f"GPS pings have unusable coordinates on routes {found}")
     return hex_hourly(activity, speeds, grid, min_pings), hex_summary(activity, grid)
 
 

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Largest table that may be pulled together on the driver program and broadcast.
@@ -103,6 +103,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_observed(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """Stage a table and return it with aggregates over its rows, taken while it is written."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    table = stage(df.observe(seen, *(c.alias(k) for k, c in metrics.items())), name)
+    return table, seen.get
+
+
 def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
     """Evaluate a presumably small aggregate now.
 
