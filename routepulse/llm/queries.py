@@ -112,13 +112,13 @@ def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
     WITH vectors AS (
-        SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
         FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     scores AS (
         SELECT q.vec_id AS query_id, r.vec_id,
-            CAST(list_sum(list_transform(range(1, len(r.v) + 1), i -> q.v[i] * r.v[i])) AS BIGINT) AS score
+            CAST(list_sum(list_transform(range(1, len(r.v) + 1), lambda i: q.v[i] * r.v[i])) AS BIGINT) AS score
         FROM vectors q JOIN vectors r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v)
         WHERE q.vec_id % 50 = 0),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores)

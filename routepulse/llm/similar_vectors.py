@@ -27,12 +27,23 @@ BLOCK_QUERIES = 4096
 AT_ONCE = 64
 #: Lowest bits of the attributes that the slices leave to the exact step.
 LOW_BITS = 3
+#: The largest component, and the largest score that a long holds.
+LARGEST = 1 << 62
+LONG = (1 << 63) - 1
 
 
 def quantised(vector, scale: float = 256.0):
-    """Column of floor(scale * x) per component, x as double; NULL where a component is not finite."""
+    """Column of floor(scale * x) per component, x as double; NULL where a component is not finite.
+
+    Numbers beyond LARGEST are taken as that.
+    """
     usable = F.size(vector).isNotNull() & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.when(F.coalesce(usable, F.lit(False)), F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("int")))
+
+    def whole(x):
+        number = F.least(F.greatest(x.cast("double") * scale, F.lit(-float(LARGEST))), F.lit(float(LARGEST)))
+        return F.floor(number).cast("long")
+
+    return F.when(F.coalesce(usable, F.lit(False)), F.transform(vector, whole))
 
 
 class Slices:
@@ -42,7 +53,8 @@ class Slices:
         self.ids, self.rows = ids, rows
         self.repeats = len(np.unique(ids)) < len(ids)
         self.low = rows.min(axis=0) if len(rows) else np.zeros(rows.shape[1], np.int64)
-        shifted = (rows - self.low).astype(np.uint64)
+        shifted = rows.astype(np.uint64) - self.low.astype(np.uint64)  # never below 0, whatever the span
+        self.most = float(np.abs(rows.astype(np.float64)).max(initial=0))
         self.bits = max(0, int(shifted.max()).bit_length() - LOW_BITS) if shifted.size else 0
         self.words = -(-len(rows) // 64)
         padded = np.zeros((self.words * 64, rows.shape[1]), np.uint64)
@@ -53,12 +65,12 @@ class Slices:
             plane = np.packbits(((padded >> np.uint64(bit + LOW_BITS)) & np.uint64(1)).astype(np.uint8), axis=0, bitorder="little")
             self.slices[:, bit] = np.ascontiguousarray(plane.T).view(np.uint64).reshape(rows.shape[1], self.words)
 
-    def sums(self, queries: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    def sums(self, queries: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
         """Bit-sliced sums per query, and how far a row's true sum may lie above its own."""
         high = np.abs(queries)
         negative = queries < 0
         # an attribute is 2 ** LOW_BITS * its slices plus at most 2 ** LOW_BITS - 1
-        error = high.sum(axis=1) * ((1 << LOW_BITS) - 1)
+        error = [sum(q) * ((1 << LOW_BITS) - 1) for q in high.tolist()]
         factor_bits = int(high.max()).bit_length() if high.size else 0
         columns: list[list[np.ndarray]] = [[] for _ in range(factor_bits + self.bits + queries.shape[1].bit_length() + 1)]
         sign = np.where(negative, np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))
@@ -122,14 +134,24 @@ class Slices:
             # all rows whose sum plus the error may reach it: sum >= value - slack
             rows = self._reaching(planes, q, valid, max(0, value - slack))
             rows = rows[self.ids[rows] != own[q]]
-            scores = self.rows[rows] @ queries[q]
-            best = np.lexsort((self.ids[rows], -scores))
+            scores, best = self._exact(rows, queries[q])
             if self.repeats:
                 best = best[np.sort(np.unique(self.ids[rows][best], return_index=True)[1])]
             best = best[:k]
             out.append((self.ids[rows][best], scores[best]))
         return out
 
+    def _exact(self, rows: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows' inner products, and their order: higher scores first, then smaller ids."""
+        ids = self.ids[rows]
+        if self.most * float(np.abs(query.astype(np.float64)).sum()) < LARGEST:
+            scores = self.rows[rows] @ query
+            return scores, np.lexsort((ids, -scores))
+        # too large for 64 bits: as Python's numbers
+        exact = [sum(a * b for a, b in zip(row, query.tolist(), strict=True)) for row in self.rows[rows].tolist()]
+        order = sorted(range(len(rows)), key=lambda i: (-exact[i], ids[i]))
+        return np.array([max(-LONG, min(LONG, x)) for x in exact], np.int64), np.array(order, np.int64)
+
     def _reaching(self, planes: list[np.ndarray], q: int, valid: np.ndarray, bound: int) -> np.ndarray:
         """The rows whose sum is at least ``bound``."""
         above, equal = np.zeros_like(valid), valid.copy()
@@ -159,12 +181,13 @@ def _add(waiting: list[list[np.ndarray]], place: int, bitmap: np.ndarray) -> Non
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k rows with the highest inner product.
 
-    ``rows`` and ``queries`` have vec_id and vector (array of int); a query's own id is
+    ``rows`` and ``queries`` have vec_id and vector (array of whole numbers); a query's own id is
     no candidate, ties go to the smaller id, fewer rows are all returned. NULL ids and
     vectors, and vectors of another length than a query's, take no part with it. Rows
     repeated under one id are one candidate (with the best of their scores); a repeated query id
     with one vector is one query. Empty tables give no rows. Queries go through
     all blocks of rows in blocks of about ``block_queries``, each sent to the tasks.
+    Scores are exact; one beyond 64 bits is given as the nearest number that a long holds.
     """
     spark = rows.sparkSession
     usable = F.col("vec_id").isNotNull() & F.col("vector").isNotNull()

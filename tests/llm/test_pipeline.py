@@ -72,7 +72,7 @@ def test_one_of_each_group_stays(spark):
 
 def test_every_operator_is_registered():
     names = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and set(QUERIES) <= set(names) and set(ORACLES) <= set(contract.oracle_sql())
 

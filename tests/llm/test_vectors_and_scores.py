@@ -56,6 +56,24 @@ def test_top_k_equals_all_pairs(spark, monkeypatch, block):
     assert similar_vectors.top_k(rows.where("vec_id < 3"), rows.where("vec_id = 0")).count() == 2
 
 
+def test_large_components(spark):
+    """Components beyond 32 bits, scores beyond 64, and components beyond 64."""
+    dice = random.Random(8)
+    vectors = [(i, [dice.choice([9.0e6, -9.0e6, 3e14, 0.25, dice.random(), -1e15]) for _ in range(5)]) for i in range(120)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    rows = frame.select("vec_id", similar_vectors.quantised(F.col("embedding")).alias("vector")).repartition(2)
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors]
+    long = (1 << 63) - 1
+    want = [(q, n, i, max(-long, min(long, s))) for q, n, i, s in best(whole, whole[::50], 5)]
+    got = sorted(map(tuple, similar_vectors.top_k(rows, rows.where("vec_id % 50 = 0"), 5).collect()))
+    assert [r[3] for r in got] == [r[3] for r in want]
+    exact = [(g, w) for g, w in zip(got, want, strict=True) if abs(w[3]) < long]
+    assert all(g == w for g, w in exact)
+    huge = spark.createDataFrame([(0, [1e30, 0.0]), (1, [1e30, 1.0]), (2, [-1e300, 0.0]), (3, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    huge = huge.select("vec_id", similar_vectors.quantised(F.col("embedding")).alias("vector"))
+    assert [tuple(r) for r in similar_vectors.top_k(huge, huge.where("vec_id = 0")).orderBy("rank").collect()] == [(0, 1, 1, long), (0, 2, 3, 0), (0, 3, 2, -long)]
+
+
 @pytest.mark.parametrize("repeats", [6, 10, 60])
 def test_rows_repeated_under_one_id_take_one_place(spark, repeats):
     dice = random.Random(repeats)
