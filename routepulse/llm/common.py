@@ -14,6 +14,8 @@ from routepulse.session import tune
 
 # Text that a worker handles at a time; only memory depends on it, never a result.
 SLICE_BYTES = 4 << 20
+# The same where shingles are hashed, which takes about fifty bytes for each byte of text.
+HASHED_BYTES = 1 << 20
 # Rows that Spark hands to a Python worker at a time: the longest texts must fit many times over.
 ROWS_PER_BATCH = 256
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routepulse.llm.common import Powers, gathered, lowered, map_batches, mix, only, shingle_hashes, text_bytes, word_hashes, word_spans
+from routepulse.llm.common import HASHED_BYTES, Powers, gathered, lowered, map_batches, mix, only, shingle_hashes, text_bytes, word_hashes, word_spans
 
 #: Items that go through the documents at a time, and their total text: each block of items is sent to the tasks.
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
@@ -109,7 +109,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, words: int = 5, percent: i
 def _searching(shared, words, percent, columns, text_column):
     def work(batches):
         items, power = Items(shared.value, words, percent), Powers()
-        for part in gathered(batches, text_column):
+        for part in gathered(batches, text_column, HASHED_BYTES):
             found = items.search(part.column(text_column), power)
             before = part.column("matches").to_pylist()
             names = ("item_id", "n_shingles", "n_shared")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routepulse.llm.common import Powers, gathered, map_batches, mix, only, shingle_sets
+from routepulse.llm.common import HASHED_BYTES, Powers, gathered, map_batches, mix, only, shingle_sets
 from routepulse.llm.components import components
 from routepulse.session import settle, stage
 
@@ -63,7 +63,7 @@ class Minima:
 def _signatures(k: int):
     def work(batches):
         minima, power = Minima(), Powers()
-        for part in gathered(batches, "text"):
+        for part in gathered(batches, "text", HASHED_BYTES):
             sizes, first, second, signatures = [], [], [], []
             for values in shingle_sets(part.column("text"), k, power):
                 sizes.append(len(values))
@@ -103,7 +103,7 @@ def _confirmed(k: int, percent: int):
     def work(batches):
         power, held = Powers(), {}
         for batch in batches:
-            for part in gathered([batch], "ta"):
+            for part in gathered([batch], "ta", HASHED_BYTES):
                 lefts = shingle_sets(part.column("ta"), k, power)
                 keep = []
                 for left, b, text in zip(lefts, part.column("b").to_pylist(), part.column("tb").to_pylist(), strict=True):
@@ -124,7 +124,7 @@ def _block_links(k: int, percent: int):
     def work(group: pa.Table) -> pa.Table:
         ids, component, asks = (group.column(c).to_numpy() for c in ("id", "component", "asks"))
         power, sets = Powers(), []
-        for part in gathered(group.select(["text"]).to_batches(), "text"):
+        for part in gathered(group.select(["text"]).to_batches(), "text", HASHED_BYTES):
             sets += shingle_sets(part.column("text"), k, power)
         sizes = np.array([len(x) for x in sets])
         # which members hold each shingle
