@@ -23,6 +23,8 @@ from routepulse.llm.common import gathered, map_batches, only
 
 #: Pre-tokens whose ids a task remembers between batches (memory only).
 REMEMBERED = 1 << 19
+#: Bytes of text that are encoded at a time (memory only).
+SLICE_BYTES = 1 << 20
 #: Blanks that no pre-token contains.
 BLANKS = re.compile("[ \t\n\r\x0b\x0c]+")
 #: Texts of these letters only are lower-cased and cut here, as the library does it; it does the others, word by word.
@@ -185,7 +187,7 @@ def _encoded(docs, definition, id_column, text_column, keep, schema, finish):
 
     def work(batches):
         encoder = Encoder(shared.value)
-        for part in gathered(batches, text_column):
+        for part in gathered(batches, text_column, SLICE_BYTES):
             found = encoder.encode(pc.fill_null(part.column(text_column), "").to_pylist())
             columns = finish(*([x[i] for x in found] for i in range(3)))
             yield {f"key{i}": part.column(c) for i, c in enumerate((id_column, *keep))} | columns
