@@ -8,12 +8,13 @@ program, where the p-values are worked out.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
-from functools import cache, reduce
-from itertools import combinations
+from functools import cache, lru_cache, reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,6 +106,7 @@ def partitions_up_to(total: int, parts: int) -> int:
     return sum(numerator[k] * math.comb((total - k) // period + parts, parts) for k in range(total % period, min(total, len(numerator) - 1) + 1, period))
 
 
+@lru_cache(maxsize=1 << 16)
 def exact_mann_whitney_p(n1: int, n2: int, u: float) -> float:
     """Two-sided p-value from the exact null distribution of U (no ties).
 
@@ -290,6 +292,98 @@ def primary_tests(kpis: DataFrame) -> DataFrame:
     return holm_adjust(both)
 
 
+def _pair_adder(n_groups: int) -> Callable:
+    """A function that adds up, over a task's sorted (value, place, n) rows, what pairs of groups need.
+
+    It yields a row for each pair (first < second: u, and the sums of n * n of the one times n
+    of the other) and one for each group (second NULL: its count, cubes and sum of values).
+    It travels to the workers, which need numpy and pyarrow but not this package.
+    """
+    most = max(1, (1 << 22) // max(n_groups, 1))  # values of a dense block
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        u, squares = np.zeros((n_groups, n_groups)), np.zeros((n_groups, n_groups))
+        below, cubes, total = np.zeros(n_groups), np.zeros(n_groups), np.zeros(n_groups)
+        held = [np.zeros(0), np.zeros(0, np.int64), np.zeros(0)]
+
+        def block(value, place, n):
+            at = np.cumsum(np.concatenate([[0], value[1:] != value[:-1]]))
+            for low in range(0, int(at[-1]) + 1, most):
+                here = (at >= low) & (at < low + most)
+                dense = np.zeros((int(at[here].max()) - low + 1, n_groups))
+                dense[at[here] - low, place[here]] = n[here]
+                upto = np.cumsum(dense, axis=0)
+                u[:] += dense.T @ (below + upto - dense / 2)
+                squares[:] += (dense * dense).T @ dense
+                cubes[:] += (dense**3).sum(axis=0)
+                below[:] += upto[-1]
+            np.add.at(total, place, value * n)
+
+        for batch in batches:
+            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("value", "place", "n")]
+            rows = [np.concatenate(x) for x in zip(held, new, strict=True)]
+            # the last value may go on in the next batch
+            whole = int(np.searchsorted(rows[0], rows[0][-1], "left")) if len(rows[0]) else 0
+            if whole:
+                block(*(x[:whole] for x in rows))
+            held = [x[whole:] for x in rows]
+        if len(held[0]):
+            block(*held)
+        if not below.any():
+            return
+        first, second = np.triu_indices(n_groups, 1)
+        part = TaskContext.get().partitionId()
+        both = [
+            (first, second, u[first, second], squares[first, second], squares[second, first]),
+            (np.arange(n_groups), np.full(n_groups, -1), below, cubes, total),
+        ]
+        for i, j, *numbers in both:
+            columns = [np.full(len(i), part), i, j, *numbers]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.float64()] * 3, strict=True)], ["part", "first", "second", "a", "b", "c"])
+
+    return add
+
+
+def pair_sums(
+    df: DataFrame, value: str, group: str, groups: Sequence[str], rows_per_task: int = ONE_TASK_ROWS
+) -> dict[tuple[int, int], RankSums]:
+    """The sums behind all comparisons of two groups that have values, by their places in ``groups``.
+
+    Rows become one for each value and group. They are sorted in ranges of values of
+    ``rows_per_task`` rows; a range adds up all pairs among its own rows in dense blocks, and the
+    values of lower ranges come in as counts. What leaves the tasks is a row for each pair
+    and range, summed by Spark: one for each pair arrives here, so the number of groups may be some thousands.
+    """
+    spark, n_groups = df.sparkSession, len(groups)
+    number = known(F.col(value).cast("double"))
+    # 0.0 and -0.0 are one value
+    places = spark.createDataFrame([(g, i) for i, g in enumerate(groups)], f"`{group}` string, place long")
+    rows = df.select(F.col(group).cast("string").alias(group), (number + 0.0).alias("value")).where("value IS NOT NULL")
+    counts = rows.join(F.broadcast(places), group).groupBy("value", "place").agg(F.count("*").cast("double").alias("n"))
+    counts = stage(counts, "value-counts")
+    tasks = max(1, -(-counts.count() // rows_per_task))
+    ordered = counts.repartitionByRange(tasks, "value").sortWithinPartitions("value")
+    found = stage(ordered.mapInArrow(_pair_adder(n_groups), "part long, first long, second long, a double, b double, c double"), "pair-sums")
+    # a row for each range and group: ranges have very many rows each
+    own = found.where("second < 0").select("part", "first", "a", "b", "c").toPandas()
+    parts, at = np.unique(own["part"].to_numpy(), return_inverse=True)
+    n, cubes, total = np.zeros((len(parts), n_groups)), np.zeros(n_groups), np.zeros(n_groups)
+    n[at, own["first"]] = own["a"]
+    np.add.at(cubes, own["first"], own["b"])
+    np.add.at(total, own["first"], own["c"])
+    lower = np.cumsum(n, axis=0) - n
+    across, size = n.T @ lower, n.sum(axis=0)
+    pairs = found.where("second >= 0").groupBy("first", "second").agg(F.sum("a").alias("u"), F.sum("b").alias("s"), F.sum("c").alias("t")).toPandas()
+    out = {}
+    for i, j, u, s, t in pairs.itertuples(index=False):
+        if size[i] and size[j]:
+            ties = cubes[i] + cubes[j] + 3 * (s + t) - size[i] - size[j]
+            out[int(i), int(j)] = RankSums(int(size[i]), int(size[j]), *map(float, (u + across[i, j], ties, total[i], total[j])))
+    return dict(sorted(out.items()))
+
+
 def pairwise_tests(
     df: DataFrame,
     value: str = "late_rate",
@@ -299,13 +393,10 @@ def pairwise_tests(
 ) -> DataFrame:
     """Mann-Whitney U for every pair of groups in order, Holm-adjusted, by p_holm.
 
-    All pairs come from the same running counts in one pass; no rows are paired.
+    All pairs come from one pass over the sorted values; no rows are paired.
     """
-    counts = value_counts(df, value, group, groups, one_task_rows)
-    present = _groups_present(counts, groups)
-    pairs = list(combinations(present, 2))
     rows = []
-    for (i, j), sums in zip(pairs, _rank_sums(counts, pairs) if pairs else []):
+    for (i, j), sums in pair_sums(df, value, group, groups, one_task_rows).items():
         p, method = mann_whitney_p(sums)
         means = sums.sum_first / sums.n_first, sums.sum_second / sums.n_second
         rows.append(
