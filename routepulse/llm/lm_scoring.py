@@ -1,15 +1,17 @@
 """Scoring texts with the logistic mixing model, learned from all training documents.
 
-Only the words' counts, per class of text, are gathered from the corpus; they grow
+The words' counts, per class of text, and those of neighbouring words are gathered from the corpus; they grow
 with it. Tables of the model and the most frequent words have fixed bounds and are sent
-to the tasks; counts of all other words are joined.
+to the tasks; counts of all other words are joined. Nothing that is learned depends on how texts or words
+are dealt to tasks: tables are sums, and so are the steps of the weights.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routepulse.llm import mixing_model as model
@@ -18,14 +20,19 @@ from routepulse.session import stage
 
 #: Frequent words that tell classes of texts apart, and the number of classes (one more is for texts without them).
 ANCHORS, CLASSES = 64, 8
-#: A word with at least this share of a slice's words is counted as a possible anchor.
-ANCHOR_SHARE = 0.0005
+#: An anchor has at least this share of all words; they are sought in as many sums of words by their hashes.
+ANCHOR_SHARE, ANCHOR_SUMS = 0.0005, 1 << 16
+#: Words (the most frequent) whose followers are counted.
+FOLLOWED = 1 << 16
+#: Pairs of neighbours that a task holds before it hands them on (memory only).
+HELD_PAIRS = 1 << 20
 #: Frequent words at most whose counts and scores are sent to the tasks; the counts of the
 #: others are joined, their scores worked out where they occur.
 FREQUENT = 1 << 20
-#: Different words (per class) that one task learns from.
-LEARNER_WORDS = 500_000
-CHUNK = 1 << 16
+#: Different words (per class) that one task adds to the tables, and to a round's sums.
+LEARNER_WORDS, ROUND_WORDS = 1_000_000, 40_000
+#: Numbers in a part of the tables, and parts that one task adds up at most.
+CHUNK, FAN = 1 << 16, 32
 SLICE = 3 << 20
 #: Word scores that a task remembers (memory only).
 REMEMBERED = 1 << 20
@@ -43,6 +50,14 @@ class Tokens:
         self.hashes = (word_hashes(self.data, self.starts, self.ends, power) & ~np.uint64(1)).view(np.int64)
         self.docs = np.repeat(np.arange(len(texts)), self.counts)
 
+    def neighbours(self, codes: np.ndarray, border: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every word and every end with what stands before it, as codes; and the texts they lie in."""
+        ends = np.cumsum(self.counts)
+        rows = len(self.counts)
+        after = np.insert(codes, ends, border)
+        before = np.insert(codes, ends - self.counts, border)
+        return before, after, np.repeat(np.arange(rows), self.counts + 1)
+
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
@@ -52,16 +67,16 @@ def score_texts(docs: DataFrame, training: DataFrame, id_column: str = "doc_id",
 
     Tokens are the words and one end per text. ``base_score`` sums log10((c + 0.5) / (N + 0.5 * (V + 1)))
     with the counts in ``training`` (same columns as ``docs``); ``n_known`` are tokens with c > 0. ``score`` is the
-    model's log10 probability of the text's class and tokens, and ``bits_per_byte`` the same
+    model's log10 probability of the text's class and tokens in their order, and ``bits_per_byte`` the same
     per byte of the words, one blank after each and one end. NULL, empty and blank texts have
     one token, the end. Repeated rows are learned and scored each. Without training
-    documents the model is its prior, N and V are 0. An empty table gives an empty
-    table; other columns are not read.
+    documents the model is its prior, N and V are 0. Words and pairs that are equally frequent
+    are ordered by their hashes. A very long text is cut into words whole, at some hundred bytes of memory for each of its bytes. An empty
+    table gives an empty table; other columns are not read.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_column]
     texts = only(docs, id_column, text_column).select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    texts = texts.withColumn("key", F.xxhash64("id", "text"))
     train = only(training, text_column).select(F.coalesce(F.col(text_column), F.lit("")).alias("text"))
 
     anchors, groups = _classes(train)
@@ -70,35 +85,39 @@ def score_texts(docs: DataFrame, training: DataFrame, id_column: str = "doc_id",
     words = stage(counted.groupBy("hash").agg(F.sum("n").alias("n")), "lm-unigrams")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
 
-    tables = _tables(counted)
-    shared_tables = spark.sparkContext.broadcast(tables)  # model.SLOTS * 2 numbers
+    rows = counted.count()
+    bits = model.layout(rows)
+    tables = _tables(counted, rows, bits)
+    shared_tables = spark.sparkContext.broadcast(tables)  # two numbers a slot, at most 85 MB
     sizes = dict(counted.where(F.col("hash") == END).groupBy("class").agg(F.sum("n")).collect())  # CLASSES + 1 rows
     prior = np.array([sizes.get(c, 0) + 1.0 for c in range(CLASSES + 1)])
-    mixer = _mixer(counted, shared_tables)
+    mixer = _mixer(counted, rows, shared_tables, bits)
+    ready = spark.sparkContext.broadcast(model.ready_tables(tables))  # as large
+    del tables
 
+    followed = _followed(words)
+    followers = _followers(train, spark.sparkContext.broadcast(followed))
     top = _sorted(_most_frequent(words).select("hash", "n"))
-    scored = map_batches(_most_frequent(counted), _word_scores(mixer, shared_tables), "key long, score double")
-    shared = spark.sparkContext.broadcast((top, _sorted(scored)))  # FREQUENT words each
+    scored = map_batches(_most_frequent(counted), _word_scores(mixer, ready, bits), "key long, score double")
+    shared = spark.sparkContext.broadcast((top, _sorted(scored), followed, (followers.word, followers.scores)))  # FREQUENT and FOLLOWED words
     whole = total + 0.5 * (distinct + 1) if total else 0.5
-    settings = mixer, np.log10(prior / prior.sum()), whole
+    settings = mixer, np.log10(prior / prior.sum()), whole, bits
 
-    main = map_batches(texts, _scoring(shared, shared_tables, shared_groups, settings), f"id {kind}, key long, n_tokens long, n_known long, base double, score double, bits_per_byte double")
-    rare = map_batches(texts.select("key", "text"), _rare(shared), "key long, hash long, n long")
+    schema = f"id {kind}, key long, n_tokens long, n_known long, base double, score double, bits_per_byte double, rare array<long>, times array<long>"
+    main = stage(map_batches(texts, _scoring(shared, ready, shared_groups, settings), schema), "lm-scored")
+    rare = main.select("key", F.explode(F.arrays_zip("rare", "times")).alias("word")).select("key", F.col("word.rare").alias("hash"), F.col("word.times").alias("n"))
     found = rare.join(words.select("hash", F.col("n").alias("c")), "hash", "left")
-    # rows with hash 0 count the rows of a key: equal rows bring the same words again
-    gain = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)
     rest = found.groupBy("key").agg(
-        F.sum(F.when(F.col("hash") == 0, F.col("n"))).alias("times"),
-        F.sum(F.when(F.col("hash") != 0, gain)).alias("gain"),
-        F.sum(F.when((F.col("hash") != 0) & F.col("c").isNotNull(), F.col("n"))).alias("known"),
+        F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("gain"),
+        F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("known"),
     )
     out = main.join(rest, "key", "left")
     return out.select(
         F.col("id").alias(id_column),
         "n_tokens",
-        (F.col("n_known") + F.coalesce(F.col("known") / F.col("times"), F.lit(0))).cast("long").alias("n_known"),
+        (F.col("n_known") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce(F.col("gain") / F.col("times"), F.lit(0.0))).alias("base_score"),
+        (F.col("base") + F.coalesce("gain", F.lit(0.0))).alias("base_score"),
         "score",
         "bits_per_byte",
     )
@@ -107,19 +126,35 @@ def score_texts(docs: DataFrame, training: DataFrame, id_column: str = "doc_id",
 def _classes(train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Anchor words (hashes) and the class of each: anchors that occur in the same texts.
 
-    Anchors are frequent words of the whole corpus; how often two occur in the same texts is summed
-    over all of them, and the anchors are joined step by step, the closest groups first.
+    Anchors are the most frequent words of the whole corpus: all words are summed by some bits of their hashes,
+    and those that lie in a large enough sum are counted. How often two anchors occur in the same texts is summed
+    over all texts, and the anchors are joined step by step, the closest groups first.
     """
 
-    def frequent(batches):
+    def place(hashes):
+        return ((hashes.view(np.uint64) >> np.uint64(20)) % np.uint64(ANCHOR_SUMS)).astype(np.int64)
+
+    def summed(batches):
+        power, n = Powers(), np.zeros(ANCHOR_SUMS, np.int64)
+        for part in gathered(batches, "text", SLICE):
+            n += np.bincount(place(Tokens(part.column("text"), power).hashes), minlength=ANCHOR_SUMS)
+        at = np.flatnonzero(n)
+        yield {"at": at, "n": n[at]}
+
+    sums = map_batches(train, summed, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # ANCHOR_SUMS rows
+    at, n = (sums.column(i).to_numpy() for i in range(2))
+    least = max(1, ANCHOR_SHARE * n.sum())
+    large = np.zeros(ANCHOR_SUMS, bool)
+    large[at[n >= least]] = True
+
+    def counts(batches):
         power = Powers()
         for part in gathered(batches, "text", SLICE):
-            tokens = Tokens(part.column("text"), power)
-            hashes, n = np.unique(tokens.hashes, return_counts=True)
-            keep = n >= max(1, ANCHOR_SHARE * len(tokens.hashes))
-            yield {"hash": hashes[keep], "n": n[keep]}
+            hashes = Tokens(part.column("text"), power).hashes
+            hashes, n = np.unique(hashes[large[place(hashes)]], return_counts=True)
+            yield {"hash": hashes, "n": n}
 
-    top = map_batches(train, frequent, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    top = map_batches(train, counts, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= float(least))
     anchors = np.array(sorted(r.hash for r in top.orderBy(F.desc("n"), "hash").limit(ANCHORS).collect()), np.int64)
     if not len(anchors):
         return anchors, np.zeros(0, np.int64)
@@ -189,43 +224,43 @@ def _word_counts(train: DataFrame, shared_groups) -> DataFrame:
     return found.groupBy("class", "hash", "word").agg(F.sum("n").alias("n"))
 
 
-def _learners(counted: DataFrame) -> DataFrame:
-    rows = counted.count()
-    return counted.repartition(max(1, -(-rows // LEARNER_WORDS)), "hash").sortWithinPartitions("hash", "class")
-
-
 def _blocks(batches):
     for batch in batches:
         yield batch.column("word").to_pylist(), batch.column("class").to_numpy().astype(np.int64), batch.column("n").to_numpy().astype(float)
 
 
-def _tables(counted: DataFrame) -> np.ndarray:
-    """The predictors' tables: every learner adds its words, and their tables are added up in chunks."""
+def _tables(counted: DataFrame, rows: int, bits: tuple[int, ...]) -> np.ndarray:
+    """The predictors' tables: a task's words lie in order, so that neighbours share
+    beginnings; the tasks' tables, as many as the words need, are added up in parts, ``FAN`` at a time.
+    """
+    slots, learners = model.slots_of(bits), max(1, -(-rows // LEARNER_WORDS))
 
     def work(batches):
-        tables = np.zeros((model.SLOTS, 2), np.float32)
-        least = None
+        tables = np.zeros((slots, 2), np.float32)
         for words, classes, n in _blocks(_joined(batches)):
-            least = words[0] if least is None else least
-            model.learn_tables(words, classes, n, tables)
-        flat = tables.reshape(-1)
-        if least is not None:
-            for i in range(0, len(flat), CHUNK):
-                if flat[i : i + CHUNK].any():
-                    yield {"chunk": [i // CHUNK], "learner": [least], "part": [flat[i : i + CHUNK].tobytes()]}
+            model.learn_tables(words, classes, n, tables, bits)
+        flat, learner = tables.reshape(-1), TaskContext.get().partitionId()
+        for i in range(0, len(flat), CHUNK):
+            if flat[i : i + CHUNK].any():
+                yield {"chunk": [i // CHUNK], "learner": [learner], "part": [flat[i : i + CHUNK].tobytes()]}
 
     def add(group: pa.Table) -> pa.Table:
         total = 0
         for part in group.sort_by("learner").column("part"):
             total = total + np.frombuffer(part.as_py(), np.float32).astype(np.float64)
-        return pa.table({"chunk": pa.array([group.column("chunk")[0].as_py()], pa.int32()), "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
-
-    parts = map_batches(_learners(counted), work, "chunk int, learner binary, part binary")
-    flat = np.zeros(2 * model.SLOTS, np.float32)
-    for row in parts.groupBy("chunk").applyInArrow(add, "chunk int, part binary").toLocalIterator():  # one table in all
+        first = group.slice(0, 1)
+        return pa.table({"chunk": first.column("chunk"), "learner": first.column("group"), "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+    schema = "chunk int, learner int, part binary"
+    parts = map_batches(counted.coalesce(learners).sortWithinPartitions("class", "word"), work, schema)
+    while learners > 1:
+        learners = -(-learners // FAN)
+        parts = parts.withColumn("group", F.floor(F.col("learner") / FAN).cast("int")).groupBy("chunk", "group").applyInArrow(add, schema)
+    flat = np.zeros(2 * slots, np.float32)
+    for row in parts.toLocalIterator():  # one table in all
         part = np.frombuffer(row.part, np.float32)
         flat[row.chunk * CHUNK : row.chunk * CHUNK + len(part)] = part
-    return flat.reshape(model.SLOTS, 2)
+    return flat.reshape(slots, 2)
 
 
 def _joined(batches, rows: int = model.AT_ONCE):
@@ -240,26 +275,69 @@ def _joined(batches, rows: int = model.AT_ONCE):
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _mixer(counted: DataFrame, shared_tables) -> model.Mixer:
-    """Every learner goes online through its words; weights are averaged, refining tables added up."""
+def _mixer(counted: DataFrame, rows: int, shared_tables, bits: tuple[int, ...]) -> model.Mixer:
+    """Round by round, online: every word is in one round, whose sums over all its words make one step."""
+    mixer = model.Mixer()
+    tasks = max(1, -(-rows // (model.ROUNDS * ROUND_WORDS)))
+    for turn in range(model.ROUNDS):
+
+        def work(batches, mixer=mixer):
+            total = np.zeros(mixer.SUMS)
+            for words, classes, n in _blocks(_joined(batches)):
+                total += mixer.sums(words, classes, n, shared_tables.value, bits)
+            at = np.flatnonzero(total)
+            yield {"at": at, "n": total[at]}
+
+        mine = counted.where(F.pmod(F.shiftright("hash", 33), F.lit(model.ROUNDS)) == turn).select("class", "word", "n")
+        found = map_batches(mine.coalesce(tasks).sortWithinPartitions("class", "word"), work, "at int, n double")
+        found = found.groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # Mixer.SUMS rows
+        sums = np.zeros(mixer.SUMS)
+        sums[found.column("at").to_numpy()] = found.column("n").to_numpy()
+        mixer = mixer.after(sums)
+    return mixer
+
+
+def _followed(words: DataFrame) -> np.ndarray:
+    """The hashes of the most frequent words, in order; a word's place is its code."""
+    found = words.where(F.col("hash") != END).orderBy(F.desc("n"), "hash").limit(FOLLOWED).select("hash").toArrow()
+    return np.sort(found.column("hash").to_numpy())
+
+
+def _codes(followed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    if not len(followed):
+        return np.full(len(hashes), -1)
+    at = np.minimum(np.searchsorted(followed, hashes), len(followed) - 1)
+    return np.where(followed[at] == hashes, at, -1)
+
+
+def _followers(train: DataFrame, shared_followed) -> model.Followers:
+    """Counts of neighbouring words over all training texts, and the best followers of each frequent word."""
+    n = len(shared_followed.value)
+    base = n + 2  # codes, the border, and n + 1 for all other words
 
     def work(batches):
-        mixer, seen = model.Mixer(), 0.0
-        for words, classes, n in _blocks(_joined(batches)):
-            # neighbours by hash come in no order of meaning
-            mixer.learn(words, classes, n, shared_tables.value)
-            seen += float(n.sum())
-        if seen:
-            yield {"seen": [seen], "weights": [mixer.weights.tobytes()], "refine": [mixer.refine.tobytes()]}
-
-    start, total = model.Mixer(), 0.0
-    weights, refine = np.zeros_like(start.weights), np.zeros_like(start.refine)
-    learned = map_batches(_learners(counted), work, "seen double, weights binary, refine binary")
-    for row in learned.orderBy("seen", "weights").toLocalIterator():  # one at a time, of fixed size
-        total += row.seen
-        weights += row.seen * np.frombuffer(row.weights).reshape(weights.shape)
-        refine += np.frombuffer(row.refine).reshape(refine.shape)
-    return model.Mixer(weights / total, refine) if total else start
+        power, held = Powers(), (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        for part in gathered(batches, "text", SLICE):
+            tokens = Tokens(part.column("text"), power)
+            distinct, back = np.unique(tokens.hashes, return_inverse=True)
+            before, after, _ = tokens.neighbours(_codes(shared_followed.value, distinct)[back], n)
+            mine = before >= 0
+            pairs, times = np.unique(before[mine] * base + np.where(after[mine] < 0, n + 1, after[mine]), return_counts=True)
+            pairs, back = np.unique(np.concatenate([held[0], pairs]), return_inverse=True)
+            held = pairs, np.bincount(back, weights=np.concatenate([held[1], times]), minlength=len(pairs)).astype(np.int64)
+            if len(pairs) > HELD_PAIRS:
+                yield {"pair": held[0], "n": held[1]}
+                held = held[0][:0], held[1][:0]
+        yield {"pair": held[0], "n": held[1]}
+
+    pairs = map_batches(train, work, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    pairs = stage(pairs.select(F.expr(f"pair div {base}").alias("before"), (F.col("pair") % base).alias("word"), "n"), "lm-pairs")
+    totals = pairs.groupBy("before").agg(F.sum("n").alias("total"))
+    place = F.row_number().over(Window.partitionBy("before").orderBy(F.desc("n"), "word"))
+    best = pairs.where((F.col("word") <= n) & (F.col("n") > 1)).withColumn("rank", place - 1).where(F.col("rank") < model.Followers.RANKS)
+    found = best.join(totals, "before").select("before", "word", "rank", "n", "total").toArrow()  # RANKS rows for each of FOLLOWED words
+    before, word, rank, hits, total = (found.column(i).to_numpy().astype(np.int64) for i in range(5))
+    return model.Followers(n, before, word, rank, hits, total)
 
 
 def _most_frequent(words: DataFrame) -> DataFrame:
@@ -287,28 +365,27 @@ def _key(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return mix(hashes.view(np.uint64) + classes.astype(np.uint64)).view(np.int64)
 
 
-def _word_scores(mixer, shared_tables):
+def _word_scores(mixer, ready, bits):
     def work(batches):
-        ready = model.ready_tables(shared_tables.value)
         for batch in batches:
             classes = batch.column("class").to_numpy().astype(np.int64)
-            scores = mixer.log10(batch.column("word").to_pylist(), classes, ready)
+            scores = mixer.log10(batch.column("word").to_pylist(), classes, ready.value, bits)
             yield {"key": _key(batch.column("hash").to_numpy(), classes), "score": scores}
 
     return work
 
 
-def _scoring(shared, shared_tables, shared_groups, settings):
+def _scoring(shared, ready, shared_groups, settings):
     def work(batches):
-        (top, counts), (top_keys, top_scores) = shared.value
-        mixer, prior, whole = settings
-        ready = model.ready_tables(shared_tables.value)
+        (top, counts), (top_keys, top_scores), followed, followers = shared.value
+        mixer, prior, whole, bits = settings
+        border, number = len(followed), TaskContext.get().partitionId() << 40
         power = Powers()
         gains = np.log10(counts + 0.5)
         end = np.searchsorted(top, END)
         has_end = end < len(top) and top[end] == END
         end_gain = gains[end] if has_end else np.log10(0.5)
-        ends = mixer.log10([b""] * (CLASSES + 1), np.arange(CLASSES + 1), ready)
+        ends = mixer.log10([b""] * (CLASSES + 1), np.arange(CLASSES + 1), ready.value, bits)
         known_keys, known_scores = top_keys, top_scores
         for part in gathered(batches, "text", SLICE):
             rows = part.num_rows
@@ -323,8 +400,15 @@ def _scoring(shared, shared_tables, shared_groups, settings):
             # scores of words that the task has not met before
             scores, old = _found(known_keys, known_scores, distinct)
             which = first[~old]
-            scores[~old] = mixer.log10([tokens.word(i) for i in which.tolist()], classes[tokens.docs[which]], ready)
-            total = np.bincount(tokens.docs, weights=scores[back], minlength=rows) + ends[classes] + prior[classes]
+            scores[~old] = mixer.log10([tokens.word(i) for i in which.tolist()], classes[tokens.docs[which]], ready.value, bits)
+            before, after, docs = tokens.neighbours(_codes(followed, hashes)[back], border)
+            said, spelled = model.decided(*followers, before, after)
+            spell = np.insert(scores[back], np.cumsum(tokens.counts), ends[classes])
+            total = np.bincount(docs, weights=said + np.where(spelled, spell, 0.0), minlength=rows) + prior[classes]
+            # words whose counts the task does not hold, with how often each text has them
+            rare = np.flatnonzero(~hit[back])
+            pairs, times = np.unique(tokens.docs[rare] * len(distinct) + back[rare], return_counts=True)
+            lists = np.searchsorted(pairs, np.arange(rows + 1) * max(len(distinct), 1)).astype(np.int32)
             if len(known_keys) > len(top_keys) + REMEMBERED:
                 known_keys, known_scores = top_keys, top_scores
             places = np.searchsorted(known_keys, distinct[~old])
@@ -333,13 +417,16 @@ def _scoring(shared, shared_tables, shared_groups, settings):
             size = np.bincount(tokens.docs, weights=tokens.ends - tokens.starts + 1, minlength=rows) + 1
             yield {
                 "id": part.column("id"),
-                "key": part.column("key"),
+                "key": number + np.arange(rows),
                 "n_tokens": n_tokens,
                 "n_known": known,
                 "base": base + end_gain - n_tokens * np.log10(whole),
                 "score": total,
                 "bits_per_byte": -total * np.log2(10) / size,
+                "rare": pa.ListArray.from_arrays(lists, hashes[pairs % max(len(distinct), 1)]),
+                "times": pa.ListArray.from_arrays(lists, times),
             }
+            number += rows
 
     return work
 
@@ -351,26 +438,3 @@ def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     there = keys[at] == wanted
     return np.where(there, values[at], 0.0), there
-
-
-def _rare(shared):
-    """key, hash, n: the words of each text whose counts the tasks don't hold, and hash 0 once per text."""
-
-    def work(batches):
-        (top, counts), _ = shared.value
-        power = Powers()
-        for part in gathered(batches, "text", SLICE):
-            tokens = Tokens(part.column("text"), power)
-            rare = ~_found(top, counts, tokens.hashes)[1]
-            hashes, codes = np.unique(tokens.hashes[rare], return_inverse=True)
-            pairs, n = np.unique(tokens.docs[rare] * max(len(hashes), 1) + codes, return_counts=True)
-            keys = part.column("key").to_numpy()
-            docs = pairs // max(len(hashes), 1)
-            with_rare = np.unique(docs)
-            yield {
-                "key": np.concatenate([keys[docs], keys[with_rare]]),
-                "hash": np.concatenate([hashes[pairs % max(len(hashes), 1)], np.zeros(len(with_rare), np.int64)]),
-                "n": np.concatenate([n, np.ones(len(with_rare), np.int64)]),
-            }
-
-    return work

@@ -141,13 +141,67 @@ def test_held_out_texts_score_better_than_by_counts(spark):
 def test_model_is_a_probability():
     """All words of one byte over the whole alphabet of bytes have at most the probability 1 together."""
     text = [b"ab", b"abc", b"b", b"", b"ca"] * 3
-    counts, classes = np.arange(1.0, 16), np.ones(15, np.int64)
-    tables = np.zeros((mixing_model.SLOTS, 2), np.float32)
-    mixing_model.learn_tables(text, classes, counts, tables)
+    counts, classes, bits = np.arange(1.0, 16), np.ones(15, np.int64), mixing_model.layout(15)
+    tables = np.zeros((mixing_model.slots_of(bits), 2), np.float32)
+    mixing_model.learn_tables(text, classes, counts, tables, bits)
     mixer = mixing_model.Mixer()
-    mixer.learn(text, classes, counts, tables)
+    for _ in range(3):
+        mixer = mixer.after(mixer.sums(text, classes, counts, tables, bits))
     ready = mixing_model.ready_tables(tables)
     every = [bytes([i]) for i in range(256)]
-    scores = mixer.log10([*every, b""], np.ones(257, np.int64), ready)
+    scores = mixer.log10([*every, b""], np.ones(257, np.int64), ready, bits)
     assert 0 < (10**scores).sum() <= 1 + 1e-9
-    assert mixer.log10([b"b"], np.ones(1, np.int64), ready) > mixer.log10([b"q"], np.ones(1, np.int64), ready)
+    assert mixer.log10([b"b"], np.ones(1, np.int64), ready, bits) > mixer.log10([b"q"], np.ones(1, np.int64), ready, bits)
+
+
+def test_sums_do_not_depend_on_how_words_are_dealt():
+    """Shared beginnings, order and blocks change neither tables nor a round's sums."""
+    dice = random.Random(4)
+    text = sorted({bytes(dice.choices(b"abc", k=dice.randint(1, 9))) for _ in range(400)})
+    counts, classes, bits = np.arange(1.0, len(text) + 1), np.arange(len(text)) % 3, mixing_model.layout(len(text))
+    tables, parts = (np.zeros((mixing_model.slots_of(bits), 2), np.float32) for _ in range(2))
+    mixing_model.learn_tables(text, classes, counts, tables, bits)
+    order = np.array(dice.sample(range(len(text)), len(text)))
+    for at in np.array_split(order, 7):
+        mixing_model.learn_tables([text[i] for i in at], classes[at], counts[at], parts, bits)
+    assert (tables == parts).all()
+    mixer = mixing_model.Mixer()
+    whole = mixer.sums(text, classes, counts, tables, bits)
+    assert np.allclose(whole, sum(mixer.sums([text[i] for i in at], classes[at], counts[at], tables, bits) for at in np.array_split(order, 5)))
+    mixer = mixer.after(whole)
+    ready = mixing_model.ready_tables(tables)
+    together = mixer.log10(text, classes, ready, bits)
+    assert np.allclose(together, np.concatenate([mixer.log10([w], classes[i : i + 1], ready, bits) for i, w in enumerate(text)]))
+    # more rounds code the words they learn from better
+    assert (together * counts).sum() > (mixing_model.Mixer().log10(text, classes, ready, bits) * counts).sum()
+
+
+def test_followers_are_a_probability():
+    before, word = np.array([0, 0, 1, 3]), np.array([1, 2, 0, 0])
+    found = mixing_model.Followers(3, before, word, np.array([0, 1, 0, 0]), np.array([50, 20, 9, 40]), np.array([100, 100, 10, 80]))
+    for at in range(4):
+        said, spelled = found.log10(np.full(4, at), np.arange(4))
+        missed, also = found.log10(np.array([at]), np.array([-1]))
+        assert also.all()
+        assert math.isclose((10 ** said[~spelled]).sum() + 10 ** missed[0], 1)
+    assert 0.4 < 10 ** found.log10(np.array([0]), np.array([1]))[0][0] < 0.6
+    assert found.log10(np.array([-1]), np.array([1]))[0][0] == 0
+
+
+def test_scores_depend_on_the_order_of_words_not_on_tasks(spark, monkeypatch):
+    whole = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    texts = [(r.doc_id, r.text) for r in whole.collect()]
+    dice = random.Random(1)
+    mixed = [(10_000 + i, " ".join(dice.sample(words(t), len(words(t))))) for i, t in texts if len(words(t)) > 50]
+    docs = spark.createDataFrame(texts + mixed, "doc_id long, text string")
+    first = {r.doc_id: r for r in lm_scoring.score_texts(docs, whole).collect()}
+    held = [i for i, _ in mixed]
+    assert sum(first[i].score < first[i - 10_000].score for i in held) >= 0.95 * len(held)
+    monkeypatch.setattr(lm_scoring, "LEARNER_WORDS", 900)
+    monkeypatch.setattr(lm_scoring, "ROUND_WORDS", 100)
+    monkeypatch.setattr(lm_scoring, "FAN", 3)
+    monkeypatch.setattr(lm_scoring, "FREQUENT", 500)
+    monkeypatch.setattr(lm_scoring, "HELD_PAIRS", 50)
+    again = lm_scoring.score_texts(docs.repartition(9), whole.repartition(5)).collect()
+    assert all(math.isclose(r.score, first[r.doc_id].score, rel_tol=1e-6) for r in again)
+    assert {(r.doc_id, r.n_known) for r in again} == {(r.doc_id, r.n_known) for r in first.values()}
