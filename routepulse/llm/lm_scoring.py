@@ -88,23 +88,21 @@ def score_texts(docs: DataFrame, training: DataFrame, id_column: str = "doc_id",
     rows = counted.count()
     bits = model.layout(rows)
     tables = _tables(counted, rows, bits)
-    shared_tables = spark.sparkContext.broadcast(tables)  # two numbers a slot, at most 85 MB
+    shared_tables = spark.sparkContext.broadcast(tables)  # four bytes a slot, at most 42 MB
     sizes = dict(counted.where(F.col("hash") == END).groupBy("class").agg(F.sum("n")).collect())  # CLASSES + 1 rows
     prior = np.array([sizes.get(c, 0) + 1.0 for c in range(CLASSES + 1)])
     mixer = _mixer(counted, rows, shared_tables, bits)
-    ready = spark.sparkContext.broadcast(model.ready_tables(tables))  # as large
-    del tables
 
     followed = _followed(words)
     followers = _followers(train, spark.sparkContext.broadcast(followed))
     top = _sorted(_most_frequent(words).select("hash", "n"))
-    scored = map_batches(_most_frequent(counted), _word_scores(mixer, ready, bits), "key long, score double")
+    scored = map_batches(_most_frequent(counted), _word_scores(mixer, shared_tables, bits), "key long, score double")
     shared = spark.sparkContext.broadcast((top, _sorted(scored), followed, (followers.word, followers.scores)))  # FREQUENT and FOLLOWED words
     whole = total + 0.5 * (distinct + 1) if total else 0.5
     settings = mixer, np.log10(prior / prior.sum()), whole, bits
 
     schema = f"id {kind}, key long, n_tokens long, n_known long, base double, score double, bits_per_byte double, rare array<long>, times array<long>"
-    main = stage(map_batches(texts, _scoring(shared, ready, shared_groups, settings), schema), "lm-scored")
+    main = stage(map_batches(texts, _scoring(shared, shared_tables, shared_groups, settings), schema), "lm-scored")
     rare = main.select("key", F.explode(F.arrays_zip("rare", "times")).alias("word")).select("key", F.col("word.rare").alias("hash"), F.col("word.times").alias("n"))
     found = rare.join(words.select("hash", F.col("n").alias("c")), "hash", "left")
     rest = found.groupBy("key").agg(
@@ -260,7 +258,7 @@ def _tables(counted: DataFrame, rows: int, bits: tuple[int, ...]) -> np.ndarray:
     for row in parts.toLocalIterator():  # one table in all
         part = np.frombuffer(row.part, np.float32)
         flat[row.chunk * CHUNK : row.chunk * CHUNK + len(part)] = part
-    return flat.reshape(slots, 2)
+    return model.compact(flat.reshape(slots, 2))
 
 
 def _joined(batches, rows: int = model.AT_ONCE):
@@ -365,18 +363,20 @@ def _key(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return mix(hashes.view(np.uint64) + classes.astype(np.uint64)).view(np.int64)
 
 
-def _word_scores(mixer, ready, bits):
+def _word_scores(mixer, shared_tables, bits):
     def work(batches):
+        ready = model.ready_tables(shared_tables.value)
         for batch in batches:
             classes = batch.column("class").to_numpy().astype(np.int64)
-            scores = mixer.log10(batch.column("word").to_pylist(), classes, ready.value, bits)
+            scores = mixer.log10(batch.column("word").to_pylist(), classes, ready, bits)
             yield {"key": _key(batch.column("hash").to_numpy(), classes), "score": scores}
 
     return work
 
 
-def _scoring(shared, ready, shared_groups, settings):
+def _scoring(shared, shared_tables, shared_groups, settings):
     def work(batches):
+        ready = model.ready_tables(shared_tables.value)
         (top, counts), (top_keys, top_scores), followed, followers = shared.value
         mixer, prior, whole, bits = settings
         border, number = len(followed), TaskContext.get().partitionId() << 40
@@ -385,7 +385,7 @@ def _scoring(shared, ready, shared_groups, settings):
         end = np.searchsorted(top, END)
         has_end = end < len(top) and top[end] == END
         end_gain = gains[end] if has_end else np.log10(0.5)
-        ends = mixer.log10([b""] * (CLASSES + 1), np.arange(CLASSES + 1), ready.value, bits)
+        ends = mixer.log10([b""] * (CLASSES + 1), np.arange(CLASSES + 1), ready, bits)
         known_keys, known_scores = top_keys, top_scores
         for part in gathered(batches, "text", SLICE):
             rows = part.num_rows
@@ -400,7 +400,7 @@ def _scoring(shared, ready, shared_groups, settings):
             # scores of words that the task has not met before
             scores, old = _found(known_keys, known_scores, distinct)
             which = first[~old]
-            scores[~old] = mixer.log10([tokens.word(i) for i in which.tolist()], classes[tokens.docs[which]], ready.value, bits)
+            scores[~old] = mixer.log10([tokens.word(i) for i in which.tolist()], classes[tokens.docs[which]], ready, bits)
             before, after, docs = tokens.neighbours(_codes(followed, hashes)[back], border)
             said, spelled = model.decided(*followers, before, after)
             spell = np.insert(scores[back], np.cumsum(tokens.counts), ends[classes])

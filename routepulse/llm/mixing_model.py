@@ -107,6 +107,15 @@ def learn_tables(words: list[bytes], classes: np.ndarray, counts: np.ndarray, ta
                 np.add.at(flat, slots[order], weight)
 
 
+def compact(tables: np.ndarray) -> np.ndarray:
+    """The tables in half the space: counts up to 2048 are exact, of larger ones the ratio is kept."""
+    out = np.empty(tables.shape, np.float16)
+    for i in range(0, len(tables), 1 << 18):
+        part = tables[i : i + (1 << 18)]
+        out[i : i + (1 << 18)] = part * np.minimum(1, 60_000 / np.maximum(part.max(axis=1, keepdims=True), 1))
+    return out
+
+
 def _inputs(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Stretched predictions, and how much each predictor has seen (a level)."""
     stretched = np.log((ones + PRIOR) / (zeros + PRIOR))
@@ -117,10 +126,10 @@ def _inputs(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def ready_tables(tables: np.ndarray) -> np.ndarray:
-    """Stretched predictions and levels of all slots, side by side in one number each."""
+    """Stretched predictions and levels of all slots of compact tables, side by side in one number each."""
     out = np.empty((len(tables), 2), np.float32)
     for i in range(0, len(tables), 1 << 18):
-        part = tables[i : i + (1 << 18)]
+        part = tables[i : i + (1 << 18)].astype(np.float32)
         out[i : i + (1 << 18), 0], out[i : i + (1 << 18), 1] = _inputs(part[:, 0], part[:, 1])
     return out.view(np.uint64).ravel()
 
@@ -168,8 +177,8 @@ class Mixer:
     SUMS = 2 * GATES * ORDERS * LEVELS + 2 * GATES * STEPS
 
     def sums(self, words: list[bytes], classes: np.ndarray, counts: np.ndarray, tables: np.ndarray, bits: tuple[int, ...]) -> np.ndarray:
-        """What the words add to a round: sums over their decisions, whatever their order and the tasks they lie in."""
-        both = tables.view(np.uint64).ravel()
+        """What the words add to a round, predicted from compact tables: sums over their decisions, whatever their order and the tasks they lie in."""
+        both = tables.view(np.uint32).ravel()
         out = np.zeros(self.SUMS)
         cut = GATES * ORDERS * LEVELS
         push, curve, refine = out[:cut], out[cut : 2 * cut], out[2 * cut :].reshape(2, GATES * STEPS)
@@ -180,7 +189,7 @@ class Mixer:
             weight = np.bincount(back, weights=np.repeat(counts[i : i + AT_ONCE], sizes))
             for slots, bit in decisions(data[first], hashes[:, first], bits):
                 # both counts of a slot lie side by side and are fetched as one number
-                pair = both[slots].view(np.float32).reshape(*slots.shape, 2)
+                pair = both[slots].view(np.float16).reshape(*slots.shape, 2).astype(np.float32)
                 zeros, ones = np.maximum(pair[..., 0] - (1 - bit), 0), np.maximum(pair[..., 1] - bit, 0)
                 stretched, level = _inputs(zeros, ones)
                 gate = _gate(level, place[first])
