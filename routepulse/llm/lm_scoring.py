@@ -88,7 +88,7 @@ def score_texts(docs: DataFrame, training: DataFrame, id_column: str = "doc_id",
     rows = counted.count()
     bits = model.layout(rows)
     tables = _tables(counted, rows, bits)
-    shared_tables = spark.sparkContext.broadcast(tables)  # four bytes a slot, at most 42 MB
+    shared_tables = spark.sparkContext.broadcast({"compact": tables})  # four bytes a slot, at most 42 MB
     sizes = dict(counted.where(F.col("hash") == END).groupBy("class").agg(F.sum("n")).collect())  # CLASSES + 1 rows
     prior = np.array([sizes.get(c, 0) + 1.0 for c in range(CLASSES + 1)])
     mixer = _mixer(counted, rows, shared_tables, bits)
@@ -282,7 +282,7 @@ def _mixer(counted: DataFrame, rows: int, shared_tables, bits: tuple[int, ...])
         def work(batches, mixer=mixer):
             total = np.zeros(mixer.SUMS)
             for words, classes, n in _blocks(_joined(batches)):
-                total += mixer.sums(words, classes, n, shared_tables.value, bits)
+                total += mixer.sums(words, classes, n, shared_tables.value["compact"], bits)
             at = np.flatnonzero(total)
             yield {"at": at, "n": total[at]}
 
@@ -363,9 +363,16 @@ def _key(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return mix(hashes.view(np.uint64) + classes.astype(np.uint64)).view(np.int64)
 
 
+def _ready(held: dict) -> np.ndarray:
+    """The tables ready for scoring: a worker process works them out once, for all its tasks."""
+    if "ready" not in held:
+        held["ready"] = model.ready_tables(held["compact"])
+    return held["ready"]
+
+
 def _word_scores(mixer, shared_tables, bits):
     def work(batches):
-        ready = model.ready_tables(shared_tables.value)
+        ready = _ready(shared_tables.value)
         for batch in batches:
             classes = batch.column("class").to_numpy().astype(np.int64)
             scores = mixer.log10(batch.column("word").to_pylist(), classes, ready, bits)
@@ -376,7 +383,7 @@ def _word_scores(mixer, shared_tables, bits):
 
 def _scoring(shared, shared_tables, shared_groups, settings):
     def work(batches):
-        ready = model.ready_tables(shared_tables.value)
+        ready = _ready(shared_tables.value)
         (top, counts), (top_keys, top_scores), followed, followers = shared.value
         mixer, prior, whole, bits = settings
         border, number = len(followed), TaskContext.get().partitionId() << 40
