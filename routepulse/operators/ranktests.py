@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routepulse.functions.columns import known
-from routepulse.operators.running import ONE_TASK_ROWS, join_groups, longest_group, running
+from routepulse.operators.running import ONE_TASK_ROWS, in_blocks, join_groups, longest_group, running, scan
 from routepulse.schemas import ALGORITHMS, WINDOW_ORDER
 from routepulse.session import stage
 
@@ -265,17 +265,16 @@ def holm_adjust(
     distinct = tested.groupBy(*family, p).agg(F.count("*").alias("_rows"))
     sizes = tested.groupBy(*family).agg(F.count("*").alias("_tests"))
     distinct = stage(distinct, "holm")
-    longest = longest_group(distinct, family)
-    upto = running(distinct, p, {"_upto": ("sum", "_rows")}, family, longest, one_task_rows)
+    # Both scans run in the same blocks.
+    placed = in_blocks(distinct, p, family, one_task_rows=one_task_rows)
+    upto = scan(placed, p, {"_upto": ("sum", "_rows")}, family)
     if family:
         upto = join_groups(upto, sizes, family, "inner")
     else:
         upto = upto.withColumn("_tests", sizes.scalar())
     step = (F.col("_tests") - (F.col("_upto") - F.col("_rows"))) * F.col(p)
-    stepped = running(
-        upto.withColumn("_step", step), p, {"_so_far": ("max", "_step")}, family, longest,
-        one_task_rows,
-    )
+    steps = stage(upto.withColumn("_step", step).drop("_tests", "_upto", "_rows"), "holm-steps")
+    stepped = scan(steps, p, {"_so_far": ("max", "_step")}, family)
     adjusted = stepped.select(*family, p, F.least(F.lit(1.0), F.col("_so_far")).alias(out))
     return join_groups(df, adjusted, [*family, p]).select(*df.columns, out)
 

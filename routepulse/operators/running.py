@@ -45,8 +45,44 @@ def running(
     Rows with a missing key in ``by`` are a group like any other.
     """
     by = list(by)
+    return scan(in_blocks(df, order, by, longest, one_task_rows), order, columns, by).drop("_block")
+
+
+def in_blocks(
+    df: DataFrame,
+    order: str,
+    by: Sequence[str] = (),
+    longest: int | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
+) -> DataFrame:
+    """Add ``_block``, a row's block within its group, where one task cannot scan the longest group; else add nothing.
+
+    A row finds its block among the cuts by halving, so its cost follows the logarithm of their number.
+    """
+    by = list(by)
     if longest is None:
         longest = longest_group(df, by)
+    if longest <= one_task_rows:
+        return df
+    blocks = 2 * -(-longest // one_task_rows)
+    points = [i / blocks for i in range(1, blocks)]
+    cuts = df.groupBy(*by).agg(F.percentile_approx(order, points, 4 * blocks).alias("_cuts"))
+    table, is_small = settle(cuts)
+    table = F.broadcast(table) if is_small else table
+    # without groups there is one row of cuts
+    placed = (join_groups(df, table, by, "inner") if by else df.crossJoin(table)).withColumn("_block", F.lit(0))
+    for power in reversed(range((blocks - 1).bit_length())):
+        # beyond the last cut ``get`` is NULL
+        below = F.get("_cuts", F.col("_block") + ((1 << power) - 1)) < F.col(order)
+        placed = placed.withColumn("_block", F.col("_block") + F.when(below, 1 << power).otherwise(0))
+    return placed.drop("_cuts")
+
+
+def scan(
+    df: DataFrame, order: str, columns: Mapping[str, tuple[str, str]], by: Sequence[str] = ()
+) -> DataFrame:
+    """``running`` over a table of ``in_blocks``; its ``_block`` stays for further scans."""
+    by = list(by)
     group = by or [F.lit(0)]
 
     def over(*keys):
@@ -56,29 +92,17 @@ def running(
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
 
-    if longest <= one_task_rows:
+    if "_block" not in df.columns:
         window = over(*group)
         return df.withColumns(
             {new: _COMBINE[kind](c).over(window) for new, (kind, c) in columns.items()}
         )
 
-    blocks = 2 * -(-longest // one_task_rows)
-    points = [i / blocks for i in range(1, blocks)]
-    cuts = df.groupBy(*by).agg(F.percentile_approx(order, points, 4 * blocks).alias("_cuts"))
-    table, is_small = settle(cuts)
-    if by:
-        cut = join_groups(df, F.broadcast(table) if is_small else table, by, "inner")
-    else:
-        cut = df.withColumn("_cuts", F.lit(table.first()[0]))
-    placed = cut.withColumn(
-        "_block", F.size(F.filter("_cuts", lambda edge: edge < F.col(order)))
-    ).drop("_cuts")
-
     before = Window.partitionBy(*group).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
     carried = (
-        placed.groupBy(*by, "_block")
+        df.groupBy(*by, "_block")
         .agg(*[_COMBINE[kind](c).alias(f"_total_{new}") for new, (kind, c) in columns.items()])
         .select(
             *by,
@@ -90,7 +114,7 @@ def running(
         )
     )
     inner = over(*by, "_block")
-    scanned = placed.withColumns(
+    scanned = df.withColumns(
         {new: _COMBINE[kind](c).over(inner) for new, (kind, c) in columns.items()}
     )
     scanned = join_groups(scanned, carried, [*by, "_block"], "inner")
@@ -98,4 +122,4 @@ def running(
     for new, (kind, _) in columns.items():
         own, carry = F.col(new), F.col(f"_carry_{new}")
         joined[new] = own + F.coalesce(carry, F.lit(0)) if kind == "sum" else F.greatest(own, carry)
-    return scanned.withColumns(joined).drop("_block", *[f"_carry_{new}" for new in columns])
+    return scanned.withColumns(joined).drop(*[f"_carry_{new}" for new in columns])
