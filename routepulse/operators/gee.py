@@ -2,7 +2,7 @@
 
 Stops of one driver and one covariate pattern are interchangeable, so they are first
 collapsed to (pattern, stops, late stops) and written once. Every iteration is one
-Spark job over that table, built of columns only: patterns are summed per driver (partly
+Spark job that reads that table once, built of columns only: patterns are summed per driver (partly
 in each task, so that no task holds a driver's rows), a driver's sums become the products that the
 estimating equations add up, and the driver program solves a p x p system.
 
@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routepulse.operators.checks import check_columns
@@ -183,30 +183,26 @@ def _sums(coded: DataFrame, design: Design, beta: np.ndarray, alpha: float) -> D
     )
 
 
-def _driver_sums(sums: DataFrame, design: Design) -> DataFrame:
-    """Per driver: n, e, ee, alpha, and for every term in order the sums z0, z1, .. and r0, r1, .."""
+def _term_sums(design: Design) -> list[Column]:
+    """n, e, ee, alpha, and for every term in order the sums z0, z1, .. and r0, r1, .."""
     of = ["1 = 1", *(f"{c}_code = {i}" for c in CATEGORIES for i in range(1, len(design.levels[c]))), *["1 = 1"] * len(MEASURES)]
     factor = [0] * (len(of) - len(MEASURES)) + [k + 1 for k in range(len(MEASURES))]
     terms = [F.expr(f"sum(IF({when}, {what}_{k}, 0D)) AS {what}{j}") for what in "zr" for j, (when, k) in enumerate(zip(of, factor, strict=True))]
-    return sums.groupBy("driver_id").agg(F.expr("sum(n) AS n"), F.expr("sum(e) AS e"), F.expr("sum(ee) AS ee"), F.expr("first(alpha) AS alpha"), *terms)
+    return [F.expr("sum(n) AS n"), F.expr("sum(e) AS e"), F.expr("sum(ee) AS ee"), F.expr("first(alpha) AS alpha"), *terms]
 
 
-def _driver_cells(drivers: DataFrame, p: int) -> DataFrame:
+def _driver_cells(p: int) -> str:
     """What a driver adds: products of terms i and j, (j = -1) the score of i, (i = -1) moments of the residuals."""
-    z, r = (", ".join(f"{what}{j}" for j in range(p)) for what in "zr")
-    rows = drivers.selectExpr("n", "e", "ee", "alpha", f"array({z}) AS z", f"array({r}) AS r", "alpha / (1 + (n - 1) * alpha) AS shrink")
-    rows = rows.selectExpr("n", "e", "ee", "alpha", "z", "shrink", "zip_with(r, z, (a, b) -> (a - b * shrink * e) / (1 - alpha)) AS u")
     cell = "named_struct('i', {}, 'j', {}, 'bread', {}, 'meat', {})"
     product = cell.format("i", "j", "-z[i] * z[j] * shrink / (1 - alpha)", "u[i] * u[j]")
     products = f"flatten(transform(sequence(0, {p - 1}), i -> transform(sequence(i, {p - 1}), j -> {product})))"
     scores = f"transform(u, (v, i) -> {cell.format('i', '-1', 'v', '0D')})"
     moments = ", ".join(cell.format("-1", str(k), m, "0D") for k, m in enumerate(("ee", "n", "(e * e - ee) / 2", "n * (n - 1) / 2")))
-    return rows.selectExpr(f"explode(concat({products}, {scores}, array({moments}))) AS cell").select("cell.*")
+    return f"concat({products}, {scores}, array({moments}))"
 
 
-def _information_cells(sums: DataFrame, design: Design) -> DataFrame:
-    """The information of the independence model."""
-    summed = sums.groupBy(*CODES).agg(F.expr("first(alpha) AS alpha"), *[F.expr(f"sum(w_{a}{b}) AS w_{a}{b}") for a, b in SQUARES])
+def _information_cells(design: Design) -> str:
+    """What equal categories add to the information of the independence model."""
     # the terms that are not 0 in a row, and the factor of each
     places = [("0", 0), *((f"IF({c}_code > 0, {c}_code + {at - 1}, NULL)", 0) for c, at in design.first_terms().items())]
     places += [(str(len(design.terms) - len(MEASURES) + k), k + 1) for k in range(len(MEASURES))]
@@ -215,12 +211,23 @@ def _information_cells(sums: DataFrame, design: Design) -> DataFrame:
         for x, (i, a) in enumerate(places)
         for j, b in places[x:]
     ]
-    return summed.selectExpr(f"explode(array({', '.join(cells)})) AS cell").select("cell.*").where("i IS NOT NULL AND j IS NOT NULL")
+    return f"array({', '.join(cells)})"
 
 
 def _cells(sums: DataFrame, design: Design) -> DataFrame:
-    """What the equations add up: at most a row for each pair of terms, each term and each moment."""
-    found = _driver_cells(_driver_sums(sums, design), len(design.terms)).unionByName(_information_cells(sums, design))
+    """What the equations add up: at most a row for each pair of terms, each term and each moment.
+
+    Drivers and equal categories come from one grouping, so that the patterns are read and summed once.
+    """
+    p, weights = len(design.terms), [f"w_{a}{b}" for a, b in SQUARES]
+    found = sums.groupingSets([["driver_id"], CODES], "driver_id", *CODES)
+    found = found.agg(F.grouping("driver_id").alias("pooled"), *_term_sums(design), *[F.expr(f"sum({w}) AS {w}") for w in weights])
+    z, r = (", ".join(f"{what}{j}" for j in range(p)) for what in "zr")
+    kept = ["pooled", *CODES, *weights, "n", "e", "ee", "alpha"]
+    found = found.selectExpr(*kept, f"array({z}) AS z", f"array({r}) AS r", "alpha / (1 + (n - 1) * alpha) AS shrink")
+    found = found.selectExpr(*kept, "z", "shrink", "zip_with(r, z, (a, b) -> (a - b * shrink * e) / (1 - alpha)) AS u")
+    found = found.selectExpr(f"explode(IF(pooled = 0, {_driver_cells(p)}, {_information_cells(design)})) AS cell").select("cell.*")
+    found = found.where("i IS NOT NULL AND j IS NOT NULL")
     return found.groupBy("i", "j").agg(F.expr("sum(bread) AS bread"), F.expr("sum(meat) AS meat"))
 
 
@@ -269,7 +276,7 @@ def driver_sums(facts: DataFrame, coefficients: dict[str, float]) -> DataFrame:
     patterns = _patterns(facts)
     design, _, _ = _design(patterns)
     beta = np.array([coefficients.get(term, 0.0) for term in design.terms])
-    sums = _driver_sums(_sums(_coded(patterns, design), design, beta, 0.0), design)
+    sums = _sums(_coded(patterns, design), design, beta, 0.0).groupBy("driver_id").agg(*_term_sums(design))
     wait = design.terms.index("wait_min")
     return sums.select("driver_id", F.col("n").cast("long"), "e", "ee", F.col("z0").alias("z"), F.col(f"z{wait}").alias("z_wait_min"))
 

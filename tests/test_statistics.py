@@ -386,3 +386,8 @@ def test_gee_iterations_need_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
     p = len(dense_gee(fleet())[0])
     assert found.count() == p * (p + 1) // 2 + p
+
+
+def test_gee_iteration_reads_the_patterns_once(spark):
+    found = gee.equations(spark.createDataFrame(fleet(), SCHEMA), {}, 0.1)
+    assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
