@@ -1,13 +1,12 @@
-"""Main text of web pages: markup first, and a suffix array per host for what it leaves open.
+"""Main text of web pages: markup, and a suffix array per host over all its pages.
 
-The blocks of a page that stand outside a marked article, and that no element such as
-nav or footer removes, make its token stream (the words of a block between two block
-marks). The streams of a host's pages are concatenated, and their suffixes sorted by
+The blocks of a page that no element such as nav or footer removes, those of a marked article
+too, make its token stream (the words of a block between two block marks). The streams of a host's pages are concatenated, and their suffixes sorted by
 their first ``LONG`` tokens. Neighbours that agree in all of them are a long substring; a
 shorter block is one as a whole, with its marks. Near-equal streams count as one page. A
 substring that enough of the host's pages hold (see ``_demanded``) is boilerplate, and a block
-that such substrings cover almost wholly is removed. Where a page marks its article,
-that is the text, repeated or not; hosts where every page does so need no array.
+that such substrings cover almost wholly is removed. Where a page marks its article, that is the text;
+a block of it goes only if long substrings alone cover it, and an article that would go whole stays.
 
 Hosts are dealt to tasks by ranges, so that a host with very many pages is cut into
 parts. Every part sorts its own suffixes and hands on in how many pages a substring is, with
@@ -44,13 +43,13 @@ MARK = 1
 
 
 def _streams(batches):
-    """key, host, digest, tokens, blocks (of each token), open: the pages' token streams."""
+    """key, host, digest, tokens, blocks (of each token: twice its number, 1 more in a marked article): the pages' token streams."""
     power = Powers()
     for part in gathered(batches, "html"):
-        out = {c: [] for c in ("key", "host", "digest", "tokens", "blocks", "open")}
+        out = {c: [] for c in ("key", "host", "digest", "tokens", "blocks")}
         for key, host, text in zip(part.column("key").to_pylist(), part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
             found = page_blocks.blocks(text or "")
-            mine = [(i, t) for i, (t, kind) in enumerate(found) if kind in (page_blocks.OPEN, page_blocks.HINTED)]
+            mine = [(2 * i + (kind == page_blocks.ARTICLE), t) for i, (t, kind) in enumerate(found) if kind != page_blocks.DROPPED]
             if not mine:
                 continue
             data, offsets = text_bytes(pa.array([t for _, t in mine], pa.string()))
@@ -64,7 +63,6 @@ def _streams(batches):
             out["digest"].append(int(mix(tokens * np.arange(1, len(tokens) + 1, dtype=np.uint64)).sum(dtype=np.uint64).view(np.int64)))
             out["tokens"].append(tokens.tobytes())
             out["blocks"].append(blocks.astype(np.int32).tobytes())
-            out["open"].append(all(kind != page_blocks.ARTICLE for _, kind in found))
         yield out
 
 
@@ -172,12 +170,15 @@ def _as_texts(batches):
 def _substrings(batches):
     """site, sub, edge, inner, n: in how many pages (groups of near-equal streams) of this part each long substring is.
 
-    The first and the last page have a row of their own with their name as ``edge``.
+    The first and the last page have a row of their own with their name as ``edge``. Of a host that lies in this part
+    whole, between two others, substrings of one page are left out.
     """
 
-    def done(host, streams, groups):
+    def done(host, streams, groups, whole):
         names, numbers = np.unique(np.array(groups, np.int64), return_inverse=True)
         for hashes, low, high, n in (repeated(streams, numbers.tolist(), count=True), _repeated_blocks(streams, numbers.tolist())):
+            if whole:
+                hashes, low, high, n = (x[n > 1] for x in (hashes, low, high, n))
             subs, end = _host_key(host, hashes), len(names) - 1
             at_first, at_last = low == 0, (high == end) & (end > 0)
             rest = n - at_first - at_last
@@ -187,18 +188,18 @@ def _substrings(batches):
                     counts = np.ones(size, np.int64) if some is None else some[chosen]
                     yield {"site": np.full(size, _seed(host).view(np.int64)), "sub": subs[chosen], "edge": np.full(size, edge), "inner": np.full(size, some is not None), "n": counts}
 
-    now, streams, groups, size = None, [], [], 0
+    now, streams, groups, size, before = None, [], [], 0, None  # before: the host of the run before this one
     for batch in batches:
         for host, group, tokens in zip(*(batch.column(c).to_pylist() for c in ("host", "group", "tokens")), strict=True):
             if streams and (host != now or size > PART_TOKENS):
-                yield from done(now, streams, groups)
-                streams, groups, size = [], [], 0
+                yield from done(now, streams, groups, before not in (None, (now,)) and host != now)
+                streams, groups, size, before = [], [], 0, (now,)
             now = host
             streams.append(np.frombuffer(tokens, np.uint64))
             groups.append(group)
             size += len(streams[-1])
     if streams:
-        yield from done(now, streams, groups)
+        yield from done(now, streams, groups, False)
 
 
 def _sites(batches):
@@ -224,20 +225,22 @@ def _places(batches):
 
 
 def _removed(batches):
-    """key, removed: the numbers of the blocks that long substrings cover."""
+    """key, removed: the numbers of the blocks that substrings cover, those of a marked article by long ones only."""
     for batch in batches:
         keys, removed = [], []
         for key, blocks, places in zip(*(batch.column(c).to_pylist() for c in ("key", "blocks", "places")), strict=True):
             of = np.frombuffer(blocks, np.int32)
-            cover = np.zeros(len(of) + 1, np.int64)
-            start = np.array([p["place"] for p in places])
-            np.add.at(cover, start, 1)
-            np.add.at(cover, start + np.array([p["size"] for p in places]), -1)
-            covered = np.cumsum(cover)[:-1] > 0
+            start, size = (np.array([p[c] for p in places]) for c in ("place", "size"))
             names, at = np.unique(of, return_inverse=True)
-            share = np.bincount(at, weights=covered) / np.bincount(at)
+            share = []
+            for some in (np.ones(len(size), bool), size == LONG):
+                cover = np.zeros(len(of) + 1, np.int64)
+                np.add.at(cover, start[some], 1)
+                np.add.at(cover, (start + size)[some], -1)
+                share.append(np.bincount(at, weights=np.cumsum(cover)[:-1] > 0) / np.bincount(at))
+            gone = np.where(names % 2, share[1], share[0]) >= COVERED
             keys.append(key)
-            removed.append(names[share >= COVERED].tolist())
+            removed.append((names[gone] // 2).tolist())
         yield {"key": keys, "removed": removed}
 
 
@@ -255,36 +258,35 @@ def extract_text(pages: DataFrame, id_column: str = "page_id", url_column: str =
     Character references are decoded, white space in a block becomes one blank, blocks are joined by a line
     break in page order. NULL and empty html give an empty text. Pages whose url is NULL or has no
     host are one host. Near-equal pages count as one page of their host, so copies do not make each other
-    boilerplate (nor do pages that are almost wholly a template, which keep it); repeated rows are extracted each. A class or id that hints at chrome decides within a
-    marked article only; elsewhere the block goes if the suffix array finds it. An empty table gives an
+    boilerplate (nor do pages that are almost wholly a template, which keep it); repeated rows are extracted each. A class or id that hints at chrome decides
+    where a page marks its article; elsewhere the block goes if the suffix array finds it. A block of a marked article goes if long substrings cover it, unless nothing of
+    the article would stay. An empty table gives an
     empty table; other columns are not read.
     """
     kind = dict(pages.dtypes)[id_column]
     rows = only(pages, id_column, url_column, html_column).select(F.col(id_column).alias("page"), F.col(url_column).alias("url"), F.col(html_column).alias("html"))
     rows = rows.withColumn("key", F.xxhash64("page", "url", "html"))
     host, _ = host_and_path(F.col("url"))
-    streams = map_batches(rows.select("key", host.alias("host"), "html"), _streams, "key long, host string, digest long, tokens binary, blocks binary, open boolean")
+    streams = map_batches(rows.select("key", host.alias("host"), "html"), _streams, "key long, host string, digest long, tokens binary, blocks binary")
     streams = stage(streams, "page-streams")
-    undecided = streams.where("open")
-    # a host without undecided pages needs no array
-    asked = stage(undecided.select("host").distinct(), "page-hosts")
-    asked = join_small(streams.select("host", "digest", "tokens"), asked, ["host"], "left_semi")
-    asked = stage(asked.dropDuplicates(["host", "digest"]).withColumn("stream", F.xxhash64("host", "digest")), "page-asked")
+    asked = streams.select("host", "digest", "tokens").dropDuplicates(["host", "digest"])
+    asked = stage(asked.withColumn("stream", F.xxhash64("host", "digest")), "page-asked")
     tokens = asked.agg(F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0))).first()[0]
     if not tokens:
         return _written(rows.withColumn("removed", F.array().cast("array<int>")), kind, id_column)
     near = near_duplicates.near_duplicates(map_batches(asked.select("host", "tokens", "stream"), _as_texts, "doc_id long, text string"), NEAR_TOKENS, NEAR_PERCENT)
     near = stage(near.select(F.col("doc_id").alias("stream"), F.col("component_id").alias("group")), "page-groups")
-    grouped = stage(asked.join(near, "stream").select("host", "group", "digest", "tokens"), "page-grouped")
-    dealt = grouped.repartitionByRange(max(2, -(-tokens // (8 * PART_TOKENS))), "host", "group", "digest").sortWithinPartitions("host", "group", "digest")
+    grouped = asked.join(near, "stream")
+    dealt = grouped.select("host", "group", "digest", "tokens").repartitionByRange(max(2, -(-tokens // (8 * PART_TOKENS))), "host", "group", "digest").sortWithinPartitions("host", "group", "digest")
     found = map_batches(dealt, _substrings, "site long, sub long, edge long, inner boolean, n long")
     found = found.groupBy("site", "sub", "edge", "inner").agg(F.sum("n").alias("n"))
     found = found.groupBy("site", "sub").agg(F.sum(F.when(F.col("inner"), F.col("n")).otherwise(1)).alias("n")).where(F.col("n") > 1)
     sites = map_batches(grouped.groupBy("host").agg(F.countDistinct("group").alias("pages")), _sites, "site long, pages long")
     found = join_small(found, stage(sites, "page-sites"), ["site"]).where(F.col("n") >= _demanded(F.col("pages")))
-    hits = map_batches(undecided.select("key", "host", "tokens"), _places, "key long, sub long, place int, size int").join(found.select("sub"), "sub")
+    found = stage(found.select("sub"), "page-substrings")
+    hits = join_small(map_batches(streams.select("key", "host", "tokens"), _places, "key long, sub long, place int, size int"), found, ["sub"])
     hits = hits.groupBy("key").agg(F.collect_set(F.struct("place", "size")).alias("places"))
-    hits = hits.join(undecided.select("key", "blocks").dropDuplicates(["key"]), "key").select("key", "blocks", "places")
+    hits = hits.join(streams.select("key", "blocks").dropDuplicates(["key"]), "key").select("key", "blocks", "places")
     removed = stage(map_batches(hits, _removed, "key long, removed array<int>"), "page-removed")
     small, is_small = settle(removed)
     joined = rows.join(F.broadcast(small) if is_small else small, "key", "left")  # 10,000 pages at most, else no hint

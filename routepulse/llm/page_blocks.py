@@ -150,8 +150,11 @@ def blocks(page: str) -> list[tuple[str, int]]:
 
 
 def article(found: list[tuple[str, int]], boilerplate: frozenset[int] | set[int], hinted: bool = False) -> str:
-    """The page's text: the marked article, else the open (and ``hinted``) blocks that are not boilerplate (by number)."""
+    """The page's text: the marked article, else the open (and ``hinted``) blocks, that are not boilerplate (by number).
+
+    An article that is nothing but boilerplate stays.
+    """
     if marked := [text for text, kind in found if kind == ARTICLE]:
-        return "\n".join(marked)
+        return "\n".join([text for i, (text, kind) in enumerate(found) if kind == ARTICLE and i not in boilerplate] or marked)
     kinds = (OPEN, HINTED) if hinted else (OPEN,)
     return "\n".join(text for i, (text, kind) in enumerate(found) if kind in kinds and i not in boilerplate)
