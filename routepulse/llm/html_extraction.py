@@ -6,7 +6,8 @@ their first ``LONG`` tokens. Neighbours that agree in all of them are a long sub
 shorter block is one as a whole, with its marks. Near-equal streams count as one page. A
 substring that enough of the host's pages hold (see ``_demanded``) is boilerplate, and a block
 that such substrings cover almost wholly is removed. Where a page marks its article, that is the text;
-a block of it goes only if long substrings alone cover it, and an article that would go whole stays.
+a block of it goes only if long substrings cover it that more than half of the host's pages hold, ``ENOUGH`` at
+least (a template, not a passage that texts share), and an article that would go whole stays.
 
 Hosts are dealt to tasks by ranges, so that a host with very many pages is cut into
 parts. Every part sorts its own suffixes and hands on in how many pages a substring is, with
@@ -225,15 +226,15 @@ def _places(batches):
 
 
 def _removed(batches):
-    """key, removed: the numbers of the blocks that substrings cover, those of a marked article by long ones only."""
+    """key, removed: the numbers of the blocks that substrings cover, those of a marked article by long ones that most pages hold."""
     for batch in batches:
         keys, removed = [], []
         for key, blocks, places in zip(*(batch.column(c).to_pylist() for c in ("key", "blocks", "places")), strict=True):
             of = np.frombuffer(blocks, np.int32)
-            start, size = (np.array([p[c] for p in places]) for c in ("place", "size"))
+            start, size, most = (np.array([p[c] for p in places]) for c in ("place", "size", "most"))
             names, at = np.unique(of, return_inverse=True)
             share = []
-            for some in (np.ones(len(size), bool), size == LONG):
+            for some in (np.ones(len(size), bool), most & (size == LONG)):
                 cover = np.zeros(len(of) + 1, np.int64)
                 np.add.at(cover, start[some], 1)
                 np.add.at(cover, (start + size)[some], -1)
@@ -259,8 +260,8 @@ def extract_text(pages: DataFrame, id_column: str = "page_id", url_column: str =
     break in page order. NULL and empty html give an empty text. Pages whose url is NULL or has no
     host are one host. Near-equal pages count as one page of their host, so copies do not make each other
     boilerplate (nor do pages that are almost wholly a template, which keep it); repeated rows are extracted each. A class or id that hints at chrome decides
-    where a page marks its article; elsewhere the block goes if the suffix array finds it. A block of a marked article goes if long substrings cover it, unless nothing of
-    the article would stay. An empty table gives an
+    where a page marks its article; elsewhere the block goes if the suffix array finds it. A block of a marked article goes if long substrings cover it that more than half of the host's
+    pages hold (``ENOUGH`` at least), unless nothing of the article would stay. An empty table gives an
     empty table; other columns are not read.
     """
     kind = dict(pages.dtypes)[id_column]
@@ -283,9 +284,10 @@ def extract_text(pages: DataFrame, id_column: str = "page_id", url_column: str =
     found = found.groupBy("site", "sub").agg(F.sum(F.when(F.col("inner"), F.col("n")).otherwise(1)).alias("n")).where(F.col("n") > 1)
     sites = map_batches(grouped.groupBy("host").agg(F.countDistinct("group").alias("pages")), _sites, "site long, pages long")
     found = join_small(found, stage(sites, "page-sites"), ["site"]).where(F.col("n") >= _demanded(F.col("pages")))
-    found = stage(found.select("sub"), "page-substrings")
+    most = (F.col("n") >= ENOUGH) & (2 * F.col("n") > F.col("pages"))
+    found = stage(found.select("sub", most.alias("most")), "page-substrings")
     hits = join_small(map_batches(streams.select("key", "host", "tokens"), _places, "key long, sub long, place int, size int"), found, ["sub"])
-    hits = hits.groupBy("key").agg(F.collect_set(F.struct("place", "size")).alias("places"))
+    hits = hits.groupBy("key").agg(F.collect_set(F.struct("place", "size", "most")).alias("places"))
     hits = hits.join(streams.select("key", "blocks").dropDuplicates(["key"]), "key").select("key", "blocks", "places")
     removed = stage(map_batches(hits, _removed, "key long, removed array<int>"), "page-removed")
     small, is_small = settle(removed)

@@ -148,13 +148,15 @@ def test_near_copies_and_common_phrases_stay(spark):
 def test_the_array_is_built_for_marked_articles_too(spark):
     notice = "this notice stands in each of our articles and says that we remember what you like to read"
     page = "<nav>menu</nav><article><h1>Of.</h1>{}<p>" + notice + "</p></article><div class='ad'>buy {}</div>"
-    pages = [(n, f"http://a.example/{n}", page.format(f"<p>{own(n)}</p>", n)) for n in range(6)]
-    # an article that is nothing but what all pages hold stays, and so do copies and one page of a host
-    pages += [(n, f"http://b.example/{n}", f"<article><p>{notice}</p></article>") for n in (10, 11)]
-    pages += [(20, "http://c.example/1", page.format(f"<p>{own(20)}</p>", "")), (30, "http://a.example/x", f"<article>{notice}</article>")]
+    hosts = dict.fromkeys(range(12), "a") | dict.fromkeys((40, 41, 42), "d") | {20: "c"}
+    pages = [(n, f"http://{host}.example/{n}", page.format(f"<p>{own(n)}</p>", n)) for n, host in hosts.items()]
+    # an article that is nothing but what all pages hold stays, and so do copies
+    pages += [(n, f"http://b.example/{n}", f"<article><p>{notice}</p></article>") for n in (12, 13)] + [(30, "http://a.example/x", f"<article>{notice}</article>")]
     frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
     found = {r.page_id: r.text for r in html_extraction.extract_text(frame).collect()}
-    assert found == {n: f"Of.\n{own(n)}" for n in range(6)} | dict.fromkeys((10, 11, 30), notice) | {20: f"Of.\n{own(20)}\n{notice}"}
+    # a passage that few pages share is text
+    kept = {n: f"Of.\n{own(n)}\n{notice}" for n in (20, 40, 41, 42)}
+    assert found == {n: f"Of.\n{own(n)}" for n in range(12)} | dict.fromkeys((12, 13, 30), notice) | kept
 
 
 def test_no_pages(spark):
