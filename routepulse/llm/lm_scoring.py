@@ -22,10 +22,14 @@ from routepulse.session import stage
 ANCHORS, CLASSES = 64, 8
 #: An anchor has at least this share of all words; they are sought in as many sums of words by their hashes.
 ANCHOR_SHARE, ANCHOR_SUMS = 0.0005, 1 << 16
+#: Frequent words that a task names.
+NAMED = 1 << 12
 #: Words (the most frequent) whose followers are counted.
 FOLLOWED = 1 << 16
 #: Pairs of neighbours that a task holds before it hands them on (memory only).
 HELD_PAIRS = 1 << 20
+#: The same for words, per slice and class.
+HELD_WORDS = 1 << 20
 #: Frequent words at most whose counts and scores are sent to the tasks; the counts of the
 #: others are joined, their scores worked out where they occur.
 FREQUENT = 1 << 20
@@ -41,15 +45,29 @@ END = 1
 
 
 class Tokens:
-    """The words of a slice of texts."""
+    """The words of a slice of texts: ``distinct`` holds the hash of every different word in ascending order, ``spelling`` its bytes, ``of`` the place of each word among them."""
 
     def __init__(self, texts: pa.Array, power: Powers):
         data, offsets = text_bytes(texts)
-        self.data = lowered(data)
-        self.starts, self.ends, self.counts = word_spans(self.data, offsets)
-        self.hashes = (word_hashes(self.data, self.starts, self.ends, power) & ~np.uint64(1)).view(np.int64)
+        data = lowered(data)
+        self.starts, self.ends, self.counts = word_spans(data, offsets)
+        # words are told apart by a cheap fingerprint, and only the different ones are hashed
+        coded = pa.array(_fingerprints(data, self.starts, self.ends, power)).dictionary_encode()
+        of = coded.indices.to_numpy()
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(of), prepend=-1))  # places are in order of occurrence
+        joined, edges = _gathered_words(data, self.starts[first], self.ends[first])
+        hashes = (word_hashes(joined, edges[:-1], edges[1:], power) & ~np.uint64(1)).view(np.int64)
+        spelling = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(edges), pa.py_buffer(joined)])
+        order = np.argsort(hashes)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.distinct, self.spelling, self.of = hashes[order], spelling.take(pa.array(order)), place[of]
         self.docs = np.repeat(np.arange(len(texts)), self.counts)
 
+    def times(self) -> np.ndarray:
+        """How often each different word occurs."""
+        return np.bincount(self.of, minlength=len(self.distinct))
+
     def neighbours(self, codes: np.ndarray, border: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Every word and every end with what stands before it, as codes; and the texts they lie in."""
         ends = np.cumsum(self.counts)
@@ -58,8 +76,44 @@ class Tokens:
         before = np.insert(codes, ends - self.counts, border)
         return before, after, np.repeat(np.arange(rows), self.counts + 1)
 
-    def word(self, i: int) -> bytes:
-        return self.data[self.starts[i] : self.ends[i]].tobytes()
+    def per_class(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The different words of each class of texts: class, word (its place), how often; and which of them each word is."""
+        both = classes[self.docs] * len(self.distinct) + self.of
+        n = np.bincount(both, minlength=(CLASSES + 1) * len(self.distinct))
+        found = np.flatnonzero(n)
+        place = np.zeros(len(n), np.int64)
+        place[found] = np.arange(len(found))
+        return found // max(len(self.distinct), 1), found % max(len(self.distinct), 1), n[found], place[both]
+
+
+#: Words of more bytes are told apart by their hashes.
+PLAIN_BYTES = 64
+_LOWEST = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
+
+
+def _gathered_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of these words one after the other, and their edges."""
+    edges = np.concatenate([[0], np.cumsum(ends - starts)])
+    return data[np.repeat(starts - edges[:-1], ends - starts) + np.arange(edges[-1])], edges
+
+
+def _fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, power: Powers) -> np.ndarray:
+    """64 bits for every word, from eight of its bytes at a time."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), np.dtype("<u8"), padded, strides=(1,))
+    sizes = ends - starts
+    out = mix((eights[starts] & _LOWEST[np.minimum(sizes, 8)]) + sizes.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    more = np.flatnonzero((sizes > 8) & (sizes <= PLAIN_BYTES))
+    for at in range(8, PLAIN_BYTES, 8):
+        if not len(more):
+            break
+        out[more] = mix(out[more] * np.uint64(0xE7037ED1A0B428DB) + (eights[starts[more] + at] & _LOWEST[np.minimum(sizes[more] - at, 8)]))
+        more = more[sizes[more] > at + 8]
+    long = np.flatnonzero(sizes > PLAIN_BYTES)
+    if len(long):
+        joined, edges = _gathered_words(data, starts[long], ends[long])
+        out[long] = word_hashes(joined, edges[:-1], edges[1:], power)
+    return out
 
 
 def score_texts(docs: DataFrame, training: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -124,36 +178,11 @@ def score_texts(docs: DataFrame, training: DataFrame, id_column: str = "doc_id",
 def _classes(train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Anchor words (hashes) and the class of each: anchors that occur in the same texts.
 
-    Anchors are the most frequent words of the whole corpus: all words are summed by some bits of their hashes,
-    and those that lie in a large enough sum are counted. How often two anchors occur in the same texts is summed
+    Anchors are the most frequent words of the whole corpus. How often two anchors occur in the same texts is summed
     over all texts, and the anchors are joined step by step, the closest groups first.
     """
 
-    def place(hashes):
-        return ((hashes.view(np.uint64) >> np.uint64(20)) % np.uint64(ANCHOR_SUMS)).astype(np.int64)
-
-    def summed(batches):
-        power, n = Powers(), np.zeros(ANCHOR_SUMS, np.int64)
-        for part in gathered(batches, "text", SLICE):
-            n += np.bincount(place(Tokens(part.column("text"), power).hashes), minlength=ANCHOR_SUMS)
-        at = np.flatnonzero(n)
-        yield {"at": at, "n": n[at]}
-
-    sums = map_batches(train, summed, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # ANCHOR_SUMS rows
-    at, n = (sums.column(i).to_numpy() for i in range(2))
-    least = max(1, ANCHOR_SHARE * n.sum())
-    large = np.zeros(ANCHOR_SUMS, bool)
-    large[at[n >= least]] = True
-
-    def counts(batches):
-        power = Powers()
-        for part in gathered(batches, "text", SLICE):
-            hashes = Tokens(part.column("text"), power).hashes
-            hashes, n = np.unique(hashes[large[place(hashes)]], return_counts=True)
-            yield {"hash": hashes, "n": n}
-
-    top = map_batches(train, counts, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= float(least))
-    anchors = np.array(sorted(r.hash for r in top.orderBy(F.desc("n"), "hash").limit(ANCHORS).collect()), np.int64)
+    anchors = _anchors(train)
     if not len(anchors):
         return anchors, np.zeros(0, np.int64)
 
@@ -184,10 +213,91 @@ def _classes(train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return anchors, of
 
 
+def _anchors(train: DataFrame) -> np.ndarray:
+    """The most frequent words, sorted by hash.
+
+    Every task names its most frequent words, and how often any other may occur in it. Mostly these bounds
+    settle which words are the most frequent; else all words are counted, see ``_all_anchors``.
+    """
+
+    def named(batches):
+        power, total, below = Powers(), 0, 0  # below: any word may occur so often besides what is held of it
+        held, waiting, whole = [], 0, None  # whole: words that have been held from the start
+
+        def settled():
+            nonlocal held, waiting, whole, below
+            hashes, times = _summed(held)
+            if len(hashes) > NAMED:
+                order = np.argsort(-times, kind="stable")
+                below += int(times[order[NAMED]])
+                order = np.sort(order[:NAMED])
+                hashes, times = hashes[order], times[order]
+            held, waiting = [(hashes, times)], 0
+            whole = hashes if whole is None else np.intersect1d(whole, hashes)
+
+        for part in gathered(batches, "text", SLICE):
+            tokens = Tokens(part.column("text"), power)
+            total += len(tokens.of)
+            held.append((tokens.distinct, tokens.times()))
+            waiting += len(tokens.distinct)
+            if waiting > HELD_WORDS:
+                settled()
+        if held:
+            settled()
+            (hashes, times), = held
+            yield {"hash": [END], "n": [total], "below": [below]}  # of all words
+            yield {"hash": hashes, "n": times, "below": np.where(np.isin(hashes, whole), below, 0)}
+
+    found = map_batches(train, named, "hash long, n long, below long").groupBy("hash").agg(F.sum("n").alias("n"), F.sum("below").alias("below"))
+    found = stage(found, "lm-frequent")
+    all_words = found.where(F.col("hash") == END).first()
+    if not all_words or not all_words.n:
+        return np.zeros(0, np.int64)
+    least = max(1, ANCHOR_SHARE * all_words.n)
+    words = found.where(F.col("hash") != END).select("hash", "n", (F.col("n") + all_words.below - F.col("below")).alias("most"))
+    best = words.where(F.col("n") >= float(least)).orderBy(F.desc("n"), "hash").limit(ANCHORS).collect()
+    bar = float(best[-1].n if len(best) == ANCHORS else least)
+    rivals = words.where((F.col("most") > bar) | (F.col("most") == bar) & (F.col("n") < bar)).count()
+    if rivals > sum(w.most > bar for w in best) or all_words.below >= bar:
+        return _all_anchors(train)
+    return np.array(sorted(w.hash for w in best), np.int64)
+
+
+def _all_anchors(train: DataFrame) -> np.ndarray:
+    """The same from counts of all words: they are summed by some bits of their hashes, and those that lie in a large enough sum are counted."""
+
+    def place(hashes):
+        return ((hashes.view(np.uint64) >> np.uint64(20)) % np.uint64(ANCHOR_SUMS)).astype(np.int64)
+
+    def summed(batches):
+        power, n = Powers(), np.zeros(ANCHOR_SUMS, np.int64)
+        for part in gathered(batches, "text", SLICE):
+            tokens = Tokens(part.column("text"), power)
+            np.add.at(n, place(tokens.distinct), tokens.times())
+        at = np.flatnonzero(n)
+        yield {"at": at, "n": n[at]}
+
+    sums = map_batches(train, summed, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # ANCHOR_SUMS rows
+    at, n = (sums.column(i).to_numpy() for i in range(2))
+    least = max(1, ANCHOR_SHARE * n.sum())
+    large = np.zeros(ANCHOR_SUMS, bool)
+    large[at[n >= least]] = True
+
+    def counts(batches):
+        power = Powers()
+        for part in gathered(batches, "text", SLICE):
+            tokens = Tokens(part.column("text"), power)
+            mine = large[place(tokens.distinct)]
+            yield {"hash": tokens.distinct[mine], "n": tokens.times()[mine]}
+
+    top = map_batches(train, counts, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= float(least))
+    return np.array(sorted(r.hash for r in top.orderBy(F.desc("n"), "hash").limit(ANCHORS).collect()), np.int64)
+
+
 def _shares(tokens: Tokens, anchors: np.ndarray, rows: int) -> np.ndarray:
     """How often each text has each anchor."""
-    at = np.minimum(np.searchsorted(anchors, tokens.hashes), len(anchors) - 1)
-    hit = anchors[at] == tokens.hashes
+    at = _codes(anchors, tokens.distinct)[tokens.of]
+    hit = np.flatnonzero(at >= 0)
     return np.bincount(tokens.docs[hit] * len(anchors) + at[hit], minlength=rows * len(anchors)).reshape(rows, len(anchors)).astype(float)
 
 
@@ -205,18 +315,31 @@ def _word_counts(train: DataFrame, shared_groups) -> DataFrame:
     """class, hash, word, n: how often each word occurs in the training texts of a class; the end is the empty word."""
 
     def work(batches):
-        power = Powers()
+        def joined():
+            of, hashes, spelling, n = (pa.concat_arrays(x) for x in zip(*held, strict=True))
+            of, hashes, n = of.to_numpy(), hashes.to_numpy(), n.to_numpy()
+            order = np.lexsort((hashes, of))
+            of, hashes = of[order], hashes[order]
+            first = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])))
+            return {"class": of[first], "hash": hashes[first], "word": spelling.take(pa.array(order[first])).cast(pa.binary()), "n": np.add.reduceat(n[order], first)}
+
+        power, held, waiting, ends = Powers(), [], 0, np.zeros(CLASSES + 1, np.int64)
         for part in gathered(batches, "text", SLICE):
             rows = part.num_rows
             tokens = Tokens(part.column("text"), power)
             classes = _class_of(tokens, *shared_groups.value, rows)
-            of = classes[tokens.docs]
-            for c in np.unique(classes).tolist():
-                mine = np.flatnonzero(of == c)
-                hashes, first, n = np.unique(tokens.hashes[mine], return_index=True, return_counts=True)
-                words = [tokens.word(i) for i in mine[first].tolist()]
-                ends = int((classes == c).sum())
-                yield {"class": np.full(len(words) + 1, c), "hash": np.append(hashes, END), "word": [*words, b""], "n": np.append(n, ends)}
+            ends += np.bincount(classes, minlength=CLASSES + 1)
+            of, word, n, _ = tokens.per_class(classes)
+            if len(of):
+                held.append((pa.array(of), pa.array(tokens.distinct[word]), tokens.spelling.take(pa.array(word)), pa.array(n)))
+                waiting += len(of)
+            if waiting > HELD_WORDS:
+                yield joined()
+                held, waiting = [], 0
+        if held:
+            yield joined()
+        ended = np.flatnonzero(ends)
+        yield {"class": ended, "hash": np.full(len(ended), END), "word": [b""] * len(ended), "n": ends[ended]}
 
     found = map_batches(train, work, "class int, hash long, word binary, n long")
     return found.groupBy("class", "hash", "word").agg(F.sum("n").alias("n"))
@@ -254,11 +377,11 @@ def _tables(counted: DataFrame, rows: int, bits: tuple[int, ...]) -> np.ndarray:
     while learners > 1:
         learners = -(-learners // FAN)
         parts = parts.withColumn("group", F.floor(F.col("learner") / FAN).cast("int")).groupBy("chunk", "group").applyInArrow(add, schema)
-    flat = np.zeros(2 * slots, np.float32)
+    flat = np.zeros(2 * slots, np.float16)
     for row in parts.toLocalIterator():  # one table in all
-        part = np.frombuffer(row.part, np.float32)
+        part = model.compact(np.frombuffer(row.part, np.float32).reshape(-1, 2)).reshape(-1)
         flat[row.chunk * CHUNK : row.chunk * CHUNK + len(part)] = part
-    return model.compact(flat.reshape(slots, 2))
+    return flat.reshape(slots, 2)
 
 
 def _joined(batches, rows: int = model.AT_ONCE):
@@ -314,19 +437,21 @@ def _followers(train: DataFrame, shared_followed) -> model.Followers:
     base = n + 2  # codes, the border, and n + 1 for all other words
 
     def work(batches):
-        power, held = Powers(), (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        power, held, waiting = Powers(), [], 0
         for part in gathered(batches, "text", SLICE):
             tokens = Tokens(part.column("text"), power)
-            distinct, back = np.unique(tokens.hashes, return_inverse=True)
-            before, after, _ = tokens.neighbours(_codes(shared_followed.value, distinct)[back], n)
+            before, after, _ = tokens.neighbours(_codes(shared_followed.value, tokens.distinct)[tokens.of], n)
             mine = before >= 0
-            pairs, times = np.unique(before[mine] * base + np.where(after[mine] < 0, n + 1, after[mine]), return_counts=True)
-            pairs, back = np.unique(np.concatenate([held[0], pairs]), return_inverse=True)
-            held = pairs, np.bincount(back, weights=np.concatenate([held[1], times]), minlength=len(pairs)).astype(np.int64)
-            if len(pairs) > HELD_PAIRS:
-                yield {"pair": held[0], "n": held[1]}
-                held = held[0][:0], held[1][:0]
-        yield {"pair": held[0], "n": held[1]}
+            held.append(np.unique(before[mine] * base + np.where(after[mine] < 0, n + 1, after[mine]), return_counts=True))
+            waiting += len(held[-1][0])
+            if waiting > 2 * HELD_PAIRS:
+                held, waiting = [_summed(held)], 0
+                if len(held[0][0]) > HELD_PAIRS:
+                    yield {"pair": held[0][0], "n": held[0][1]}
+                    held = []
+        if held:
+            pairs, times = _summed(held)
+            yield {"pair": pairs, "n": times}
 
     pairs = map_batches(train, work, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     pairs = stage(pairs.select(F.expr(f"pair div {base}").alias("before"), (F.col("pair") % base).alias("word"), "n"), "lm-pairs")
@@ -338,6 +463,15 @@ def _followers(train: DataFrame, shared_followed) -> model.Followers:
     return model.Followers(n, before, word, rank, hits, total)
 
 
+def _summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all these counts, in order, and their sums."""
+    keys, times = (np.concatenate(x) for x in zip(*counts, strict=True))
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[first], np.add.reduceat(times[order], first) if len(first) else times
+
+
 def _most_frequent(words: DataFrame) -> DataFrame:
     """The words with the highest counts, ``FREQUENT`` of them at most: those above a count, no matter which."""
     step = F.floor(8 * F.log2("n"))
@@ -373,7 +507,7 @@ def _ready(held: dict) -> np.ndarray:
 def _word_scores(mixer, shared_tables, bits):
     def work(batches):
         ready = _ready(shared_tables.value)
-        for batch in batches:
+        for batch in _joined(batches):
             classes = batch.column("class").to_numpy().astype(np.int64)
             scores = mixer.log10(batch.column("word").to_pylist(), classes, ready, bits)
             yield {"key": _key(batch.column("hash").to_numpy(), classes), "score": scores}
@@ -398,16 +532,20 @@ def _scoring(shared, shared_tables, shared_groups, settings):
             rows = part.num_rows
             tokens = Tokens(part.column("text"), power)
             classes = _class_of(tokens, *shared_groups.value, rows)
-            keys = _key(tokens.hashes, classes[tokens.docs])
-            distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
-            hashes = tokens.hashes[first]
+            of, word, _, back = tokens.per_class(classes)
+            distinct = _key(tokens.distinct[word], of)
+            order = np.argsort(distinct)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            distinct, of, word, back = distinct[order], of[order], word[order], place[back]
+            hashes = tokens.distinct[word]
             gain, hit = _found(top, gains, hashes)
             base = np.bincount(tokens.docs, weights=gain[back], minlength=rows)
             known = np.bincount(tokens.docs, weights=hit[back], minlength=rows).astype(np.int64) + int(has_end)
             # scores of words that the task has not met before
             scores, old = _found(known_keys, known_scores, distinct)
-            which = first[~old]
-            scores[~old] = mixer.log10([tokens.word(i) for i in which.tolist()], classes[tokens.docs[which]], ready, bits)
+            spelling = tokens.spelling.take(pa.array(word[~old])).to_pylist()
+            scores[~old] = mixer.log10(spelling, of[~old], ready, bits)
             before, after, docs = tokens.neighbours(_codes(followed, hashes)[back], border)
             said, spelled = model.decided(*followers, before, after)
             spell = np.insert(scores[back], np.cumsum(tokens.counts), ends[classes])

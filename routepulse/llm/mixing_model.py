@@ -17,6 +17,7 @@ says whether it is that word (see ``Followers``); a word that is hit is not spel
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 from routepulse.llm.common import mix, powers
 
@@ -30,8 +31,8 @@ PRIOR = 0.4
 #: Rounds of learning the weights; each takes its share of the words, dealt by their hashes.
 #: A step carries this share of the step before.
 ROUNDS, CARRIED = 16, 0.5
-#: Words whose decisions are worked out together.
-AT_ONCE = 20_000
+#: Words whose decisions are worked out together, and bytes at a time: their arrays stay in the processor's cache.
+AT_ONCE, CACHED = 20_000, 1 << 14
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -51,33 +52,32 @@ def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, np.array([len(w) + 1 for w in words])
 
 
-def contexts(data: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash per predictor and byte, and the byte's place in its word."""
+def contexts(data: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words share their beginnings: every different (class, word so far, byte) once, as a hash per predictor, its place in
+    the word and its byte; and which of them each byte is.
+    """
     group = mix(np.repeat(classes, sizes).astype(np.uint64) + np.uint64(31))
     starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
     place = np.arange(len(data)) - starts
-    before = [np.full(len(data), 32, np.uint64) for _ in range(4)]
-    for n in range(1, 5):
-        held = place >= n
-        before[n - 1][held] = data[np.flatnonzero(held) - n]
     up, down = powers(_BASE, len(data) + 1), powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
     table = mix(np.arange(1, 257, dtype=np.uint64))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[data] * up[:-1], dtype=np.uint64)])
     so_far = (sums[:-1] - sums[starts]) * down[starts] + place.astype(np.uint64)
-    out, joined = [np.minimum(place, 15).astype(np.uint64)], np.zeros(len(data), np.uint64)
-    for n in range(4):
-        joined = joined * np.uint64(256) + before[n]
-        out.append(joined + np.uint64(1) + (group if n in (1, 2) else np.uint64(0)))
-    out[0] = out[0] + group
-    out += [so_far, so_far + group]
-    return np.stack([mix(x + np.uint64(1_000_003 * (i + 1))) for i, x in enumerate(out)]), place
-
-
-def edges(data: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words share their beginnings: one place for every different (class, word so far, byte), and which is whose."""
-    key = mix(hashes[-1] ^ (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xE7037ED1A0B428DB))
-    _, first, back = np.unique(key, return_index=True, return_inverse=True)
-    return first, back
+    salt = [np.uint64(1_000_003 * (i + 1)) for i in range(ORDERS)]
+    last = mix(so_far + group + salt[-1])
+    key = mix(last ^ (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xE7037ED1A0B428DB))
+    back = pa.array(key).dictionary_encode().indices.to_numpy()
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(back), prepend=-1))  # they are in order of occurrence
+    group, place, so_far = group[first], place[first], so_far[first]
+    out = np.empty((ORDERS, len(first)), np.uint64)
+    out[0] = mix(np.minimum(place, 15).astype(np.uint64) + group + salt[0])
+    joined = np.zeros(len(first), np.uint64)
+    for n in range(1, 5):
+        before = np.where(place >= n, data[np.maximum(first - n, 0)], 32).astype(np.uint64)
+        joined = joined * np.uint64(256) + before
+        out[n] = mix(joined + np.uint64(1) + (group if n in (2, 3) else np.uint64(0)) + salt[n])
+    out[-2], out[-1] = mix(so_far + salt[-2]), last[first]
+    return out, place, data[first], back
 
 
 def decisions(data: np.ndarray, hashes: np.ndarray, sizes: tuple[int, ...]):
@@ -93,18 +93,23 @@ def decisions(data: np.ndarray, hashes: np.ndarray, sizes: tuple[int, ...]):
         yield slots, ((data >> (7 - j)) & 1).astype(np.float32)
 
 
+def _parts(data: np.ndarray):
+    for i in range(0, len(data), CACHED):
+        yield slice(i, i + CACHED)
+
+
 def learn_tables(words: list[bytes], classes: np.ndarray, counts: np.ndarray, tables: np.ndarray, bits: tuple[int, ...]) -> None:
     """Add the words' bits, ``counts`` times each, to ``tables`` (slots x 2)."""
     flat = tables.reshape(-1)
     for i in range(0, len(words), AT_ONCE):
         data, sizes = spelled(words[i : i + AT_ONCE])
-        hashes, _ = contexts(data, sizes, classes[i : i + AT_ONCE])
-        first, back = edges(data, hashes)
+        hashes, _, data, back = contexts(data, sizes, classes[i : i + AT_ONCE])
         weight = np.bincount(back, weights=np.repeat(counts[i : i + AT_ONCE], sizes)).astype(flat.dtype)
-        for slots, bit in decisions(data[first], hashes[:, first], bits):
-            slots += slots + bit.astype(np.int64)
-            for order in range(ORDERS):
-                np.add.at(flat, slots[order], weight)
+        for part in _parts(data):
+            for slots, bit in decisions(data[part], hashes[:, part], bits):
+                slots += slots + bit.astype(np.int64)
+                for order in range(ORDERS):
+                    np.add.at(flat, slots[order], weight[part])
 
 
 def compact(tables: np.ndarray) -> np.ndarray:
@@ -142,6 +147,11 @@ def _gate(level: np.ndarray, place: np.ndarray) -> np.ndarray:
     return (_COARSE[level[-1]] * 5 + _COARSE[level[-2]]) * 2 + (place > 0)
 
 
+def _cells(gate: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Where the weights of all predictors lie."""
+    return (gate * ORDERS + np.arange(ORDERS)[:, None]) * LEVELS + level
+
+
 def _squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -20, 20)))
 
@@ -161,16 +171,14 @@ class Mixer:
         centre = _squash((np.arange(STEPS) / (STEPS - 1)) * 24 - 12)
         self.refine = np.stack([np.tile(1 - centre, (GATES, 1)), np.tile(centre, (GATES, 1))]) * 20 if refine is None else refine
 
-    def mixed(self, gate: np.ndarray, stretched: np.ndarray, level: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(gate))
-        for order in range(ORDERS):
-            total += self.weights[gate, order, level[order]] * stretched[order]
-        return np.clip(total, -12, 12)
+    def mixed(self, cells: np.ndarray, stretched: np.ndarray) -> np.ndarray:
+        return np.clip((self.weights.ravel()[cells] * stretched).sum(axis=0), -12, 12)
 
     def refined(self, gate: np.ndarray, x: np.ndarray) -> np.ndarray:
         at, share = _step(x)
-        ones = self.refine[1] / (self.refine[0] + self.refine[1])
-        table = ones[gate, at] * (1 - share) + ones[gate, at + 1] * share
+        ones = (self.refine[1] / (self.refine[0] + self.refine[1])).ravel()
+        at += gate * STEPS
+        table = ones[at] * (1 - share) + ones[at + 1] * share
         return np.clip((_squash(x) + table) / 2, 1e-6, 1 - 1e-6)
 
     #: Numbers that a round's sums have: gradient and curvature of the weights, and the refining table.
@@ -184,32 +192,33 @@ class Mixer:
         push, curve, refine = out[:cut], out[cut : 2 * cut], out[2 * cut :].reshape(2, GATES * STEPS)
         for i in range(0, len(words), AT_ONCE):
             data, sizes = spelled(words[i : i + AT_ONCE])
-            hashes, place = contexts(data, sizes, classes[i : i + AT_ONCE])
-            first, back = edges(data, hashes)
+            hashes, place, data, back = contexts(data, sizes, classes[i : i + AT_ONCE])
             weight = np.bincount(back, weights=np.repeat(counts[i : i + AT_ONCE], sizes))
-            for slots, bit in decisions(data[first], hashes[:, first], bits):
-                # both counts of a slot lie side by side and are fetched as one number
-                pair = both[slots].view(np.float16).reshape(*slots.shape, 2).astype(np.float32)
-                zeros, ones = np.maximum(pair[..., 0] - (1 - bit), 0), np.maximum(pair[..., 1] - bit, 0)
-                stretched, level = _inputs(zeros, ones)
-                gate = _gate(level, place[first])
-                x = self.mixed(gate, stretched, level)
-                p = _squash(x)
-                error, slope = (bit - p) * weight, np.maximum(p * (1 - p), 0.01) * weight
-                size = np.abs(stretched)
-                whole = size.sum(axis=0) * slope
-                at, share = _step(x)
-                for order in range(ORDERS):
-                    cells = (gate * ORDERS + order) * LEVELS + level[order]
-                    push += np.bincount(cells, weights=error * stretched[order], minlength=cut)
-                    curve += np.bincount(cells, weights=whole * size[order], minlength=cut)
-                for value in (0, 1):
-                    chosen = bit == value
-                    cell = gate[chosen] * STEPS + at[chosen]
-                    for shift, part in ((0, 1 - share[chosen]), (1, share[chosen])):
-                        refine[value] += np.bincount(cell + shift, weights=part * weight[chosen], minlength=GATES * STEPS + 1)[: GATES * STEPS]
+            for part in _parts(data):
+                self._add(push, curve, refine, both, weight[part], place[part], decisions(data[part], hashes[:, part], bits))
         return out
 
+    def _add(self, push, curve, refine, both, weight, place, decided) -> None:
+        """Add these decisions to a round's sums."""
+        for slots, bit in decided:
+            # both counts of a slot lie side by side and are fetched as one number
+            pair = both[slots].view(np.float16).reshape(*slots.shape, 2).astype(np.float32)
+            zeros, ones = np.maximum(pair[..., 0] - (1 - bit), 0), np.maximum(pair[..., 1] - bit, 0)
+            stretched, level = _inputs(zeros, ones)
+            gate = _gate(level, place)
+            cells = _cells(gate, level)
+            x = self.mixed(cells, stretched)
+            p = _squash(x)
+            error, slope = (bit - p) * weight, np.maximum(p * (1 - p), 0.01) * weight
+            size = np.abs(stretched)
+            whole = size.sum(axis=0) * slope
+            push += np.bincount(cells.ravel(), weights=(error * stretched).ravel(), minlength=len(push))
+            curve += np.bincount(cells.ravel(), weights=(whole * size).ravel(), minlength=len(curve))
+            at, share = _step(x)
+            cell = gate * STEPS + at + (GATES * STEPS) * bit.astype(np.int64)
+            for shift, part in ((0, 1 - share), (1, share)):
+                refine += np.bincount(cell + shift, weights=part * weight, minlength=refine.size).reshape(refine.shape)
+
     def after(self, sums: np.ndarray) -> Mixer:
         """The mixer after a round: a step that the curvature bounds; earlier rounds count half in the refining table."""
         cut = GATES * ORDERS * LEVELS
@@ -222,15 +231,15 @@ class Mixer:
         out = np.zeros(len(words))
         for i in range(0, len(words), AT_ONCE):
             data, sizes = spelled(words[i : i + AT_ONCE])
-            hashes, place = contexts(data, sizes, classes[i : i + AT_ONCE])
-            first, back = edges(data, hashes)
-            total = np.zeros(len(first))
-            for slots, bit in decisions(data[first], hashes[:, first], bits):
-                pair = ready[slots].view(np.float32).reshape(*slots.shape, 2)
-                level = pair[..., 1].astype(np.int64)
-                gate = _gate(level, place[first])
-                p = self.refined(gate, self.mixed(gate, pair[..., 0], level))
-                total += np.log10(np.where(bit == 1, p, 1 - p))
+            hashes, place, data, back = contexts(data, sizes, classes[i : i + AT_ONCE])
+            total = np.zeros(len(data))
+            for part in _parts(data):
+                for slots, bit in decisions(data[part], hashes[:, part], bits):
+                    pair = ready[slots].view(np.float32).reshape(*slots.shape, 2)
+                    level = pair[..., 1].astype(np.int64)
+                    gate = _gate(level, place[part])
+                    p = self.refined(gate, self.mixed(_cells(gate, level), pair[..., 0]))
+                    total[part] += np.log10(np.where(bit == 1, p, 1 - p))
             out[i : i + AT_ONCE] = np.add.reduceat(total[back], np.cumsum(sizes) - sizes)
         return out
 

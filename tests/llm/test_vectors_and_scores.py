@@ -4,12 +4,15 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from routepulse.llm import lm_scoring, mixing_model, similar_vectors
+from routepulse.llm.common import Powers, lowered, text_bytes, word_hashes, word_spans
 from routepulse.llm.queries import QUERIES, table
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -207,3 +210,53 @@ def test_scores_depend_on_the_order_of_words_not_on_tasks(spark, monkeypatch):
     again = lm_scoring.score_texts(docs.repartition(9), whole.repartition(5)).collect()
     assert all(math.isclose(r.score, first[r.doc_id].score, rel_tol=1e-6) for r in again)
     assert {(r.doc_id, r.n_known) for r in again} == {(r.doc_id, r.n_known) for r in first.values()}
+
+
+def test_words_of_a_slice_are_told_apart(monkeypatch):
+    dice = random.Random(3)
+    texts = [" ".join("".join(dice.choices("abAB\0é", k=dice.choice((1, 2, 8, 9, 16, 40, 64, 65, 200)))) for _ in range(dice.randint(0, 60))) for _ in range(40)]
+    texts += [None, "", " ", "x" * 5000 + " y", "x" * 4999 + "z a a\0 A"]
+    texts += texts[:9]
+    tokens = lm_scoring.Tokens(pa.array(texts), Powers())
+    want = [w.encode() for t in texts for w in words(t)]
+    spelling = tokens.spelling.to_pylist()
+    assert [spelling[i] for i in tokens.of] == want
+    assert len(set(spelling)) == len(spelling) == len(set(want)) and (np.diff(tokens.distinct) > 0).all()
+    assert tokens.counts.tolist() == [len(words(t)) for t in texts]
+    # the hashes are those of the words where they stand
+    data, offsets = text_bytes(pa.array(texts))
+    data = lowered(data)
+    starts, ends, _ = word_spans(data, offsets)
+    assert (tokens.distinct[tokens.of] == (word_hashes(data, starts, ends, Powers()) & ~np.uint64(1)).view(np.int64)).all()
+    assert dict(zip(spelling, tokens.times().tolist(), strict=True)) == Counter(want)
+    assert len(lm_scoring.Tokens(pa.array([], pa.string()), Powers()).distinct) == 0
+
+
+@pytest.mark.parametrize("named, held", [(1 << 12, 1 << 20), (400, 1), (20, 300)])
+def test_frequent_words_are_those_of_all_counts(spark, monkeypatch, named, held):
+    train = table(spark, "/root/testdata/sf0.001", "documents").select("text").repartition(6)
+    counts = Counter(w for r in train.collect() for w in words(r.text))
+    total, calls = sum(counts.values()), []
+    monkeypatch.setattr(lm_scoring, "NAMED", named)
+    monkeypatch.setattr(lm_scoring, "HELD_WORDS", held)
+    monkeypatch.setattr(lm_scoring, "SLICE", 20_000)
+    whole = lm_scoring._all_anchors
+    monkeypatch.setattr(lm_scoring, "_all_anchors", lambda t: calls.append(1) or whole(t))
+    got = lm_scoring._anchors(train)
+    assert (got == whole(train)).all() and len(got) == lm_scoring.ANCHORS
+    assert bool(calls) == (named < 1 << 12)  # bounds settle it unless too few words are named
+    least = sorted(counts.values())[-lm_scoring.ANCHORS]
+    assert least >= lm_scoring.ANCHOR_SHARE * total
+    tokens = lm_scoring.Tokens(pa.array([" ".join(counts)]), Powers())
+    known = dict(zip(tokens.distinct.tolist(), tokens.spelling.to_pylist(), strict=True))
+    assert sorted(counts[known[h].decode()] for h in got.tolist()) == sorted(counts.values())[-lm_scoring.ANCHORS :]
+
+
+@pytest.mark.parametrize("held", [1, 1 << 20])
+def test_a_task_hands_on_each_word_of_a_class_once(spark, monkeypatch, held):
+    monkeypatch.setattr(lm_scoring, "HELD_WORDS", held)
+    monkeypatch.setattr(lm_scoring, "SLICE", 50)
+    train = spark.createDataFrame([("a b a " * 20,), ("b c",), (None,), ("",), ("a " * 30,)], "text string").coalesce(1)
+    shared = type("Shared", (), {"value": (np.zeros(0, np.int64), np.zeros(0, np.int64))})()
+    got = {(r["class"], r.word): r.n for r in lm_scoring._word_counts(train, shared).collect()}
+    assert got == {(0, b"a"): 70, (0, b"b"): 21, (0, b"c"): 1, (0, b""): 5}
