@@ -141,8 +141,8 @@ def score_texts(docs: DataFrame, training: DataFrame, id_column: str = "doc_id",
 
     rows = counted.count()
     bits = model.layout(rows)
-    tables = _tables(counted, rows, bits)
-    shared_tables = spark.sparkContext.broadcast({"compact": tables})  # four bytes a slot, at most 42 MB
+    # four bytes a slot, at most 42 MB; the driver program keeps none of it
+    shared_tables = spark.sparkContext.broadcast({"compact": _tables(counted, rows, bits)})
     sizes = dict(counted.where(F.col("hash") == END).groupBy("class").agg(F.sum("n")).collect())  # CLASSES + 1 rows
     prior = np.array([sizes.get(c, 0) + 1.0 for c in range(CLASSES + 1)])
     mixer = _mixer(counted, rows, shared_tables, bits)
@@ -350,6 +350,11 @@ def _blocks(batches):
         yield batch.column("word").to_pylist(), batch.column("class").to_numpy().astype(np.int64), batch.column("n").to_numpy().astype(float)
 
 
+def _in_order(counted: DataFrame) -> DataFrame:
+    """Words by class and spelling, as one value: Spark compares its first bytes as a number."""
+    return counted.sortWithinPartitions(F.concat(F.col("class").cast("string").cast("binary"), F.col("word")))
+
+
 def _tables(counted: DataFrame, rows: int, bits: tuple[int, ...]) -> np.ndarray:
     """The predictors' tables: a task's words lie in order, so that neighbours share
     beginnings; the tasks' tables, as many as the words need, are added up in parts, ``FAN`` at a time.
@@ -373,7 +378,7 @@ def _tables(counted: DataFrame, rows: int, bits: tuple[int, ...]) -> np.ndarray:
         return pa.table({"chunk": first.column("chunk"), "learner": first.column("group"), "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
     schema = "chunk int, learner int, part binary"
-    parts = map_batches(counted.coalesce(learners).sortWithinPartitions("class", "word"), work, schema)
+    parts = map_batches(_in_order(counted.coalesce(learners)), work, schema)
     while learners > 1:
         learners = -(-learners // FAN)
         parts = parts.withColumn("group", F.floor(F.col("learner") / FAN).cast("int")).groupBy("chunk", "group").applyInArrow(add, schema)
@@ -410,7 +415,7 @@ def _mixer(counted: DataFrame, rows: int, shared_tables, bits: tuple[int, ...])
             yield {"at": at, "n": total[at]}
 
         mine = counted.where(F.pmod(F.shiftright("hash", 33), F.lit(model.ROUNDS)) == turn).select("class", "word", "n")
-        found = map_batches(mine.coalesce(tasks).sortWithinPartitions("class", "word"), work, "at int, n double")
+        found = map_batches(_in_order(mine.coalesce(tasks)), work, "at int, n double")
         found = found.groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # Mixer.SUMS rows
         sums = np.zeros(mixer.SUMS)
         sums[found.column("at").to_numpy()] = found.column("n").to_numpy()
@@ -539,14 +544,14 @@ def _scoring(shared, shared_tables, shared_groups, settings):
             place[order] = np.arange(len(order))
             distinct, of, word, back = distinct[order], of[order], word[order], place[back]
             hashes = tokens.distinct[word]
-            gain, hit = _found(top, gains, hashes)
+            gain, hit = (x[word] for x in _found(top, gains, tokens.distinct))  # in order of the hashes
             base = np.bincount(tokens.docs, weights=gain[back], minlength=rows)
             known = np.bincount(tokens.docs, weights=hit[back], minlength=rows).astype(np.int64) + int(has_end)
             # scores of words that the task has not met before
             scores, old = _found(known_keys, known_scores, distinct)
             spelling = tokens.spelling.take(pa.array(word[~old])).to_pylist()
             scores[~old] = mixer.log10(spelling, of[~old], ready, bits)
-            before, after, docs = tokens.neighbours(_codes(followed, hashes)[back], border)
+            before, after, docs = tokens.neighbours(_codes(followed, tokens.distinct)[tokens.of], border)
             said, spelled = model.decided(*followers, before, after)
             spell = np.insert(scores[back], np.cumsum(tokens.counts), ends[classes])
             total = np.bincount(docs, weights=said + np.where(spelled, spell, 0.0), minlength=rows) + prior[classes]
